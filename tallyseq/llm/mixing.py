@@ -48,25 +48,16 @@ def draw_key(seed: int, key: Column, text: Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(key.cast("string"), F.md5(F.coalesce(text, F.lit(""))))))
 
 
-def mix_sources(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
-    weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, epochs: float = 2.0, seed: int = 17,
-) -> DataFrame:
-    """How many times the mix takes every row: (key, source, size, source_size, target, times).
+def _source_key(source: str) -> Column:
+    """One non-null key in code-point order with null last, so that plain equality joins serve."""
+    return F.coalesce(F.concat(F.lit("a"), F.col(source)), F.lit("b"))
 
-    Sources in code-point order, null last, take the weights in turn. A source whose target is r times
-    its size takes each of its rows floor(r) times; for the rest, rows in the order of a seeded draw are
-    taken once more until their words come nearest to it, so the error is at most half of one text.
-    Rows with the same key and source share a draw and its fate. A source without words has target 0.
-    An empty input gives an empty result; null texts have size 0; other columns are not read.
 
-    Only one row per source, and the rows of the one draw bucket in each source that holds the cut, meet
-    in a window; all other rows are decided where they are read.
-    """
+def _plan(docs: DataFrame, key: str, text: str, source: str, weights: tuple[int, ...], share: float, epochs: float, seed: int) -> tuple:
+    """(narrow rows, one row per source with its target, whole repetitions and last draw taken once more, broadcast or not)."""
     rows = docs.select(
         F.col(key).alias("k"),
-        # one non-null key in code-point order with null last, so that plain equality joins serve
-        F.coalesce(F.concat(F.lit("a"), F.col(source)), F.lit("b")).alias("sk"),
+        _source_key(source).alias("sk"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
         draw_key(seed, F.col(key), F.col(text)).alias("draw"),
     ).withColumn("bucket", F.substring("draw", 1, 3))
@@ -98,8 +89,42 @@ def mix_sources(
     )
     low = held.select("sk", "bucket").join(cut, "sk", "left").select("sk", F.coalesce("last", "bucket").alias("cut"))
     decided = plan.join(low, "sk", "left").select("sk", "source_size", "target", "whole", "cut")
-    again = F.coalesce((F.col("draw") <= F.col("cut")).cast("bigint"), F.lit(0))
-    return rows.join(hint(decided), "sk").select(
-        F.col("k").alias(key), F.when(F.col("sk") != "b", F.substring("sk", 2, 2147483647)).alias(source), "size", "source_size", "target",
-        (F.col("whole") + again).cast("bigint").alias("times"), "draw",
+    return rows, hint(decided)
+
+
+def _times() -> Column:
+    return (F.col("whole") + F.coalesce((F.col("draw") <= F.col("cut")).cast("bigint"), F.lit(0))).cast("bigint")
+
+
+def mix_sources(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
+    weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, epochs: float = 2.0, seed: int = 17,
+) -> DataFrame:
+    """How many times the mix takes every row: (key, source, size, source_size, target, times).
+
+    Sources in code-point order, null last, take the weights in turn. A source whose target is r times
+    its size takes each of its rows floor(r) times; for the rest, rows in the order of a seeded draw are
+    taken once more until their words come nearest to it, so the error is at most half of one text.
+    Rows with the same key and source share a draw and its fate. A source without words has target 0.
+    An empty input gives an empty result; null texts have size 0; other columns are not read.
+
+    Only one row per source, and the rows of the one draw bucket in each source that holds the cut, meet
+    in a window; all other rows are decided where they are read.
+    """
+    rows, decided = _plan(docs, key, text, source, weights, share, epochs, seed)
+    return rows.join(decided, "sk").select(
+        F.col("k").alias(key), F.when(F.col("sk") != "b", F.substring("sk", 2, 2147483647)).alias(source),
+        "size", "source_size", "target", _times().alias("times"),
     )
+
+
+def repeat_rows(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
+    weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, epochs: float = 2.0, seed: int = 17,
+) -> DataFrame:
+    """The mixture itself: every row of docs, with its own columns, as often as mix_sources says."""
+    _, decided = _plan(docs, key, text, source, weights, share, epochs, seed)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    tagged = docs.select(row.alias("row"), _source_key(source).alias("sk"), draw_key(seed, F.col(key), F.col(text)).alias("draw"))
+    times = tagged.join(decided, "sk").select("row", _times().alias("times")).where("times > 0")
+    return times.select("row", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select("row.*")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyseq.llm import chat_format, jump_sharding, mixing, secret_ledger
+from tallyseq.llm import benchmark_leaks, chat_format, jump_sharding, mixing, secret_ledger, simhash_vptree, site_quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,29 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM r GROUP BY conv_id"""
 
 
+def op2_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_leaks.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+_SHINGLES = r"""
+  SELECT id, no, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
+         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM (SELECT *, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM {0})"""
+OP2_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS no, doc_id AS id, text FROM documents),
+b AS (SELECT row_number() OVER () AS no, item_id AS id, text FROM benchmark),
+ds AS (SELECT DISTINCT id, no, s FROM ({_SHINGLES.format('d')})),
+bs AS (SELECT DISTINCT id, no, s FROM ({_SHINGLES.format('b')})),
+n AS (SELECT no, count(*) AS n_shingles FROM bs GROUP BY no)
+SELECT ds.id AS doc_id, bs.id AS item_id, n_shingles, count(*) AS n_found, count(*) / n_shingles AS containment
+FROM bs JOIN ds USING (s) JOIN n ON n.no = bs.no
+GROUP BY ds.id, ds.no, bs.id, bs.no, n_shingles HAVING count(*) >= ceil(0.8 * n_shingles - 1e-9)"""
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_vptree.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix_sources(_table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", (F.col("times") * F.col("size")).alias("taken"))
@@ -104,10 +127,17 @@ def op8_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jump_sharding.shard_rows(_table(spark, sf_dir, "documents"))
 
 
+def op10_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_quality.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op2_benchmark_leaks": op2_benchmark_leaks,
+    "op3_simhash": op3_simhash,
     "op4_mixing": op4_mixing,
     "op5_secret_scan": op5_secret_scan,
     "op8_jump_sharding": op8_jump_sharding,
+    "op10_site_quality": op10_site_quality,
 }
-ORACLES = {"op1_chat_formatting": OP1_SQL, "op4_mixing": OP4_SQL, "op5_secret_scan": OP5_SQL}
+ORACLES = {"op1_chat_formatting": OP1_SQL, "op2_benchmark_leaks": OP2_SQL, "op4_mixing": OP4_SQL, "op5_secret_scan": OP5_SQL}
