@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyseq.llm import benchmark_leaks, chat_format, jump_sharding, mixing, secret_ledger, simhash_vptree, site_quality
+from tallyseq.llm import (
+    benchmark_leaks, chat_format, jump_sharding, mixing, prefix_forest, secret_ledger, simhash_vptree, site_quality, warc_index,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -123,10 +125,31 @@ SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(k, 0)::BIGINT AS n_a
 FROM d LEFT JOIN g USING (row_no)"""
 
 
+def op7_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_forest.nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op8_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jump_sharding.shard_rows(_table(spark, sf_dir, "documents"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc_index.write_archives(_table(spark, sf_dir, "pages"))
+    return warc_index.read_records(index).drop("url")
+
+
+OP9_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT *, sha1(h) AS x, octet_length(encode(h))::BIGINT AS payload_bytes FROM p),
+t AS (SELECT *, max(page_id) OVER (PARTITION BY x) AS top FROM d)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + (((('0x' || substr(x, 1 + 5 * (i // 4)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))::BIGINT) & 31))::INT, 1)), '') AS payload_digest,
+       CASE WHEN page_id IS NULL AND top IS NOT NULL OR page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS NULL AND top IS NOT NULL OR page_id < top THEN top END AS refers_to
+FROM t"""
+
+
 def op10_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_quality.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -137,7 +160,9 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_mixing": op4_mixing,
     "op5_secret_scan": op5_secret_scan,
+    "op7_prefix_forest": op7_prefix_forest,
     "op8_jump_sharding": op8_jump_sharding,
+    "op9_warc": op9_warc,
     "op10_site_quality": op10_site_quality,
 }
-ORACLES = {"op1_chat_formatting": OP1_SQL, "op2_benchmark_leaks": OP2_SQL, "op4_mixing": OP4_SQL, "op5_secret_scan": OP5_SQL}
+ORACLES = {"op1_chat_formatting": OP1_SQL, "op2_benchmark_leaks": OP2_SQL, "op4_mixing": OP4_SQL, "op5_secret_scan": OP5_SQL, "op9_warc": OP9_SQL}
