@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyseq.llm import (
-    benchmark_leaks, chat_format, jump_sharding, mixing, prefix_forest, secret_ledger, simhash_vptree, site_quality, warc_index,
+    benchmark_leaks, chat_format, jump_sharding, katz_model, mixing, prefix_forest, secret_ledger, simhash_vptree, site_quality, warc_index,
 )
 
 
@@ -125,6 +125,10 @@ SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(k, 0)::BIGINT AS n_a
 FROM d LEFT JOIN g USING (row_no)"""
 
 
+def op6_katz_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz_model.katz_scores(_table(spark, sf_dir, "documents"))
+
+
 def op7_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_forest.nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -160,6 +164,7 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_mixing": op4_mixing,
     "op5_secret_scan": op5_secret_scan,
+    "op6_katz_model": op6_katz_model,
     "op7_prefix_forest": op7_prefix_forest,
     "op8_jump_sharding": op8_jump_sharding,
     "op9_warc": op9_warc,
