@@ -2,5 +2,6 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from tallyseq.plans import base, q_intervals  # noqa: F401  importing registers
+
+QUERIES, ORACLES, COVERS = base.QUERIES, base.ORACLES, base.COVERS
