@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from tallyseq.plans import base, q_intervals  # noqa: F401  importing registers
+from tallyseq.plans import base, q_conflict, q_intervals  # noqa: F401  importing registers
 
 QUERIES, ORACLES, COVERS = base.QUERIES, base.ORACLES, base.COVERS
