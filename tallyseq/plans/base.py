@@ -33,10 +33,11 @@ STAND_INS = {
         GROUP BY c_mktsegment, c_nationkey, p_brand""",
     # samples with coordinates and metadata
     "samples": """SELECT DISTINCT concat(c_mktsegment, '-', CAST(c_nationkey AS STRING)) AS sample, c_mktsegment AS segment, c_nationkey AS site, n_name AS country, r_name AS continent,
-        c_nationkey * 7.0 - 80 AS lat, c_nationkey * 14.0 - 170 AS lon FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
+        CAST(c_nationkey * 7 - 80 AS DOUBLE) AS lat, CAST(c_nationkey * 14 - 170 AS DOUBLE) AS lon FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     # per-reference records for scoring, all values in plain ranges
-    "rec": """SELECT ref_id, species, genus, length, is_plasmid, reads, reads * 1.0 / SUM(reads) OVER () AS share, mapq / 60.0 AS mapq01, (reads % 97) / 96.0 AS breadth, (reads % 89) / 88.0 AS breadth_new,
-        (reads % 83) / 82.0 AS gini, (reads % 79) / 78.0 AS disp, (reads % 73) / 72.0 AS hmf, (reads % 71) / 70.0 AS retention, (reads % 67) / 66.0 AS removal, (reads % 61) / 60.0 AS minhash
+    "rec": """SELECT ref_id, species, genus, length, is_plasmid, reads, CAST(reads AS DOUBLE) / SUM(reads) OVER () AS share, mapq / 60 AS mapq01,
+        CAST(reads % 97 AS DOUBLE) / 96 AS breadth, CAST(reads % 89 AS DOUBLE) / 88 AS breadth_new, CAST(reads % 83 AS DOUBLE) / 82 AS gini, CAST(reads % 79 AS DOUBLE) / 78 AS disp,
+        CAST(reads % 73 AS DOUBLE) / 72 AS hmf, CAST(reads % 71 AS DOUBLE) / 70 AS retention, CAST(reads % 67 AS DOUBLE) / 66 AS removal, CAST(reads % 61 AS DOUBLE) / 60 AS minhash
         FROM (SELECT s_suppkey AS ref_id, s_nationkey AS species, n_regionkey AS genus, CAST(100000 + s_suppkey * 1000 AS BIGINT) AS length, s_suppkey % 3 = 0 AS is_plasmid,
             COUNT(*) AS reads, round(AVG(l_discount) * 600, 6) AS mapq FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
             GROUP BY s_suppkey, s_nationkey, n_regionkey) AS x""",
