@@ -52,16 +52,13 @@ def remove_subtrees(nodes: DataFrame, paths: DataFrame, removed: DataFrame, key:
     return kept.withColumn(clade, F.col(clade) - F.coalesce("_lost", F.lit(0))).drop("_lost")
 
 
-def parents_by_indent(rows: DataFrame, line: str, order: str, name: str, report: str | None = None) -> DataFrame:
-    """Adds depth and parent (line text of the nearest earlier row one level up) from two-space indents."""
-    part = [report] if report else []
-    depth = (F.length(F.regexp_extract(F.col(name), "^( *)", 1)) / 2).cast("int")
-    rows = rows.withColumn("depth", depth)
-    # the last row of each depth so far, as a map built from running maxima: one pass, any depth
-    w = Window.partitionBy(*part, "depth").orderBy(order)
-    up = rows.select(*part, F.col("depth").alias("_d"), F.col(order).alias("_from"), F.col(line).alias("parent"), F.lead(order).over(w).alias("_to"))
-    a, b = rows.alias("a"), up.alias("b")
-    on = (F.col("b._d") == F.col("a.depth") - 1) & (F.col("b._from") < F.col(f"a.{order}")) & (F.col("b._to").isNull() | (F.col("b._to") > F.col(f"a.{order}")))
-    if report:
-        on = on & (F.col(f"a.{report}") == F.col(f"b.{report}"))
-    return a.join(b, on, "left").select("a.*", "b.parent")
+def parents_by_indent(rows: DataFrame, line: str, order: str, name: str, report: str | None = None, levels: int = 40) -> DataFrame:
+    """Adds depth and parent: the line of the nearest earlier row one level up, from two-space indents.
+
+    One sorted pass per report: the last line of every depth so far, then the one above the row's own.
+    Rows deeper than `levels` have a null parent.
+    """
+    rows = rows.withColumn("depth", (F.length(F.regexp_extract(F.col(name), "^( *)", 1)) / 2).cast("int"))
+    so_far = (Window.partitionBy(report) if report else Window.partitionBy()).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    last = [F.last(F.when(F.col("depth") == d, F.col(line)), ignorenulls=True).over(so_far) for d in range(levels)]
+    return rows.withColumn("parent", F.get(F.array(*last), F.col("depth") - 1))
