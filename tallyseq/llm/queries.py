@@ -101,21 +101,21 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *[of(k).alias(f"n_{k}") for k in ("assign", "access", "hex")], F.sha2(text, 256).alias("base_sha256"), text.alias("spans"))
 
 
-def _spans_sql(no: int, kind: str, pattern: str, keep: str) -> str:
+def _spans_sql(no: int, kind: str, pattern: str, group: int, least: int) -> str:
     return f"""SELECT row_no, {no} AS no, '{kind}' AS kind, start, start + length(m) AS stop FROM (
-      SELECT row_no, m, list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(found[1:i-1], lambda x: length(x))), 0) AS start
-      FROM (SELECT row_no, found, gaps, unnest(found) AS m, unnest(range(1, len(found) + 1)) AS i
-            FROM (SELECT row_no, regexp_extract_all(text, '{pattern}') AS found, string_split_regex(text, '{pattern}') AS gaps FROM d) WHERE len(found) > 0))
-      WHERE {keep}"""
+      SELECT row_no, m, v, list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(found[1:i-1], lambda x: length(x))), 0) AS start
+      FROM (SELECT row_no, found, gaps, unnest(found) AS m, unnest(vals) AS v, unnest(range(1, len(found) + 1)) AS i
+            FROM (SELECT row_no, regexp_extract_all(text, '{pattern}') AS found, regexp_extract_all(text, '{pattern}', {group}) AS vals, string_split_regex(text, '{pattern}') AS gaps FROM d) WHERE len(found) > 0))
+      WHERE length(v) >= {least}"""
 
 
-_ASSIGN = r"""(?i)(?:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+"""
+_ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
 OP5_SQL = rf"""
 WITH d AS (SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS text FROM documents),
 s AS (
-  {_spans_sql(0, 'assign', _ASSIGN, "length(regexp_extract(m, '[A-Za-z0-9+/_.=-]+$')) >= 12")}
-  UNION ALL {_spans_sql(1, 'access', 'AKIA[A-Z0-9]{14,}', 'true')}
-  UNION ALL {_spans_sql(2, 'hex', '[0-9a-f]{16,}', 'true')}
+  {_spans_sql(0, 'assign', _ASSIGN, 2, 12)}
+  UNION ALL {_spans_sql(1, 'access', 'AKIA[A-Z0-9]{14,}', 0, 18)}
+  UNION ALL {_spans_sql(2, 'hex', '[0-9a-f]{16,}', 0, 16)}
 ), g AS (
   SELECT row_no, count(*) FILTER (WHERE no = 0) AS a, count(*) FILTER (WHERE no = 1) AS k, count(*) FILTER (WHERE no = 2) AS h,
          string_agg(kind || ':' || start::BIGINT || ':' || stop::BIGINT, ',' ORDER BY start, no) AS t FROM s GROUP BY row_no

@@ -13,18 +13,18 @@ from pyspark.sql import functions as F
 
 from tallyseq.session import shared_path
 
-#: Kind, pattern, group that is measured (None: the whole match), least length of it.
+#: Kind, pattern, group that is measured, least length of it.
 RULES = (
-    ("assign", r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]+""", r"[A-Za-z0-9+/_.=-]+$", 12),
-    ("access", r"AKIA[A-Z0-9]{14,}", None, 18),
-    ("hex", r"[0-9a-f]{16,}", None, 16),
+    ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
+    ("access", r"AKIA[A-Z0-9]{14,}", 0, 18),
+    ("hex", r"[0-9a-f]{16,}", 0, 16),
 )
 #: Without one of these a text has no span; it spares most texts the exact search.
 MARKER = r"AKIA[A-Z0-9]{14}|[0-9a-f]{16}|(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]"
 RULE_VERSION = "base-1"
 
 
-def _spans(text: Column, no: int, kind: str, pattern: str, value: str | None, least: int) -> Column:
+def _spans(text: Column, no: int, kind: str, pattern: str, group: int, least: int) -> Column:
     """Array of (start, no, kind, end) of one rule: leftmost non-overlapping matches, then failing ones dropped.
 
     The pieces between the matches and the matches alternate, so positions are running sums of their
@@ -34,14 +34,14 @@ def _spans(text: Column, no: int, kind: str, pattern: str, value: str | None, le
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    pairs = F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)), lambda m, g: F.struct(m.alias("m"), F.char_length(g).alias("gap")))
+    sizes = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), lambda v: F.char_length(v) >= least)
+    pairs = F.arrays_zip(found.alias("m"), F.transform(F.slice(gaps, F.lit(1), F.size(found)), lambda g: F.char_length(g)).alias("gap"), sizes.alias("ok"))
 
     def add(s: Column, x: Column) -> Column:
         start = s["at"] + x["gap"]
         end = start + F.char_length(x["m"])
         span = F.struct(start.alias("start"), F.lit(no).alias("no"), F.lit(kind).alias("kind"), end.alias("end"))
-        ok = F.lit(True) if value is None else F.char_length(F.regexp_extract(x["m"], value, 0)) >= least
-        return F.struct(end.alias("at"), F.when(ok, F.concat(s["out"], F.array(span))).otherwise(s["out"]).alias("out"))
+        return F.struct(end.alias("at"), F.when(x["ok"], F.concat(s["out"], F.array(span))).otherwise(s["out"]).alias("out"))
 
     none = F.array().cast("array<struct<start:int,no:int,kind:string,end:int>>")
     return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), add, lambda s: s["out"])
