@@ -3,7 +3,7 @@
 Every tree is a sorted array of long hash strings: signs of projections against thresholds at a sample's
 medians. A query descends to its longest prefix matches and ascends in all trees at once, one bit at a
 time, until the ranges that share its prefix hold `reach` times the number of distinct vectors, counted
-over all trees. All vectors in those ranges are ranked by their exact inner product. Inner products
+over all trees, and k + 1 vectors in one tree at least. All vectors in those ranges are ranked by their exact inner product. Inner products
 become angles by one more coordinate, which gives all indexed vectors the same length.
 """
 
@@ -16,9 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tallyseq.llm.sampling import hash_sample
 from tallyseq.session import materialize
 
-#: Distinct vectors that projections' medians are taken from, at most, and aimed at in a shard.
+#: Distinct vectors that projections' medians are taken from, about, and aimed at in a shard.
 SAMPLE, SHARD = 4_096, 8_192
 BITS = 32
 
@@ -165,12 +166,12 @@ def nearest_neighbours(
     n, longest = nodes.agg(F.count("*"), F.max(norm)).first()
     if not n:
         return asked.select(F.col("qid").alias("query_id"), F.lit(1).alias("rank"), F.col("vid").alias(key), F.lit(0.0).alias("score")).where("false")
-    sample = np.array([r[0] for r in nodes.orderBy(F.xxhash64("vid")).limit(SAMPLE).select("v").collect()])
+    sample = np.array([r[0] for r in hash_sample(nodes, F.col("vid"), SAMPLE, n).select("v").collect()])
     hasher = Hasher(sample, longest, trees)
     bits = max(0, min(BITS, math.floor(math.log2(n / SHARD)))) if n > SHARD else 0
     queries = asked.select("vid").distinct().join(nodes, "vid")
     q_hash = materialize(hashed(queries, hasher, True, bits, True), "forest-asked")
-    levels = choose_levels(hashed(nodes, hasher, False, bits, False), q_hash.drop("v"), bits, math.ceil(reach * n))
+    levels = choose_levels(hashed(nodes, hasher, False, bits, False), q_hash.drop("v"), bits, max(math.ceil(reach * n), trees * min(n, k + 1)))
     upto = F.expr(f"shiftleft(1L, cast({bits} - least(level, {bits}) as int))")
     base = F.expr(f"shiftleft(shiftright(shard, cast({bits} - least(level, {bits}) as int)), cast({bits} - least(level, {bits}) as int))")
     sent = q_hash.join(levels, "vid").withColumn("shard", F.explode(F.sequence(base, base + upto - 1)))
