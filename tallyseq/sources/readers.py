@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tallyseq.operators.taxonomy import parents_by_indent
+from tallyseq.session import materialize
 
 #: Column names of tabular protein hits.
 BLAST6 = "qseqid string, sseqid string, pident double, length long, mismatch long, gapopen long, qstart long, qend long, sstart long, send long, evalue double, bitscore double"
@@ -38,15 +40,19 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """(name, sequence, quality, mean_quality). A file is read whole by one task, as four-line records
-    can't be found from the middle of it; many files are read in parallel. Gzip is read as it is."""
-    rows = spark.read.option("wholetext", True).text(path).select(F.split(F.regexp_replace("value", "\r", ""), "\n").alias("l"))
-    n = F.floor(F.size("l") / 4).cast("int")
-    record = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
-        F.regexp_replace(F.split(F.get("l", i * 4), " ")[0], "^@", "").alias("name"), F.get("l", i * 4 + 1).alias("sequence"), F.get("l", i * 4 + 3).alias("quality")))
-    out = rows.where(n > 0).select(F.explode(record).alias("r")).select("r.*")
+    """(name, sequence, quality, mean_quality). Records are four lines and can't be told apart from the
+    middle of a file, so lines are numbered first: each split's line count gives the next one's start.
+    Gzip is read as it is, by one task a file."""
+    lines = spark.read.text(path).select(
+        F.input_file_name().alias("file"), F.input_file_block_start().alias("block"), F.monotonically_increasing_id().alias("id"), F.regexp_replace("value", "\r$", "").alias("v"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = lines.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("id").alias("low")).select("file", "block", "low", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    no = F.col("start") + F.col("id") - F.col("low")
+    rows = lines.join(starts, ["file", "block"]).select("file", F.floor(no / 4).alias("record"), (no % 4).alias("at"), "v")
+    line = lambda i: F.max(F.when(F.col("at") == i, F.col("v")))
+    out = rows.groupBy("file", "record").agg(F.regexp_replace(F.split(line(0), " ")[0], "^@", "").alias("name"), line(1).alias("sequence"), line(3).alias("quality"))
     q = F.aggregate(F.split("quality", ""), F.lit(0), lambda a, c: a + F.when(c != "", F.ascii(c) - 33).otherwise(0))
-    return out.withColumn("mean_quality", q / F.length("quality"))
+    return out.where(F.col("quality").isNotNull()).select("name", "sequence", "quality", (q / F.length("quality")).alias("mean_quality"))
 
 
 def read_classifier_report(spark: SparkSession, path: str) -> DataFrame:
@@ -146,8 +152,6 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
 
 def validate_samplesheet(rows: DataFrame) -> DataFrame:
     """Adds problem (null if a row is fine), single_end and a suffix for samples with several rows."""
-    from pyspark.sql.window import Window
-
     f1, f2 = F.trim(F.coalesce("fastq_1", F.lit(""))), F.trim(F.coalesce("fastq_2", F.lit("")))
     ok = lambda c: c.rlike(r"(?i)\.f(ast)?q(\.gz)?$") | c.rlike(r"^(SRR|ERR|DRR|PRJ)")
     problem = (
@@ -163,10 +167,6 @@ def validate_samplesheet(rows: DataFrame) -> DataFrame:
 def numbered(rows: DataFrame, order: list[Column]) -> DataFrame:
     """Rows with a gapless index in a global order, by a sorted pass in ranges and per-range counts."""
     sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id())
-    from pyspark.sql.window import Window
-
-    from tallyseq.session import materialize
-
     kept = materialize(sorted_rows, "numbered")
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     starts = kept.groupBy("_p").agg(F.count("*").alias("_n"), F.min("_i").alias("_low")).select("_p", "_low", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
