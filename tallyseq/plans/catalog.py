@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from tallyseq.plans import base, q_cohort, q_conflict, q_intervals, q_misc, q_scores  # noqa: F401  importing registers
+from tallyseq.plans import base, q_cohort, q_conflict, q_intervals, q_misc, q_scores, q_sources  # noqa: F401  importing registers
 
 QUERIES, ORACLES, COVERS = base.QUERIES, base.ORACLES, base.COVERS
