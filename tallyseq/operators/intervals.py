@@ -84,10 +84,14 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], width: int
 
 
 def assign_region(reads: DataFrame, regions: DataFrame, key: str, s: str = "s", e: str = "e") -> DataFrame:
-    """Each read with the first region (by start) of its reference that it overlaps; regions are disjoint."""
-    pairs = overlap_join(reads, regions, [key], s1=s, e1=e, s2="r_start", e2="r_end")
-    cols = reads.columns
-    return pairs.groupBy(*cols).agg(F.min(F.struct("r_start", "r_end")).alias("r")).select(*cols, "r.r_start", "r.r_end")
+    """Each read with the first region (by start) of its reference that it overlaps; regions are disjoint.
+
+    A region is a read's first if the one before it ends at or before the read's start, so pairs are
+    decided one by one and equal reads stay apart.
+    """
+    before = F.lag("r_end").over(Window.partitionBy(key).orderBy("r_start"))
+    pairs = overlap_join(reads, regions.select(key, "r_start", "r_end", before.alias("_before")), [key], s1=s, e1=e, s2="r_start", e2="r_end")
+    return pairs.where(F.col("_before").isNull() | (F.col("_before") <= F.col(s))).select(*reads.columns, "r_start", "r_end")
 
 
 def gini(df: DataFrame, key: str, value: str) -> DataFrame:
