@@ -1,11 +1,14 @@
 """SimHash near-duplicates: exact pairs within a Hamming radius by vantage-point trees.
 
-A tree fitted to a bounded sample cuts the fingerprints into shards. A node holds a vantage point v and
-a threshold mu: fingerprints with d(v, x) <= mu go inside, the others outside, and by the triangle
-inequality a pair within the radius that is cut apart has its outer end at d <= mu + radius, so outer
-fingerprints that near the boundary are queried inside as well. Every linked pair thus meets in at least
-one shard. Shards go on splitting by the same rule in memory, then compare exactly. A shard gives out
-a spanning forest of its links instead of all pairs, and components are joined across shards.
+A pair within a radius of r bits is within r // 2 bits in one half of the fingerprint, so there is one
+tree for each half with that smaller radius, by which it prunes far better. A tree fitted to a bounded
+sample cuts the fingerprints into shards. A node holds a vantage point v and a threshold mu:
+fingerprints with d(v, x) <= mu in the tree's half go inside, the others outside, and by the triangle
+inequality a pair within the tree's radius that is cut apart has its outer end at d <= mu + radius, so
+outer fingerprints that near the boundary are queried inside as well. Every linked pair thus meets in at
+least one shard. Shards go on splitting by the same rule in memory, then compare all bits exactly. A
+shard gives out a spanning forest of its links instead of all pairs, and components are joined across
+shards.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyseq.llm.sampling import hash_sample
 from tallyseq.llm.words import words
 from tallyseq.operators.graph import connected_components
 from tallyseq.session import materialize
@@ -28,6 +32,8 @@ MAX_BROADCAST_KEYS = 1_000_000
 #: Blocks up to this size are compared as a matrix.
 BLOCK = 384
 _BYTES = np.uint64(0x0101010101010101)
+#: The bits that each tree measures by.
+HALVES = (np.uint64(0x00000000FFFFFFFF), np.uint64(0xFFFFFFFF00000000))
 
 
 def bit_counts(h: np.ndarray) -> np.ndarray:
@@ -168,18 +174,19 @@ def _block(x: np.ndarray, full: np.ndarray, radius: int, total: int, out: list)
         out.append((np.repeat(seed, len(got)), got))
 
 
-def shard_links(x: np.ndarray, radius: int, full: np.ndarray | None = None, total: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs whose components are those of all pairs within `radius` bits of x, and within `total`
-    bits over all tables if full holds more than one."""
+def shard_links(x: np.ndarray, radius: int, half: np.uint64, full: np.ndarray | None = None, total: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs whose components are those of all pairs of x within `radius` bits (radius // 2 in the
+    half), and within `total` bits over all tables if full holds more than one."""
     full = x[:, None] if full is None else full
+    part, near = x & half, radius // len(HALVES)
     rng, out, todo = np.random.default_rng(11), [], [np.arange(len(x))]
     while todo:
         at = todo.pop()
         if len(at) < 2:
             continue
-        split = choose_split(x[at], radius, rng) if len(at) > BLOCK else None
+        split = choose_split(part[at], near, rng) if len(at) > BLOCK else None
         if split is not None:
-            todo += [at[i] for i in cut(x[at], *split, radius)]
+            todo += [at[i] for i in cut(part[at], *split, near)]
         else:
             found: list = []
             (_block if len(at) <= BLOCK else _flood)(x[at], full[at], radius, total, found)
@@ -210,20 +217,23 @@ def fingerprint_links(nodes: DataFrame, radius: int, n: int, tables: int = 1, to
     import pyarrow as pa
 
     names = [f"fp{t}" for t in range(tables)]
-    picked = nodes.orderBy(F.xxhash64("node")).limit(SAMPLE).select(*names).toPandas().to_numpy(np.int64).view(np.uint64) if n > SHARD else np.zeros((0, tables), np.uint64)
-    trees = [fit_tree(picked[:, t].copy(), math.ceil(n / SHARD), radius) if len(picked) else [-1, []] for t in range(tables)]
+    picked = hash_sample(nodes, F.col("node"), SAMPLE, n).select(*names).toPandas().to_numpy(np.int64).view(np.uint64) if n > SHARD else np.zeros((0, tables), np.uint64)
+    near = radius // len(HALVES)
+    trees = [fit_tree(picked[:, t] & half, math.ceil(n / SHARD), near) if len(picked) else [-1, []] for t in range(tables) for half in HALVES]
 
     def deal(it):
         for b in it:
             cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(tables + 1)]
             for t, tree in enumerate(trees):
-                shard, at = shards_of(cols[1 + t].view(np.uint64), tree, radius)
+                table, half = divmod(t, len(HALVES))
+                shard, at = shards_of(cols[1 + table].view(np.uint64) & HALVES[half], tree, near)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), t, np.int32)), pa.array(shard), *[pa.array(c[at]) for c in cols]], ["t", "shard", "node", *names])
 
-    def link(key: tuple, table: pa.Table) -> pa.Table:
-        node, first = np.unique(table.column("node").to_numpy(), return_index=True)
-        full = np.stack([table.column(c).to_numpy()[first].view(np.uint64) for c in names], axis=1)
-        a, b = shard_links(full[:, key[0].as_py()].copy(), radius, full, total)
+    def link(key: tuple, rows: pa.Table) -> pa.Table:
+        node, first = np.unique(rows.column("node").to_numpy(), return_index=True)
+        full = np.stack([rows.column(c).to_numpy()[first].view(np.uint64) for c in names], axis=1)
+        table, half = divmod(key[0].as_py(), len(HALVES))
+        a, b = shard_links(full[:, table].copy(), radius, HALVES[half], full, total)
         return pa.table({"src": pa.array(node[a]), "dst": pa.array(node[b])})
 
     fields = "t int, shard int, node long, " + ", ".join(f"{n} long" for n in names)
