@@ -14,9 +14,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyseq.llm.sampling import hash_sample
 from tallyseq.session import materialize
 
-#: Labelled rows that the classifier is fitted to, at most: those with the smallest hash of their key.
+#: Labelled rows that the classifier is fitted to, about, if there are more: those with the smallest hashes of their keys.
 FIT_ROWS = 20_000
 #: Up to this many (host, path) rows, about 64 bytes each, the site table is broadcast.
 MAX_BROADCAST_SITES = 200_000
@@ -106,7 +107,8 @@ def score_quality(
     rows = materialize(flat.mapInArrow(batches, f"k {kind}, h string, p string, " + ", ".join(f"{n} double" for n in names)), "quality")
 
     known = labels.select(F.col(key).alias("k"), F.col(label).cast("double").alias("good")).where("k is not null and good is not null")
-    picked = rows.join(known, "k").orderBy(F.md5(F.col("k").cast("string")), *names, "good").limit(FIT_ROWS).select(*names, "good").toPandas().to_numpy(float)
+    labelled = materialize(rows.join(known, "k").select("k", *names, "good"), "quality-labelled")
+    picked = hash_sample(labelled, F.col("k"), FIT_ROWS, labelled.count()).select(*names, "good").toPandas().to_numpy(float)
     good = picked[:, -1] > 0.5
     if len(good) and 0 < good.mean() < 1:
         m = fit_classifier(picked[:, :-1], good.astype(float))
