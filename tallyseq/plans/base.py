@@ -45,7 +45,7 @@ STAND_INS = {
     "ctl": """SELECT o_orderpriority AS source, CASE WHEN o_orderpriority = '1-URGENT' THEN 'negative' WHEN o_orderpriority = '2-HIGH' THEN 'positive' ELSE 'sample' END AS polarity,
         p_brand AS organism, COUNT(*) AS reads, round(AVG(l_discount) * 1000, 4) AS tass FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
         GROUP BY o_orderpriority, p_brand""",
-    # documents as sequences: distinct three-word shingles of the first documents of each source
+    # documents as sequences, grouped by source
     "seqs": "SELECT doc_id AS seq_id, source AS grp, text FROM documents",
 }
 QUERIES: dict[str, Callable] = {}

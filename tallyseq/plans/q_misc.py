@@ -16,12 +16,12 @@ S = lambda n: F.col(n).cast("string")
 
 
 @query("version_fallback", "J1 E2 J23", sql="""
-WITH a AS (SELECT 'ACC' || p_partkey || '.' || (p_partkey % 3) AS acc FROM part), d AS (SELECT 'ACC' || p_partkey || '.1' AS acc, min(p_size)::BIGINT AS taxid FROM part WHERE p_partkey % 2 = 0 GROUP BY 1),
+WITH a AS (SELECT 'ACC' || p_partkey || '.' || (p_partkey % 3) AS acc FROM part), d AS (SELECT 'ACC' || p_partkey || '.1' AS acc, min(p_size)::BIGINT AS taxid FROM part WHERE p_size > 25 GROUP BY 1),
 b AS (SELECT regexp_replace(acc, '\\.\\d+$', '') AS bare, min(taxid) AS loose FROM d GROUP BY 1)
 SELECT a.acc, coalesce(d.taxid, loose) AS taxid FROM a LEFT JOIN d ON a.acc = d.acc LEFT JOIN b ON regexp_replace(a.acc, '\\.\\d+$', '') = bare""")
 def version_fallback(t):
     name = lambda v: F.concat(F.lit("ACC"), S("p_partkey"), F.lit("."), v)
-    dim = t.part.where("p_partkey % 2 = 0").select(name(F.lit("1")).alias("acc"), F.col("p_size").cast("bigint").alias("taxid"))
+    dim = t.part.where("p_size > 25").select(name(F.lit("1")).alias("acc"), F.col("p_size").cast("bigint").alias("taxid"))
     return lk.with_version_fallback(t.part.select(name((F.col("p_partkey") % 3).cast("string")).alias("acc")), dim, "acc", "taxid")
 
 
@@ -33,11 +33,11 @@ def backfill(t):
 
 
 @query("match_cascade", "J15 A39 R17", sql="""
-WITH d1 AS (SELECT n_nationkey AS k, n_name || '!' AS v FROM nation WHERE n_nationkey % 2 = 0), d2 AS (SELECT r_regionkey AS r, r_name AS v FROM region WHERE r_regionkey < 3)
+WITH d1 AS (SELECT n_nationkey AS k, n_name || '!' AS v FROM nation WHERE n_name < 'M'), d2 AS (SELECT r_regionkey AS r, r_name AS v FROM region WHERE r_regionkey < 3)
 SELECT s_suppkey, coalesce(d1.v, d2.v) AS v, CASE WHEN d1.v IS NOT NULL THEN 0 WHEN d2.v IS NOT NULL THEN 1 END AS matched_by FROM supplier JOIN nation ON s_nationkey = n_nationkey LEFT JOIN d1 ON d1.k = s_nationkey LEFT JOIN d2 ON d2.r = n_regionkey""")
 def match_cascade(t):
     rows = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.col("s_nationkey").alias("k"), F.col("n_regionkey").alias("r"))
-    d1 = t.nation.where("n_nationkey % 2 = 0").select(F.col("n_nationkey").alias("k"), F.concat("n_name", F.lit("!")).alias("v"))
+    d1 = t.nation.where("n_name < 'M'").select(F.col("n_nationkey").alias("k"), F.concat("n_name", F.lit("!")).alias("v"))
     d2 = t.region.where("r_regionkey < 3").select(F.col("r_regionkey").alias("r"), F.col("r_name").alias("v"))
     return lk.cascade(rows, [(d1, ["k"]), (d2, ["r"])], "v").select("s_suppkey", "v", "matched_by")
 
@@ -207,12 +207,12 @@ def nested_report(t):
 
 
 @query("flow_operators", "J25 U1 U3 U5 channel", sql="""
-WITH a AS (SELECT o_orderkey AS id, o_custkey AS meta, o_orderpriority AS kind FROM orders WHERE o_orderkey % 2 = 0), b AS (SELECT o_orderkey AS id, o_orderstatus AS state FROM orders WHERE o_orderkey % 3 = 0),
+WITH a AS (SELECT o_orderkey AS id, o_custkey AS meta, o_orderpriority AS kind FROM orders WHERE o_totalprice > 100000), b AS (SELECT o_orderkey AS id, o_orderstatus AS state FROM orders WHERE o_orderstatus <> 'P'),
 j AS (SELECT coalesce(a.id, b.id) AS id, meta, kind, state FROM a FULL JOIN b ON a.id = b.id)
 SELECT CASE WHEN kind IS NULL THEN 'right_only' WHEN state IS NULL THEN 'left_only' WHEN kind LIKE '1%' THEN 'urgent' ELSE 'both' END AS branch, count(*) AS n, count(DISTINCT meta) AS metas, min(id) AS first_id FROM j GROUP BY 1""")
 def flow_operators(t):
-    a = t.orders.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("meta"), F.col("o_orderpriority").alias("kind"))
-    b = t.orders.where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("state"))
+    a = t.orders.where("o_totalprice > 100000").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("meta"), F.col("o_orderpriority").alias("kind"))
+    b = t.orders.where("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("state"))
     j = a.join(b, "id", "full")
     branch = F.when(F.col("kind").isNull(), "right_only").when(F.col("state").isNull(), "left_only").when(F.col("kind").startswith("1"), "urgent").otherwise("both")
     return j.groupBy(branch.alias("branch")).agg(F.count("*").alias("n"), F.countDistinct("meta").alias("metas"), F.min("id").alias("first_id"))

@@ -185,10 +185,10 @@ def youden_cutoff(t):
 
 
 @query("precision_levels", "A50", sql=f"""WITH {_LAB}, u AS (SELECT 'key' AS level, source || '/' || lang AS grp, * FROM l UNION ALL SELECT 'subkey', source, * FROM l UNION ALL SELECT 'toplevelkey', lang, * FROM l),
-g AS (SELECT level, grp, max(quality) = 1 AS truth, max(score) >= 99 AS called FROM u WHERE doc_id % 3 = 0 GROUP BY level, grp)
+g AS (SELECT level, grp, max(quality) = 1 AS truth, max(score) >= 99 AS called FROM u GROUP BY level, grp)
 SELECT level, sum((truth AND called)::INT)::BIGINT AS tp, sum((NOT truth AND called)::INT)::BIGINT AS fp, sum((truth AND NOT called)::INT)::BIGINT AS fn FROM g GROUP BY level""")
 def precision_levels(t):
-    u = _labelled(t).where("doc_id % 3 = 0")
+    u = _labelled(t)
     lev = F.explode(F.array(F.struct(F.lit("key").alias("level"), F.concat_ws("/", "source", "lang").alias("grp")), F.struct(F.lit("subkey").alias("level"), F.col("source").alias("grp")), F.struct(F.lit("toplevelkey").alias("level"), F.col("lang").alias("grp"))))
     g = u.select(lev.alias("l"), "quality", "score").groupBy("l.level", "l.grp").agg((F.max("quality") == 1).alias("truth"), (F.max("score") >= 99).alias("called"))
     return g.groupBy("level").agg(F.count_if(F.col("truth") & F.col("called")).alias("tp"), F.count_if(~F.col("truth") & F.col("called")).alias("fp"), F.count_if(F.col("truth") & ~F.col("called")).alias("fn"))
