@@ -22,8 +22,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Three bits of one 3-word fingerprint find few copies at a five-word similarity of 0.8, so the stage
     takes distinct words as features and several tables: three bits in any, and a close match over all.
+    These links are candidates; a document goes only by links at an exact five-word Jaccard of 0.8.
     """
-    return simhash_vptree.keep_one(docs, size=0, tables=8, radius=3, total=48)
+    return simhash_vptree.keep_one(docs, size=0, tables=8, radius=3, total=48, min_jaccard=0.8)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

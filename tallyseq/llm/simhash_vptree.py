@@ -9,6 +9,9 @@ outer fingerprints that near the boundary are queried inside as well. Every link
 least one shard. Shards go on splitting by the same rule in memory, then compare all bits exactly. A
 shard gives out a spanning forest of its links instead of all pairs, and components are joined across
 shards.
+
+With `min_jaccard` these components are only candidates: inside each one, all texts are compared by the
+exact Jaccard of their five-word shingles, and the links that pass make the final components.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ from tallyseq.session import materialize
 SAMPLE, SHARD = 16_384, 4_096
 #: Up to this many row keys (24 bytes each) are broadcast; more are joined by shuffle.
 MAX_BROADCAST_KEYS = 1_000_000
+#: Texts, and shingles in all, of a candidate component that one group of the Jaccard check takes.
+CHUNK, CHUNK_SHINGLES = 512, 1 << 20
 #: Blocks up to this size are compared as a matrix.
 BLOCK = 384
 _BYTES = np.uint64(0x0101010101010101)
@@ -77,6 +82,41 @@ def fingerprint(text: str | None, size: int = 3, seed: int = 42, tables: int = 1
     return np.packbits(2 * counts > n, axis=1, bitorder="little").view("<u8").ravel()
 
 
+def shingle_set(text: str | None, size: int = 5) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of a text's word shingles; a shorter text is one shingle, no words give none."""
+    import xxhash
+
+    w = words(text)
+    found = {b" ".join(w[i:i + size]) for i in range(max(1, len(w) - size + 1))} if w else ()
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, found), np.uint64, len(found)))
+
+
+def jaccard_forest(sets: list[np.ndarray], least: float) -> tuple[list[int], list[int]]:
+    """Index pairs at a Jaccard of `least` or more whose components are those of all such pairs.
+
+    One pass counts what a set has in common with every other. A pair between two clusters is found from
+    either end, so the members of the largest cluster needn't be passed.
+    """
+    n = np.array([len(s) for s in sets])
+    every = np.concatenate(sets)
+    order = np.argsort(every, kind="stable")
+    every, owner = every[order], np.repeat(np.arange(len(sets)), n)[order]
+    label, done, src, dst = np.arange(len(sets)), n == 0, [], []
+    while len(todo := np.flatnonzero(~done & (label != np.bincount(label).argmax()))):
+        i = int(todo[0])
+        done[i] = True
+        low = np.searchsorted(every, sets[i])
+        many = np.searchsorted(every, sets[i], "right") - low
+        at = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+        shared = np.bincount(owner[at], minlength=len(sets))
+        for j in np.flatnonzero((shared > 0) & (shared >= least * (n[i] + n - shared) - 1e-9)):
+            if label[j] != label[i]:
+                label[label == label[j]] = label[i]
+                src.append(i)
+                dst.append(int(j))
+    return src, dst
+
+
 def choose_split(x: np.ndarray, radius: int, rng: np.random.Generator) -> tuple | None:
     """(vantage, mu) that splits x best with its overlap, or None if no split pays."""
     best = None
@@ -195,9 +235,23 @@ def shard_links(x: np.ndarray, radius: int, half: np.uint64, full: np.ndarray |
     return (np.concatenate([a for a, _ in out]), np.concatenate([b for _, b in out])) if out else (none, none)
 
 
-def fingerprints(docs: DataFrame, key: str, text: str, size: int, seed: int, tables: int = 1) -> DataFrame:
-    """(k, fp0, fp1, ..., node) of every row as signed bigints; node names the distinct fingerprint (tuple)."""
+def _text_hash(text: str):
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
+def _few(df: DataFrame) -> DataFrame:
+    """df, broadcast if it has few rows."""
+    return F.broadcast(df) if df.count() <= MAX_BROADCAST_KEYS else df
+
+
+def fingerprints(docs: DataFrame, key: str, text: str, size: int, seed: int, tables: int = 1, shingles: bool = False) -> DataFrame:
+    """(k, fp0, fp1, ..., node) of every row as signed bigints; node names the distinct fingerprint (tuple).
+
+    With `shingles`, node names the distinct set of five-word shingles instead, and (n, h) are its size and
+    the text's hash.
+    """
     import pyarrow as pa
+    import xxhash
 
     names = [f"fp{t}" for t in range(tables)]
 
@@ -207,7 +261,21 @@ def fingerprints(docs: DataFrame, key: str, text: str, size: int, seed: int, tab
             fp = np.array(fp, np.uint64).reshape(-1, tables).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c) for c in fp.T.copy()]], ["k", *names])
 
+    def with_sets(it):
+        for b in it:
+            fp, of = [], []
+            for t in b.column(1):
+                t = t.as_py()
+                fp.append(fingerprint(t, size, seed, tables))
+                of.append((xxhash.xxh64_intdigest((s := shingle_set(t)).tobytes()), len(s)))
+            fp, of = np.array(fp, np.uint64).reshape(-1, tables).view(np.int64), np.array(of, np.uint64).reshape(-1, 2).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), *[pa.array(c) for c in fp.T.copy()], *[pa.array(c) for c in of.T.copy()], b.column(2)], ["k", *names, "node", "n", "h"])
+
     kind = docs.schema[key].dataType.simpleString()
+    if shingles:
+        rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), _text_hash(text).alias("h"))
+        return rows.mapInArrow(with_sets, f"k {kind}, " + "".join(f"{n} long, " for n in names) + "node long, n long, h long")
     out = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(batches, f"k {kind}, " + ", ".join(f"{n} long" for n in names))
     return out.withColumn("node", F.col("fp0") if tables == 1 else F.xxhash64(*names))
 
@@ -240,24 +308,74 @@ def fingerprint_links(nodes: DataFrame, radius: int, n: int, tables: int = 1, to
     return nodes.select("node", *names).mapInArrow(deal, fields).groupBy("t", "shard").applyInArrow(link, "src long, dst long")
 
 
+def verified_links(docs: DataFrame, text: str, members: DataFrame, least: float) -> DataFrame:
+    """Members (node, component, n, h) of candidate components -> links (src, dst) with the components of
+    all pairs inside a candidate component at a five-word Jaccard of `least` or more.
+
+    A component of more than CHUNK texts is cut into chunks, each compared together with the component's
+    first text, which ties the chunks of true copies. What isn't in the component's largest cluster then
+    is compared with all its texts, in groups of two chunks.
+    """
+    import pyarrow as pa
+
+    def link(_: tuple, rows: pa.Table) -> pa.Table:
+        node, first = np.unique(rows.column("node").to_numpy(), return_index=True)
+        texts = rows.column("t")
+        a, b = jaccard_forest([shingle_set(texts[int(i)].as_py()) for i in first], least)
+        return pa.table({"src": pa.array(node[a], pa.int64()), "dst": pa.array(node[b], pa.int64())})
+
+    out = "src long, dst long"
+    chunks = F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("n") / CHUNK_SHINGLES)).cast("int")
+    big = materialize(members.groupBy("component").agg(chunks.alias("chunks")).where("chunks > 1"), "simhash-big")
+    cut = members.join(_few(big), "component", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    cut = materialize(cut.withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks").cast("int")), "simhash-chunks")
+    texts = docs.select(_text_hash(text).alias("h"), F.col(text).alias("t")).join(_few(cut), "h").dropDuplicates(["node"])
+    texts = materialize(texts.select("component", "chunks", "chunk", "node", "t"), "simhash-texts")
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    where = F.when(F.col("node") == F.col("component"), upto("chunks")).otherwise(F.array("chunk"))
+    links = materialize(texts.select("component", F.explode(where).alias("a"), "node", "t").groupBy("component", "a").applyInArrow(link, out), "simhash-verified")
+    if not big.count():
+        return links
+    in_big = cut.where("chunks > 1").select("component", "node")
+    clusters = connected_components(links.join(in_big.select(F.col("node").alias("src")), "src", "left_semi")).select("node", F.col("component").alias("cluster"))
+    clusters = materialize(in_big.join(clusters, "node", "left").withColumn("cluster", F.coalesce("cluster", "node")), "simhash-clusters")
+    largest = clusters.groupBy("component", "cluster").count().groupBy("component").agg(F.max_by("cluster", F.struct("count", "cluster")).alias("cluster"))
+    rest = materialize(clusters.join(_few(materialize(largest, "simhash-largest")), ["component", "cluster"], "left_anti").select("component", "node"), "simhash-rest")
+    if not rest.count():
+        return links
+    of = rest.groupBy("component").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("others"))
+    wide = texts.join(_few(materialize(of, "simhash-others")), "component")
+    all_of = wide.select("component", F.col("chunk").alias("a"), F.explode(upto("others")).alias("b"), "node", "t")
+    odd = wide.join(_few(rest.select("node")), "node", "left_semi")
+    odd = odd.select("component", F.explode(upto("chunks")).alias("a"), F.pmod(F.xxhash64("node"), "others").cast("int").alias("b"), "node", "t")
+    return links.unionByName(all_of.unionByName(odd).groupBy("component", "a", "b").applyInArrow(link, out))
+
+
 def near_duplicates(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, radius: int = 3, seed: int = 42, tables: int = 1, total: int = 0,
+    docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, radius: int = 3, seed: int = 42, tables: int = 1, total: int = 0, min_jaccard: float = 0.0,
 ) -> DataFrame:
     """(key, fingerprint, component_id), one row per input row.
 
     component_id is the smallest key reachable over links. Two fingerprints link if they differ in at
     most `radius` bits; with several tables (each SimHash from other hashes of the same features) if
-    that holds in any of them and all tables together differ in at most `total` bits. Null keys are
+    that holds in any of them and all tables together differ in at most `total` bits. With `min_jaccard`
+    the components of these links are candidates, and two texts link if they are in one candidate
+    component and their sets of five-word shingles have that Jaccard at least (a text of 1 to 4 words is
+    one shingle; texts without words are equal). Null keys are
     never the smallest, and a component of null keys alone has null. Null and empty texts, and texts of
     white space, have fingerprint zero and link like any other. Repeated rows stay. An empty input gives
     an empty result; other columns are not read; texts are hashed whole.
     """
-    rows = materialize(fingerprints(docs, key, text, size, seed, tables), "simhash")
+    rows = materialize(fingerprints(docs, key, text, size, seed, tables, min_jaccard > 0), "simhash")
     names = [f"fp{t}" for t in range(tables)]
-    nodes = rows.groupBy("node").agg(F.min("k").alias("low"), *[F.first(c).alias(c) for c in names])
+    of_set = [F.first("n").alias("n"), F.min("h").alias("h")] if min_jaccard > 0 else []
+    nodes = rows.groupBy("node").agg(F.min("k").alias("low"), *[F.first(c).alias(c) for c in names], *of_set)
     nodes = materialize(nodes, "simhash-nodes")
     links = materialize(fingerprint_links(nodes, radius, nodes.count(), tables, total), "simhash-links")
     comps = connected_components(links)
+    if min_jaccard > 0:
+        members = nodes.select("node", "n", "h").join(comps, "node")
+        comps = connected_components(verified_links(docs, text, materialize(members, "simhash-members"), min_jaccard))
     rooted = nodes.select("node", "low").join(comps, "node", "left").withColumn("root", F.coalesce("component", "node"))
     rooted = materialize(rooted.select("node", "root", "low"), "simhash-roots")
     labels = rooted.select("node", "root").join(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "root").select("node", "component_id")
@@ -266,7 +384,7 @@ def near_duplicates(
 
 
 def keep_one(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, radius: int = 3, seed: int = 42, tables: int = 1, total: int = 0,
+    docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, radius: int = 3, seed: int = 42, tables: int = 1, total: int = 0, min_jaccard: float = 0.0,
 ) -> DataFrame:
     """docs with all its columns and one row of each component: that with the smallest key (null last).
 
@@ -274,7 +392,7 @@ def keep_one(
     repeated rows one stays.
     """
     tag = F.struct(F.coalesce(F.col(key).cast("bigint"), F.lit((1 << 63) - 1)).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("h"))
-    found = near_duplicates(docs.select(tag.alias("k"), F.col(text).alias("t")), "k", "t", size, radius, seed, tables, total)
+    found = near_duplicates(docs.select(tag.alias("k"), F.col(text).alias("t")), "k", "t", size, radius, seed, tables, total, min_jaccard)
     per_key = found.groupBy("k").agg(F.count("*").alias("n"), F.first("component_id").alias("c"))
     odd = materialize(per_key.select("k", (F.col("k") == F.col("c")).alias("first"), "n").where("not first or n > 1"), "simhash-odd")
     few = F.broadcast if odd.count() <= MAX_BROADCAST_KEYS else lambda df: df

@@ -229,3 +229,34 @@ def test_pipeline_stages(spark):
     assert mixed.columns == docs.columns and set(r.doc_id for r in mixed.collect()) <= set(r.doc_id for r in left.collect())
     out = corpus_pipeline.run(spark, SF)
     assert out.count() > 0 and {"doc_id", "shard", "slot"} <= set(out.columns)
+
+
+def test_keep_one_verifies_shingles(spark, monkeypatch):
+    monkeypatch.setattr(simhash_vptree, "CHUNK", 4)  # components of several chunks too
+    rng = np.random.default_rng(8)
+
+    def changed(w, n):
+        w = list(w)
+        for i in rng.choice(len(w), n, replace=False):
+            w[i] = f"new{rng.integers(1 << 30)}"
+        return w
+
+    rows = []
+    for g in range(12):
+        base = [f"g{g}w{i}" for i in range(150)]
+        rows += [" ".join(changed(base, n)) for n in (0, 0, 1, 2, 3, 4, 5, 6, 8, 10)]
+        rows += [" ".join(base[::-1]), " ".join(rng.permutation(base))]  # the same words in another order
+    rows += [" ".join(changed(rows[0].split(), 1)) for _ in range(20)]
+    rows += ["one two", "ONE  two", "two one", "", None]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    sets = [{b" ".join(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if (w := words(t)) else set() for t in rows]
+    loose = {r.doc_id: r.component_id for r in simhash_vptree.near_duplicates(df, size=0, tables=8, radius=3, total=48).collect()}
+    root = components(range(len(rows)), lambda a, b: loose[a] == loose[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    low = {}
+    for i in range(len(rows)):
+        low.setdefault(root(i), i)
+    out = simhash_vptree.near_duplicates(df, size=0, tables=8, radius=3, total=48, min_jaccard=0.8)
+    assert {r.doc_id: r.component_id for r in out.collect()} == {i: low[root(i)] for i in range(len(rows))}
+    kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, SF).collect()}
+    assert kept == set(low.values())
+    assert kept < set(range(len(rows))) and len(set(loose.values())) < len(kept)
