@@ -181,6 +181,16 @@ def shingle_jaccard(t):
     return sk.similar_pairs(sets, "seq_id", "grp", 0.1, top=10).select("q", "m", "shared", *[F.round(c, 6).alias(c) for c in ("jaccard", "containment_1_in_2", "containment_2_in_1")])
 
 
+@query("shingle_topk", "T2", uses="seqs", sql=f"""WITH {_HASHES.format(scaled=8)},
+n AS (SELECT seq_id, count(*) AS n FROM s GROUP BY seq_id), p AS (SELECT a.seq_id AS q, b.seq_id AS m, count(*) AS shared FROM s a JOIN s b ON a.hash = b.hash AND a.grp <> b.grp GROUP BY 1, 2),
+j AS (SELECT q, m, shared, shared * 1.0 / (x.n + y.n - shared) AS jaccard FROM p JOIN n x ON x.seq_id = q JOIN n y ON y.seq_id = m),
+r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY jaccard DESC, m) AS no FROM j WHERE jaccard >= 0.1)
+SELECT q, m, shared, round(jaccard, 6) AS jaccard FROM r WHERE no <= greatest(10, ceil(0.1::DOUBLE * (SELECT count(*) FROM n)))""")
+def shingle_topk(t):
+    sets = sk.shingle_hashes(t.seqs, ["seq_id", "grp"], "text", 5, scaled=8)
+    return sk.similar_pairs(sets, "seq_id", "grp", 0.1, top=10, share=0.1).select("q", "m", "shared", F.round("jaccard", 6).alias("jaccard"))
+
+
 @query("ani_prefilter", "J10 E16 E17 U5", uses="seqs", sql=f"""WITH {_HASHES.format(scaled=64)}, o AS (SELECT DISTINCT grp, hash FROM s), n AS (SELECT grp, count(*) AS n FROM o GROUP BY grp),
 p AS (SELECT a.grp AS g1, b.grp AS g2, count(*) AS shared FROM o a JOIN o b ON a.hash = b.hash AND a.grp < b.grp GROUP BY 1, 2)
 SELECT g1, g2, shared, round((pow(shared * 1.0 / x.n, 1.0 / 21) + pow(shared * 1.0 / y.n, 1.0 / 21)) / 2, 6) AS ani_mean, round(least(pow(shared * 1.0 / x.n, 1.0 / 21), pow(shared * 1.0 / y.n, 1.0 / 21)), 6) AS ani_min,
@@ -194,7 +204,7 @@ def ani_prefilter(t):
     return p.select("g1", "g2", "shared", F.round((x + y) / 2, 6).alias("ani_mean"), F.round(F.least(x, y), 6).alias("ani_min"), (F.col("jaccard") >= fx.ani_to_jaccard(0.9, 21)).alias("passes"))
 
 
-@query("containment_topk", "J8 T2", uses="seqs", sql=f"""WITH {_HASHES.format(scaled=1)},
+@query("containment_topk", "J8", uses="seqs", sql=f"""WITH {_HASHES.format(scaled=1)},
 bw AS (SELECT item_id, string_split_regex(trim(lower(text)), '\\s+') AS w FROM benchmark), bi AS (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM bw WHERE len(w) >= 5),
 b AS (SELECT DISTINCT item_id, ('0x' || substr(md5(array_to_string(w[i:i+4], ' ')), 1, 8))::BIGINT AS hash FROM bi), n AS (SELECT item_id, count(*) AS n FROM b GROUP BY item_id),
 p AS (SELECT item_id, seq_id, count(*) AS shared FROM b JOIN s USING (hash) GROUP BY item_id, seq_id), r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY shared * 1.0 / n DESC, seq_id) AS no FROM p JOIN n USING (item_id))
