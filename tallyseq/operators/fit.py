@@ -77,5 +77,5 @@ def sketch_sweep(df: DataFrame, key: str, group: str, text: str, sizes: tuple[in
 
 def dirichlet(df: DataFrame, key: str, group: str, seed: int) -> DataFrame:
     """Adds weight: shares of a flat Dirichlet draw per group, from exponentials of a seeded hash."""
-    u = (sk.md5_hash(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))) + 1) / 4294967297.0
+    u = (sk.md5_hash(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")), 8) + 1) / 4294967297.0
     return df.withColumn("_g", -F.log(u)).withColumn("weight", F.col("_g") / F.sum("_g").over(Window.partitionBy(group))).drop("_g")

@@ -231,3 +231,8 @@ def test_top_k_grows_with_the_sets(spark):
     n = sketch.similar_pairs(sets, "id", "g", 0.1, top=10, share=0.1).groupBy("q").count().collect()
     assert len(n) == 240 and {r["count"] for r in n} == {24}
     assert sketch.similar_pairs(sets.where("id < 60"), "id", "g", 0.1, top=10, share=0.1).count() == 600
+
+
+def test_shingles_with_equal_32_bits_differ(spark):
+    rows = [(1, "k15231"), (2, "k25525")]
+    assert sketch.shingle_hashes(spark.createDataFrame(rows, "id long, t string"), ["id"], "t", 1).select("hash").distinct().count() == 2
