@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tallyseq.operators.graph import connected_components
+
 
 def shared_read_pairs(aln: DataFrame, read: str = "read_id", ref: str = "ref_id", floor: float = 0.0) -> DataFrame:
     """(ref1, ref2, shared, n1, n2, jaccard) of references with common reads, ref1 < ref2.
@@ -23,6 +25,12 @@ def shared_read_pairs(aln: DataFrame, read: str = "read_id", ref: str = "ref_id"
     return both.where(F.col("jaccard") >= floor)
 
 
+def read_clusters(aln: DataFrame, read: str = "read_id", ref: str = "ref_id", min_shared: int = 1) -> DataFrame:
+    """(node, component) of references that share at least `min_shared` reads with another."""
+    pairs = shared_read_pairs(aln, read, ref).where(F.col("shared") >= min_shared)
+    return connected_components(pairs, "ref1", "ref2")
+
+
 def supplement_pairs(known: DataFrame, more: DataFrame, a: str = "ref1", b: str = "ref2") -> DataFrame:
     """Pairs of `more` that `known` lacks in either orientation."""
     norm = lambda d: d.select(F.least(a, b).alias("_a"), F.greatest(a, b).alias("_b")).distinct()

@@ -32,7 +32,7 @@ def supplement_pairs(t):
     return cf.supplement_pairs(turned, pairs.where("jaccard >= 0.01")).select("ref1", "ref2", "shared")
 
 
-@query("conflict_clusters", "A11 R14", uses="aln", sql=f"""WITH RECURSIVE {_PAIRS},
+@query("conflict_clusters", "", uses="aln", sql=f"""WITH RECURSIVE {_PAIRS},
 e AS MATERIALIZED (SELECT ref1 AS u, ref2 AS v FROM j WHERE shared >= (SELECT quantile_cont(shared, 0.99) FROM j) UNION SELECT ref2, ref1 FROM j WHERE shared >= (SELECT quantile_cont(shared, 0.99) FROM j)),
 r AS (SELECT u AS node, u AS root FROM e UNION SELECT e.v, r.root FROM r JOIN e ON e.u = r.node)
 SELECT node AS ref_id, min(root) AS cluster FROM r GROUP BY node""")
@@ -43,6 +43,16 @@ def conflict_clusters(t):
     return connected_components(edges, "ref1", "ref2").select(F.col("node").alias("ref_id"), F.col("component").alias("cluster"))
 
 
+@query("multimap_pairs_all", "J11", uses="aln", sql=f"WITH {_PAIRS} SELECT ref1, ref2, shared, n1, n2, round(jaccard, 6) AS jaccard FROM j")
+def multimap_pairs_all(t):
+    return cf.shared_read_pairs(t.aln).select("ref1", "ref2", "shared", "n1", "n2", F.round("jaccard", 6).alias("jaccard"))
+
+
+@query("shared_read_clusters", "A11 R14")
+def shared_read_clusters(t):
+    return cf.read_clusters(t.aln).select(F.col("node").alias("ref_id"), F.col("component").alias("cluster"))
+
+
 @query("best_alignment", "A15 A17 X18", uses="aln", sql="""
 WITH k AS (SELECT *, mapq + score = max(mapq + score) OVER (PARTITION BY read_id) AS best FROM aln)
 SELECT ref_id, count(*) AS n, sum(CASE WHEN best THEN 1 ELSE 0 END)::BIGINT AS n_best, sum(CASE WHEN best THEN 0 ELSE 1 END)::BIGINT AS n_removed, count(DISTINCT CASE WHEN NOT best THEN read_id END) AS reads_removed FROM k GROUP BY ref_id""")

@@ -236,3 +236,19 @@ def test_top_k_grows_with_the_sets(spark):
 def test_shingles_with_equal_32_bits_differ(spark):
     rows = [(1, "k15231"), (2, "k25525")]
     assert sketch.shingle_hashes(spark.createDataFrame(rows, "id long, t string"), ["id"], "t", 1).select("hash").distinct().count() == 2
+
+
+def test_clusters_take_every_shared_read(spark):
+    rng = random.Random(5)
+    rows = [(r, rng.randrange(60)) for r in range(25) for _ in range(2)] + [(90, 70), (91, 71)]
+    rows += [(100 + i, ref) for i in range(50) for ref in (80, 81)]  # one strong pair doesn't hide weak ones
+    group = {ref: {ref} for _, ref in rows}
+    for r, a in rows:
+        for q, b in rows:
+            if r == q and group[a] is not group[b]:
+                group[a] |= group[b]
+                for x in group[b]:
+                    group[x] = group[a]
+    df = spark.createDataFrame(rows, "read_id long, ref_id long")
+    got = {r.node: r.component for r in conflict.read_clusters(df).collect()}
+    assert got == {ref: min(g) for ref, g in group.items() if len(g) > 1}
