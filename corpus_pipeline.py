@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyseq.llm import benchmark_leaks, jump_sharding, mixing, simhash_vptree, site_quality
-from tallyseq.session import materialize
+from tallyseq.session import delete, scratch, shared_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +24,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     takes distinct words as features and several tables: three bits in any, and a close match over all.
     These links are candidates; a document goes only by links at an exact five-word Jaccard of 0.8.
     """
-    return simhash_vptree.keep_one(docs, size=0, tables=8, radius=3, total=48, min_jaccard=0.8)
+    return simhash_vptree.keep_one(docs, size=0, tables=8, radius=3, total=96, min_jaccard=0.8)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +38,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row's shard and slot."""
-    return jump_sharding.shard_rows(docs)
+    """Every row with all its columns, its shard and its slot there."""
+    return jump_sharding.place_rows(docs)
 
 
 STAGES = [
@@ -54,7 +54,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages; the result is written by shard. What a stage leaves besides its output is deleted, and so
+    is its input, once its output is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = shared_path(spark, name.replace(" ", "-"))
+        with scratch(spark):
+            out = stage(spark, docs, sf_dir)
+            by = ["shard"] if stage is shard else []
+            out.write.partitionBy(*by).parquet(path)
+        if before:
+            delete(spark, before)
+        docs, before = spark.read.schema(out.schema).parquet(path), path
     return docs
