@@ -1,7 +1,8 @@
 """Chat formatting: typed content parts become one template text with a loss mask and attachments.
 
-A visitor turns each content part into text: text parts are escaped, image, audio and document parts
-become an ordered placeholder, and their reference and expanded token count are recorded in order.
+A visitor turns each content part into text: adjacent text parts are joined and escaped as one, image,
+audio and document parts become an ordered placeholder, and their reference and expanded token count are
+recorded in order. Parts of another kind become a placeholder of their own without tokens.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ PART = "struct<kind:string,text:string,ref:string,width:int,height:int,seconds:d
 CONTROLS = ("<|", "</s>", "<s>", "[INST]", "[/INST]")
 TURN, BODY, END = "<|turn|>", "<|body|>", "<|end|>"
 PLACEHOLDERS = {"image": "<|image|>", "audio": "<|audio|>", "document": "<|document|>"}
+OTHER = "<|attachment|>"
 
 
 def escape(text: Column) -> Column:
@@ -39,8 +41,25 @@ def text_part(text: Column) -> Column:
     )
 
 
+def join_texts(parts: Column) -> Column:
+    """Parts with runs of text parts made one, so that no control string can form where two meet.
+
+    Null parts, and null parts arrays, count as nothing.
+    """
+    none = F.array().cast(f"array<{PART}>")
+
+    def add(done: Column, p: Column) -> Column:
+        last = F.get(done, F.size(done) - 1)
+        joined = text_part(F.concat(last["text"], F.coalesce(p["text"], F.lit(""))))
+        own = F.when(p["kind"] == "text", text_part(p["text"])).otherwise(p)
+        run = (F.size(done) > 0) & (last["kind"] == "text") & (p["kind"] == "text")
+        return F.when(run, F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(joined))).otherwise(F.concat(done, F.array(own)))
+
+    return F.aggregate(F.filter(F.coalesce(parts, none), lambda p: p.isNotNull()), none, add)
+
+
 def visit(part: Column, patch: int, audio_rate: int, page_tokens: int) -> Column:
-    """One part -> struct(out, kind, ref, tokens). Unknown kinds and null sizes: no text, no tokens."""
+    """One part -> struct(out, kind, ref, tokens). Null sizes and kinds not known: no tokens."""
     kind, none = part["kind"], F.lit(0).cast("bigint")
     tiles = F.ceil(part["width"] / patch) * F.ceil(part["height"] / patch)
     tokens = (
@@ -52,7 +71,7 @@ def visit(part: Column, patch: int, audio_rate: int, page_tokens: int) -> Column
     for name, mark in PLACEHOLDERS.items():
         out = out.when(kind == name, F.lit(mark))
     return F.struct(
-        F.coalesce(out, F.lit("")).alias("out"), kind.alias("kind"), part["ref"].alias("ref"),
+        out.otherwise(F.lit(OTHER)).alias("out"), kind.alias("kind"), part["ref"].alias("ref"),
         F.coalesce(tokens.cast("bigint"), none).alias("tokens"),
     )
 
@@ -63,7 +82,8 @@ def format_chats(
 ) -> DataFrame:
     """(conv, formatted, n_turns, loss_spans, attachments, attachment_tokens), one row per conversation.
 
-    `parts` is an array of PART; a null array or element counts as nothing, a null role as empty. Turns
+    `parts` is an array of PART; a null array or element counts as nothing, a null role as empty. A part of
+    a null or unknown kind is an attachment too, with the placeholder OTHER and no tokens. Turns
     go by number (null first), then role, then rendered text, so ties and repeated rows have one
     order; repeated rows stay. loss_spans holds [start, end) in code points of the bodies of loss_role.
     The n-th placeholder in the text belongs to the n-th attachment. Rows with a null id form one
@@ -75,14 +95,13 @@ def format_chats(
     """
     seen = turns.select(
         F.col(conv).alias("c"), F.col(turn).alias("t"), F.coalesce(F.col(role), F.lit("")).alias("r"),
-        F.transform(F.filter(F.coalesce(F.col(parts), F.array().cast(f"array<{PART}>")), lambda p: p.isNotNull()),
-                    lambda p: visit(p, patch, audio_rate, page_tokens)).alias("p"),
+        F.transform(join_texts(F.col(parts)), lambda p: visit(p, patch, audio_rate, page_tokens)).alias("p"),
     )
     seen = seen.select(
         "c", "t", (F.col("r") == loss_role).alias("loss"),
         F.concat(F.lit(TURN), escape(F.col("r")), F.lit(BODY)).alias("head"),
         F.array_join(F.transform("p", lambda x: x["out"]), "").alias("body"),
-        F.transform(F.filter("p", lambda x: x["kind"].isin(*PLACEHOLDERS)), lambda x: x.dropFields("out")).alias("attached"),
+        F.transform(F.filter("p", lambda x: x["kind"].isNull() | (x["kind"] != "text")), lambda x: x.dropFields("out")).alias("attached"),
     )
     seen = seen.select(
         "c", "t", "loss", "attached", F.char_length("head").alias("before"), F.char_length("body").alias("inside"),

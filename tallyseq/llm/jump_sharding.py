@@ -87,3 +87,29 @@ def shard_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", shards:
             (F.col("first_slot") + F.col("at") - 1).cast(T.LongType()).alias("slot"), "grown_shard",
         )
     )
+
+
+PLACE = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+def place_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int = 8, buckets: int = 4096) -> DataFrame:
+    """docs with all its columns and, after them, those of PLACE, by the rules of shard_rows.
+
+    A column of docs that has a name of PLACE is replaced. Rows are grouped by (shard, bucket), which a
+    table written by shard needs anyway, so this is the one shuffle of the texts; the buckets' first slots
+    come from a narrow count before it. Fully equal rows are interchangeable.
+    """
+    body, own = F.coalesce(F.col(text), F.lit("")), [c for c in docs.columns if c not in PLACE]
+    k = F.col(key).cast("bigint")
+    tagged = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), k.alias("k"), F.crc32(body.cast("binary")).alias("text_crc32"),
+                         (F.octet_length(body) + 1).cast("bigint").alias("size"))
+    tagged = tagged.withColumns({"shard": jump_hash(F.col("k"), shards), "bucket": F.pmod(F.xxhash64("k", "text_crc32"), F.lit(buckets))})
+    before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    first = materialize(tagged.groupBy("shard", "bucket").agg(F.count("*").alias("n")), "shard-buckets")
+    first = first.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first_slot"))
+    if shards * buckets <= 1 << 18:  # at most that many rows of 24 bytes
+        first = F.broadcast(first)
+    at = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("k", "text_crc32", "size"))
+    return tagged.withColumn("at", at).join(first, ["shard", "bucket"]).select(
+        "row.*", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("first_slot") + F.col("at") - 1).cast("bigint").alias("slot"),
+        jump_hash(F.col("k"), shards + 1).alias("grown_shard"))

@@ -95,6 +95,7 @@ FROM d JOIN q USING (sk) JOIN c USING (sk, draw)"""
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_ledger.scan_versions(_table(spark, sf_dir, "documents"), "doc_id")
+    found = found.withColumn("spans", F.coalesce("spans", F.array().cast(secret_ledger.NO_SPANS)))
     of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
     text = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     return found.select(

@@ -1,8 +1,10 @@
 """Secret scanning with an incremental ledger of content-addressed blobs.
 
-Every historical version of every path is a blob named by its SHA-256. A ledger table records which
-(blob, rule version) pairs were scanned and what they gave; a run scans only pairs it doesn't know yet,
-each distinct blob once, appends them, and joins findings back to all paths that ever held the blob.
+Every historical version of every path is a blob named by its SHA-256. The ledger is two tables:
+`versions` says which path held which blob at which version, `findings` what each scanned (blob, rule
+version) pair gave. A run scans only pairs it doesn't know yet, each distinct blob once, appends to both
+tables, and joins findings back to all paths that ever held the blob. Both are read without duplicates,
+so a run that is repeated, or two at once, change nothing.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyseq.session import shared_path
+from tallyseq.session import delete, materialize, shared_path
 
 #: Kind, pattern, group that is measured, least length of it.
 RULES = (
@@ -52,7 +54,10 @@ def find_secrets(text: Column) -> Column:
     return F.array_sort(F.concat(*[_spans(text, i, *r) for i, r in enumerate(RULES)]))
 
 
-def _ledger(spark: SparkSession, path: str) -> DataFrame | None:
+NO_SPANS = "array<struct<start:int,no:int,kind:string,end:int>>"
+
+
+def _table(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
     except AnalysisException as e:
@@ -61,29 +66,48 @@ def _ledger(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def scan_versions(versions: DataFrame, path: str = "path", text: str = "text", ledger: str | None = None, rule_version: str = RULE_VERSION) -> DataFrame:
-    """(path, blob_id, spans) for every row of versions; spans is array<(start, no, kind, end)>.
-
-    A null text is the empty blob, a null path stays null, repeated rows stay. `ledger` names the table
-    to extend; None starts an empty one in the shared folder. Extra columns are not read. Start and end
-    are code points, end exclusive. Long texts are scanned whole.
+def findings(spark: SparkSession, ledger: str, rule_version: str = RULE_VERSION) -> DataFrame:
+    """(path, version, blob_id, spans) of every version that the ledger knows, by the rule version's scans.
 
-    Texts that hold no marker at all can't have findings and don't travel: only blobs with a marker are
-    gathered by content, each once, with copies merged before the shuffle.
+    A blob that this rule version hasn't scanned has null spans. `versions` counts equal rows of a run, and
+    the largest count of any run holds, so rows repeated within a run stay and repeated runs add none.
+    """
+    rows = spark.read.parquet(f"{ledger}/versions").groupBy("path", "version", "blob_id").agg(F.max("n").alias("n"))
+    rows = rows.select("path", "version", "blob_id", F.explode(F.array_repeat(F.lit(0), F.col("n").cast("int")))).drop("col")
+    known = spark.read.parquet(f"{ledger}/findings").where(F.col("rule_version") == rule_version)
+    known = known.groupBy("blob_id").agg(F.max("spans").alias("spans"))
+    return rows.join(known, "blob_id", "left").select("path", "version", "blob_id", "spans")
+
+
+def scan_versions(
+    versions: DataFrame, path: str = "path", text: str = "text", version: str | None = None, ledger: str | None = None, rule_version: str = RULE_VERSION,
+) -> DataFrame:
+    """Scan what is new, and return (path, version, blob_id, spans) over the ledger's whole history.
+
+    spans is array<(start, no, kind, end)>, in code points, end exclusive. A null text is the empty blob,
+    null paths and versions stay null, repeated rows stay. Without a version column the version is null,
+    so a path that changes its text has a row for each text it ever had. `ledger` names the folder to
+    extend; None starts an empty one in the shared folder. Extra columns are not read. An empty table
+    adds nothing. Long texts are scanned whole.
+
+    Texts are read and hashed once. Those without any marker can't have findings and aren't carried on:
+    only blobs with a marker are gathered by content, each once, with copies merged before the shuffle.
     """
     spark = versions.sparkSession
     ledger = ledger or shared_path(spark, "secret-ledger")
-    rows = versions.select(F.col(path).alias("p"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    rows = rows.withColumn("blob_id", F.sha2("t", 256))
-    seen = _ledger(spark, ledger)
-    blobs = rows.select("blob_id", F.when(F.col("t").rlike(MARKER), F.col("t")).alias("t"))
+    rows = versions.select(
+        F.col(path).alias("path"), (F.col(version) if version else F.lit(None).cast("string")).alias("version"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    rows = rows.select("path", "version", F.sha2("t", 256).alias("blob_id"), F.when(F.col("t").rlike(MARKER), F.col("t")).alias("t"))
+    rows = materialize(rows, "secret-rows")
+    seen = _table(spark, f"{ledger}/findings")
+    blobs = rows.select("blob_id", "t")
     if seen is not None:
         blobs = blobs.join(seen.where(F.col("rule_version") == rule_version).select("blob_id"), "blob_id", "left_anti")
     blobs = blobs.groupBy("blob_id").agg(F.first("t").alias("t"))
-    none = F.array().cast("array<struct<start:int,no:int,kind:string,end:int>>")
+    none = F.array().cast(NO_SPANS)
     scanned = blobs.select("blob_id", F.lit(rule_version).alias("rule_version"), F.when(F.col("t").isNotNull(), find_secrets(F.col("t"))).otherwise(none).alias("spans"))
-    scanned.write.mode("append").parquet(ledger)
-    known = spark.read.schema(scanned.schema).parquet(ledger).where((F.col("rule_version") == rule_version) & (F.size("spans") > 0))
-    # blobs without findings needn't be joined: a missing row means none
-    return rows.select("p", "blob_id").join(known.select("blob_id", "spans"), "blob_id", "left").select(
-        F.col("p").alias(path), "blob_id", F.coalesce("spans", none).alias("spans"))
+    # findings first: a run that is lost between the two writes leaves no path without its scan
+    scanned.write.mode("append").parquet(f"{ledger}/findings")
+    rows.groupBy("path", "version", "blob_id").agg(F.count("*").alias("n")).write.mode("append").parquet(f"{ledger}/versions")
+    delete(spark, rows.shared_path)
+    return findings(spark, ledger, rule_version).withColumnRenamed("path", path)

@@ -26,10 +26,11 @@ from pyspark.sql import functions as F
 from tallyseq.llm.sampling import hash_sample
 from tallyseq.llm.words import words
 from tallyseq.operators.graph import connected_components
-from tallyseq.session import materialize
+from tallyseq.session import materialize, scratch
 
-#: Fingerprints that the shared tree is fitted to, at most, and per shard aimed at.
-SAMPLE, SHARD = 16_384, 4_096
+#: Fingerprints that the shared trees are fitted to: so many a leaf, at least and at most in all. Distinct
+#: fingerprints aimed at in a shard; beyond MOST / PER_LEAF shards they grow, and go on splitting in memory.
+PER_LEAF, SAMPLE, MOST, SHARD = 32, 16_384, 1 << 20, 4_096
 #: Up to this many row keys (24 bytes each) are broadcast; more are joined by shuffle.
 MAX_BROADCAST_KEYS = 1_000_000
 #: Texts, and shingles in all, of a candidate component that one group of the Jaccard check takes.
@@ -285,7 +286,8 @@ def fingerprint_links(nodes: DataFrame, radius: int, n: int, tables: int = 1, to
     import pyarrow as pa
 
     names = [f"fp{t}" for t in range(tables)]
-    picked = hash_sample(nodes, F.col("node"), SAMPLE, n).select(*names).toPandas().to_numpy(np.int64).view(np.uint64) if n > SHARD else np.zeros((0, tables), np.uint64)
+    sample = min(MOST, max(SAMPLE, PER_LEAF * math.ceil(n / SHARD)))
+    picked = hash_sample(nodes, F.col("node"), sample, n).select(*names).toPandas().to_numpy(np.int64).view(np.uint64) if n > SHARD else np.zeros((0, tables), np.uint64)
     near = radius // len(HALVES)
     trees = [fit_tree(picked[:, t] & half, math.ceil(n / SHARD), near) if len(picked) else [-1, []] for t in range(tables) for half in HALVES]
 
@@ -366,19 +368,21 @@ def near_duplicates(
     white space, have fingerprint zero and link like any other. Repeated rows stay. An empty input gives
     an empty result; other columns are not read; texts are hashed whole.
     """
-    rows = materialize(fingerprints(docs, key, text, size, seed, tables, min_jaccard > 0), "simhash")
-    names = [f"fp{t}" for t in range(tables)]
-    of_set = [F.first("n").alias("n"), F.min("h").alias("h")] if min_jaccard > 0 else []
-    nodes = rows.groupBy("node").agg(F.min("k").alias("low"), *[F.first(c).alias(c) for c in names], *of_set)
-    nodes = materialize(nodes, "simhash-nodes")
-    links = materialize(fingerprint_links(nodes, radius, nodes.count(), tables, total), "simhash-links")
-    comps = connected_components(links)
-    if min_jaccard > 0:
-        members = nodes.select("node", "n", "h").join(comps, "node")
-        comps = connected_components(verified_links(docs, text, materialize(members, "simhash-members"), min_jaccard))
-    rooted = nodes.select("node", "low").join(comps, "node", "left").withColumn("root", F.coalesce("component", "node"))
-    rooted = materialize(rooted.select("node", "root", "low"), "simhash-roots")
-    labels = rooted.select("node", "root").join(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "root").select("node", "component_id")
+    with scratch(docs.sparkSession) as keep:
+        rows = keep(materialize(fingerprints(docs, key, text, size, seed, tables, min_jaccard > 0), "simhash"))
+        names = [f"fp{t}" for t in range(tables)]
+        of_set = [F.first("n").alias("n"), F.min("h").alias("h")] if min_jaccard > 0 else []
+        nodes = rows.groupBy("node").agg(F.min("k").alias("low"), *[F.first(c).alias(c) for c in names], *of_set)
+        nodes = materialize(nodes, "simhash-nodes")
+        links = materialize(fingerprint_links(nodes, radius, nodes.count(), tables, total), "simhash-links")
+        comps = connected_components(links)
+        if min_jaccard > 0:
+            members = nodes.select("node", "n", "h").join(comps, "node")
+            comps = connected_components(verified_links(docs, text, materialize(members, "simhash-members"), min_jaccard))
+        rooted = nodes.select("node", "low").join(comps, "node", "left").withColumn("root", F.coalesce("component", "node"))
+        rooted = materialize(rooted.select("node", "root", "low"), "simhash-roots")
+        lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
+        labels = keep(materialize(rooted.select("node", "root").join(lows, "root").select("node", "component_id"), "simhash-labels"))
     return rows.join(labels, "node").select(
         F.col("k").alias(key), F.lpad(F.lower(F.hex("fp0")), 16, "0").alias("fingerprint"), "component_id")
 
@@ -392,9 +396,10 @@ def keep_one(
     repeated rows one stays.
     """
     tag = F.struct(F.coalesce(F.col(key).cast("bigint"), F.lit((1 << 63) - 1)).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("h"))
-    found = near_duplicates(docs.select(tag.alias("k"), F.col(text).alias("t")), "k", "t", size, radius, seed, tables, total, min_jaccard)
-    per_key = found.groupBy("k").agg(F.count("*").alias("n"), F.first("component_id").alias("c"))
-    odd = materialize(per_key.select("k", (F.col("k") == F.col("c")).alias("first"), "n").where("not first or n > 1"), "simhash-odd")
+    with scratch(docs.sparkSession) as keep:
+        found = near_duplicates(docs.select(tag.alias("k"), F.col(text).alias("t")), "k", "t", size, radius, seed, tables, total, min_jaccard)
+        per_key = found.groupBy("k").agg(F.count("*").alias("n"), F.first("component_id").alias("c"))
+        odd = keep(materialize(per_key.select("k", (F.col("k") == F.col("c")).alias("first"), "n").where("not first or n > 1"), "simhash-odd"))
     few = F.broadcast if odd.count() <= MAX_BROADCAST_KEYS else lambda df: df
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), tag.alias("k"))
     alone = rows.join(few(odd.select("k")), "k", "left_anti")

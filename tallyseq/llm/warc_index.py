@@ -16,8 +16,10 @@ from tallyseq.session import materialize, shared_path
 
 #: Ranges with gaps up to GAP bytes are read at once, up to RANGE bytes together.
 GAP, RANGE = 64 << 10, 4 << 20
-#: Up to this many groups of copies (about 150 bytes each) are broadcast; more are joined by shuffle.
-MAX_BROADCAST_GROUPS = 300_000
+#: Groups of copies with their URLs are broadcast up to this many bytes; more are joined by shuffle.
+MAX_BROADCAST_BYTES = 48 << 20
+#: Bytes of archives aimed at in a reading task, and most tasks; larger selections have larger tasks.
+TASK_BYTES, MOST_TASKS = 4 << 20, 20_000
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -86,7 +88,8 @@ def write_archives(
     rows = pages.select(F.col(key).cast("bigint").alias("k"), F.col(url).cast("string").alias("u"), body.alias("b"), F.sha1(body.cast("binary")).alias("d"))
     groups = rows.where((F.octet_length("b") >= least_bytes)).groupBy("d").agg(F.count("*").alias("n"), F.max(F.when(F.col("k").isNotNull(), F.struct("k", "u"))).alias("top"))
     groups = materialize(groups.where("n > 1 and top is not null").select("d", F.col("top.k").alias("top"), F.col("top.u").alias("top_url")), "warc-groups")
-    if groups.count() <= MAX_BROADCAST_GROUPS:
+    held = groups.agg(F.sum(F.octet_length("d") + F.coalesce(F.octet_length("top_url"), F.lit(0)) + 24)).first()[0] or 0
+    if held <= MAX_BROADCAST_BYTES:
         groups = F.broadcast(groups)
     placed = rows.join(groups, "d", "left").select("k", "u", "b", "d", F.when(F.col("k").isNull() | (F.col("k") < F.col("top")), F.col("top")).alias("to"), "top_url")
 
@@ -138,7 +141,8 @@ def coalesced(places: list[tuple[str, int, int]]) -> Iterator[tuple[str, int, in
 
 def read_records(index: DataFrame, payload: bool = False) -> DataFrame:
     """Read the selected records of an index: (page_id, url, payload_bytes, payload_digest, record_type,
-    refers_to[, payload]). Any filter on the index selects records; the rest of an archive isn't read."""
+    refers_to[, payload]). Any filter on the index selects records; the rest of an archive isn't read. An
+    empty selection gives no rows, and a record selected twice is read twice."""
     import pyarrow as pa
 
     kinds = {"page_id": pa.int64(), "url": pa.string(), "payload_bytes": pa.int64(), "payload_digest": pa.string(), "record_type": pa.string(), "refers_to": pa.int64()}
@@ -160,7 +164,10 @@ def read_records(index: DataFrame, payload: bool = False) -> DataFrame:
                 rows = [parse(zlib.decompress(raw[places[i][1] - start: places[i][1] - start + places[i][2]], 31)) for i in at]
                 yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in kinds.items()], list(kinds))
 
-    near = index.select("file", "offset", "length").withColumn("block", F.floor(F.col("offset") / RANGE))
-    sorted_rows = near.repartition("file", "block").sortWithinPartitions("file", "offset").select("file", "offset", "length")
+    # tasks are cut by the bytes they'll read, not by the size of the index
+    places = index.select("file", "offset", "length")
+    total = places.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, min(MOST_TASKS, -(-total // TASK_BYTES)))
+    sorted_rows = places.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     text = ", ".join(f"{n} {'long' if t == pa.int64() else 'string' if t == pa.string() else 'binary'}" for n, t in kinds.items())
     return sorted_rows.mapInArrow(read, text)

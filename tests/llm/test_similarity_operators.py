@@ -97,7 +97,7 @@ def test_keep_one(spark):
     long = " ".join(f"word{i}" for i in range(300))
     rows = [(4, long, "a"), (2, long, "b"), (2, long, "b"), (9, long.replace("word7 ", "other "), "c"), (2, "another text entirely of its own", "d"), (None, "no key at all here", "e"), (None, "no key at all here", "e"), (11, None, "f"), (12, "", "g")]
     df = spark.createDataFrame(rows, "doc_id long, text string, k string")
-    out = simhash_vptree.keep_one(df, size=0, tables=8, radius=3, total=48)
+    out = simhash_vptree.keep_one(df, size=0, tables=8, radius=3, total=96)
     assert out.columns == df.columns
     assert sorted(map(str, (tuple(r)[0::2] for r in out.collect()))) == sorted(map(str, [(2, "b"), (2, "d"), (None, "e"), (11, "f")]))
 
@@ -228,7 +228,24 @@ def test_pipeline_stages(spark):
     mixed = stages["mixing to weights"](spark, left, SF)
     assert mixed.columns == docs.columns and set(r.doc_id for r in mixed.collect()) <= set(r.doc_id for r in left.collect())
     out = corpus_pipeline.run(spark, SF)
-    assert out.count() > 0 and {"doc_id", "shard", "slot"} <= set(out.columns)
+    assert out.count() == mixed.count() and out.columns[:4] == docs.columns[:4] and {*docs.columns, "shard", "slot"} <= set(out.columns)
+    assert {tuple(r) for r in out.select("doc_id", "text", "source", "lang").collect()} <= {tuple(r) for r in docs.select("doc_id", "text", "source", "lang").collect()}
+    assert {r[0] for r in out.select(F.regexp_extract(F.input_file_name(), r"shard=(\d+)", 1).cast("int") == F.col("shard")).collect()} == {True}
+
+
+def test_pipeline_stages_take_awkward_tables(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    empty = docs.limit(0)
+    clash = "doc_id long, text string, lang string, source string, n_chars long, row string, node long, shard string, k int, t double, slot int, h string, p string, c string"
+    odd = [(None, None, None, None, None) + (None,) * 9, (1, "", "en", "s", 0, "r", 1, "x", 1, 1.0, 1, "h", "p", "c"), (2, "plain words " * 100_000, "en", "s", 1, "r", 1, "x", 1, 1.0, 1, "h", "p", "c")]
+    odd += [(3, "one text that stands twice", "en", None, 1, "r", 1, "x", 1, 1.0, 1, "h", "p", "c")] * 2
+    odd = spark.createDataFrame(odd, clash)
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        assert stage(spark, empty, SF).count() == 0
+        out = stage(spark, odd, SF)
+        assert set(out.columns) >= set(odd.columns) and (i == 4 or out.columns == odd.columns)
+        # near-dedup keeps one of the null and empty texts and one of the repeated rows
+        assert out.count() == {1: 3, 2: 5, 4: 5}.get(i, out.count())
 
 
 def test_keep_one_verifies_shingles(spark, monkeypatch):
@@ -250,12 +267,12 @@ def test_keep_one_verifies_shingles(spark, monkeypatch):
     rows += ["one two", "ONE  two", "two one", "", None]
     df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
     sets = [{b" ".join(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if (w := words(t)) else set() for t in rows]
-    loose = {r.doc_id: r.component_id for r in simhash_vptree.near_duplicates(df, size=0, tables=8, radius=3, total=48).collect()}
+    loose = {r.doc_id: r.component_id for r in simhash_vptree.near_duplicates(df, size=0, tables=8, radius=3, total=96).collect()}
     root = components(range(len(rows)), lambda a, b: loose[a] == loose[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
     low = {}
     for i in range(len(rows)):
         low.setdefault(root(i), i)
-    out = simhash_vptree.near_duplicates(df, size=0, tables=8, radius=3, total=48, min_jaccard=0.8)
+    out = simhash_vptree.near_duplicates(df, size=0, tables=8, radius=3, total=96, min_jaccard=0.8)
     assert {r.doc_id: r.component_id for r in out.collect()} == {i: low[root(i)] for i in range(len(rows))}
     kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, SF).collect()}
     assert kept == set(low.values())

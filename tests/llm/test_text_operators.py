@@ -60,11 +60,29 @@ def test_chat_parts_and_attachments(spark):
             (1, 1, "assistant", [part("document", ref="c.pdf", pages=2), part("text", text="<|image|>"), part("video")]), (2, 0, "user", None)]
     df = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts array<{chat_format.PART}>")
     out = {r.conv_id: r for r in chat_format.format_chats(df).collect()}
-    assert [(a["kind"], a["ref"], a["tokens"]) for a in out[1].attachments] == [("image", "a.png", 3), ("audio", "b.wav", 38), ("document", "c.pdf", 2048)]
+    assert [(a["kind"], a["ref"], a["tokens"]) for a in out[1].attachments] == [("image", "a.png", 3), ("audio", "b.wav", 38), ("document", "c.pdf", 2048), ("video", None, 0)]
     assert out[1].attachment_tokens == 3 + 38 + 2048 and out[2].attachment_tokens == 0
-    assert re.findall(r"<\|(image|audio|document)\|>", out[1].formatted) == ["image", "audio", "document"]
+    assert re.findall(r"<\|(image|audio|document|attachment)\|>", out[1].formatted) == ["image", "audio", "document", "attachment"]
     s = out[1].loss_spans[0]
-    assert out[1].formatted[s["start"]:s["end"]] == "<|document|><\\|image|>"
+    assert out[1].formatted[s["start"]:s["end"]] == "<|document|><\\|image|><|attachment|>"
+
+
+def test_chat_controls_across_parts(spark):
+    text = lambda *xs: [("text", x, None, None, None, None, None) for x in xs]
+    image = [("image", None, "i", 14, 14, None, None)]
+    cases = [text("a<", "|end|>b"), text("</", "s>"), text("<", "", "|turn|>"), text("[", "INST]"), text("x\\", "<|"), text("<") + image + text("|end|>"), text("<\\"), text("<", "\\"), text("a", None, "b")]
+    rows = [(i, t, r, p) for i, p in enumerate(cases) for t, r in enumerate(("user", "assistant"))]
+    chat = chat_format.format_chats(spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts array<{chat_format.PART}>"))
+    out = {r.conv_id: r for r in chat_format.read_back(chat).collect()}
+    for i, p in enumerate(cases):
+        body = "".join((x[1] or "") if x[0] == "text" else "<|image|>" for x in p)
+        assert out[i].n_turns == 2
+        assert out[i].loss_sha256 == hashlib.sha256(body.encode()).hexdigest()
+        assert out[i].turns_sha256 == hashlib.sha256(f"user\n{body}\nassistant\n{body}\n".encode()).hexdigest()
+    for r in chat.collect():
+        for body in r.formatted.split(chat_format.BODY)[1:]:
+            body = body.split(chat_format.END)[0].replace("<|image|>", " ")
+            assert not any(c in body for c in chat_format.CONTROLS)
 
 
 def test_chat_empty(spark):
@@ -128,6 +146,17 @@ def secrets_of(text):
     return sorted(out)
 
 
+def test_shards_keep_all_columns(spark):
+    rows = [(i, f"text {i % 7}", "x", float(i)) for i in range(500)] + [(None, None, None, None), (None, "", "y", 1.0), (3, "text 3", "x", 3.0), (900, LONG, "z", 0.0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, shard string, k double")
+    out = jump_sharding.place_rows(docs)
+    assert out.columns == ["doc_id", "text", "k", *jump_sharding.PLACE]
+    got, want = out.collect(), jump_sharding.shard_rows(docs).collect()
+    assert Counter((r.doc_id, r.text, r.k) for r in got) == Counter((r[0], r[1], r[3]) for r in rows)
+    assert Counter((r.doc_id, r.shard, r.slot, r.grown_shard, r.text_crc32) for r in got) == Counter((r.doc_id, r.shard, r.slot, r.grown_shard, r.text_crc32) for r in want)
+    assert jump_sharding.place_rows(docs.limit(0)).count() == 0
+
+
 def test_secrets_match_python(spark):
     rng = random.Random(5)
     bits = ["token=", "Secret: '", 'API_KEY" = "', "password:", "AKIA", "ABCDEFGH0123456789", "deadbeef01", "0123456789abcdef", "é😀", " ", "\n", "shortval", "x.y/z+a_b-c=longer", "secret", "="]
@@ -140,15 +169,25 @@ def test_secrets_match_python(spark):
 
 def test_ledger_scans_only_unseen_blobs(spark, tmp_path):
     path = str(tmp_path / "ledger")
-    df = spark.createDataFrame([(1, "token=abcdefghijkl"), (2, "token=abcdefghijkl"), (3, None)], "path long, text string")
-    secret_ledger.scan_versions(df, ledger=path).collect()
-    assert spark.read.parquet(path).count() == 2
-    more = df.union(spark.createDataFrame([(4, "token=abcdefghijkl"), (5, "new")], df.schema))
-    out = {r.path: len(r.spans) for r in secret_ledger.scan_versions(more, ledger=path).collect()}
-    assert out == {1: 1, 2: 1, 3: 0, 4: 1, 5: 0} and spark.read.parquet(path).count() == 3
-    secret_ledger.scan_versions(more, ledger=path, rule_version="base-2").collect()
-    assert spark.read.parquet(path).count() == 6
-    assert secret_ledger.scan_versions(df.limit(0), ledger=path).count() == 0
+    table = lambda rows: spark.createDataFrame(rows, "path long, text string, blob_id int")
+    scanned = lambda: spark.read.parquet(f"{path}/findings").count()
+    read = lambda df: sorted((r.path, -1 if r.spans is None else len(r.spans)) for r in df.collect())
+    first = table([(1, "token=abcdefghijkl", 0), (2, None, 0), (2, None, 0)])
+    assert read(secret_ledger.scan_versions(first, ledger=path)) == [(1, 1), (2, 0), (2, 0)] and scanned() == 2
+    # a second run brings the first path's blob under another path: both come out, nothing is scanned again
+    assert read(secret_ledger.scan_versions(table([(3, "token=abcdefghijkl", 0)]), ledger=path)) == [(1, 1), (2, 0), (2, 0), (3, 1)] and scanned() == 2
+    # the same run again, and a path that changes its text
+    assert len(read(secret_ledger.scan_versions(first, ledger=path))) == 4 and scanned() == 2
+    assert read(secret_ledger.scan_versions(table([(1, "clean now", 0)]), ledger=path)) == [(1, 0), (1, 1), (2, 0), (2, 0), (3, 1)] and scanned() == 3
+    # a retried write leaves every entry twice
+    for part in ("findings", "versions"):
+        spark.createDataFrame(spark.read.parquet(f"{path}/{part}").collect(), spark.read.parquet(f"{path}/{part}").schema).write.mode("append").parquet(f"{path}/{part}")
+    assert read(secret_ledger.findings(spark, path)) == [(1, 0), (1, 1), (2, 0), (2, 0), (3, 1)]
+    # another rule version scans what it is given; older blobs are not known to it
+    assert read(secret_ledger.scan_versions(first, ledger=path, rule_version="base-2")) == [(1, -1), (1, 1), (2, 0), (2, 0), (3, 1)]
+    assert secret_ledger.scan_versions(first.limit(0)).count() == 0
+    named = secret_ledger.scan_versions(first.withColumn("v", F.lit("r1")), version="v").first()
+    assert named.version == "r1"
 
 
 def jump(key, n):
