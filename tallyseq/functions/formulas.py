@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,9 +23,55 @@ def log_transform(x: Column) -> Column:
     return F.log10(1 + x)
 
 
-def depth_confidence(mean: Column, sd: Column) -> Column:
-    """Closeness of mean depth to ten and evenness of depth, averaged."""
-    return (F.exp(-F.abs(mean - 10) / 10) + F.greatest(F.lit(0.0), 1 - sd / 20)) / 2
+def depth_confidence(mean: Column, sd: Column, target: float = 30.0, most_sd: float = 20.0, scale: float = 1000.0) -> Column:
+    """Gaussian of the scaled mean depth around target / scale, a tenth of that wide, and evenness of depth, averaged."""
+    aim = target / scale
+    near = F.exp(-F.pow(mean * scale - aim, 2) / (2 * (aim / 10) ** 2))
+    return (near + F.greatest(F.lit(0.0), 1 - sd / most_sd)) / 2
+
+
+def logarithmic_weight(breadth: Column, least: float = 1e-3) -> Column:
+    """1 at the least breadth, 0 at full breadth: one minus the fourth power of the logarithm's share."""
+    x = F.log(F.greatest(F.lit(least), F.least(breadth, F.lit(1.0))))
+    return 1 - F.pow((x - math.log(least)) / -math.log(least), 4)
+
+
+def leading_decimals(v: Column) -> Column:
+    """A number with its first two non-zero decimals and the zeros before the first, as text.
+
+    Ten decimals count; whole numbers stay as they are. The two digits follow each other even if zeros
+    stood between them.
+    """
+    text = F.regexp_replace(F.format_string("%.10f", v.cast("double")), r"\.?0+$", "")
+    whole, part = F.substring_index(text, ".", 1), F.substring_index(text, ".", -1)
+    zeros = F.regexp_extract(part, r"^0*", 0)
+    digits = F.substring(F.regexp_replace(part, "0", ""), 1, 2)
+    return F.when(F.instr(text, ".") == 0, text).otherwise(F.concat(whole, F.lit("."), zeros, digits))
+
+
+def position_bin(v: Column, width: int) -> Column:
+    """The start of a value's bin; the value itself where the width isn't positive."""
+    return F.floor(v / width) * width if width > 0 else v
+
+
+def strand(is_reverse: Column) -> Column:
+    return F.when(is_reverse, F.lit("-")).otherwise(F.lit("+"))
+
+
+def before_parenthesis(name: Column) -> Column:
+    return F.trim(F.regexp_extract(name, r"(?s)^(.*?)(\s*\(|$)", 1))
+
+
+def binomial(name: Column) -> Column:
+    """'Genus species' if a name starts so, else null."""
+    two = F.regexp_extract(F.trim(name), r"^([A-Z][a-z]+)\s+([a-z][a-z0-9_-]+)", 0)
+    return F.when(two != "", F.regexp_replace(two, r"\s+", " "))
+
+
+def name_aliases(name: Column) -> Column:
+    """Other spellings of a name, sorted: without what stands in parentheses, and the binomial."""
+    found = F.array_compact(F.array(F.nullif(before_parenthesis(name), F.lit("")), binomial(name)))
+    return F.array_sort(F.array_remove(F.array_distinct(found), F.trim(name)))
 
 
 def mapq_keep(mapq: Column, n_secondary: Column, least: int) -> Column:
@@ -68,15 +115,18 @@ def safe_ratio(a: Column, b: Column, empty: float = 0.0) -> Column:
 
 
 def normal_cdf(z: Column) -> Column:
-    """Standard normal distribution by a rational approximation of erf, error under 1.5e-7.
+    """Standard normal distribution by the series of erf whose terms are all positive, exactly 0 or 1 beyond
+    six deviations. The factors a / (2n + 1) are nested from the innermost of 64 on."""
+    def half(v: Column) -> Column:
+        nested = F.aggregate(F.sequence(F.lit(64), F.lit(1)), F.lit(1.0), lambda done, n: 1 + v * v / (2 * n + 1) * done)
+        return F.abs(v) / math.sqrt(2 * math.pi) * F.exp(-v * v / 2) * nested
 
-    Fixed values: the five coefficients and the scale of the published approximation.
-    """
-    x = F.abs(z) / math.sqrt(2)
-    t = 1 / (1 + 0.3275911 * x)
-    poly = t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429))))
-    erf = 1 - poly * F.exp(-x * x)
-    return F.when(z >= 0, (1 + erf) / 2).otherwise((1 - erf) / 2)
+    return once(z, lambda v: F.when(v > 6, F.lit(1.0)).when(v < -6, F.lit(0.0)).otherwise(0.5 + F.signum(v) * half(v)))
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value computed once, however often it occurs; null gives use(null)."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

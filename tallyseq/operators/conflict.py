@@ -51,10 +51,23 @@ def best_groups(aln: DataFrame, read: str, group: str, score: Column) -> DataFra
     return aln.withColumn("kept", in_group == overall)
 
 
-def read_score(mapq: Column, own: Column, n_alt: Column, max_jaccard: Column, n_self: Column, score_weight: float = 1.0, penalty: float = 0.0) -> Column:
-    """mapq + weight * own score - penalty * alternatives + 10 * jaccard * log2(self / alternatives)."""
-    gain = F.when((n_alt > 0) & (n_self > 0), 10 * max_jaccard * F.log2(n_self / n_alt)).otherwise(0.0)
-    return mapq + score_weight * own - penalty * n_alt + gain
+def read_scores(
+    aln: DataFrame, read: str, ref: str, mapq: str, own: str, pairs: DataFrame, score_weight: float = 1.0, penalty: float = 0.5, boost: float = 10.0, default_jaccard: float = 0.5,
+) -> DataFrame:
+    """(read, ref, read_score): mapq + weight * own - penalty * alternatives + boost * dominance.
+
+    Alternatives of an alignment are the references that share a window with its own; `pairs` holds them
+    as (ref, alt, jaccard), both ways. Dominance sums over them jaccard * log2(own reads / alternative's
+    reads), so it is a value of the reference alone and no read's alternatives are expanded; a missing
+    jaccard counts as `default_jaccard`, and references without reads as one read.
+    """
+    n = aln.groupBy(ref).agg(F.countDistinct(read).alias("_n"))
+    count = lambda c: F.greatest(F.lit(1), F.coalesce(F.col(c), F.lit(1)))
+    of = pairs.select(F.col("ref").alias(ref), "alt", F.coalesce("jaccard", F.lit(default_jaccard)).alias("_j"))
+    of = of.join(n, ref, "left").join(n.select(F.col(ref).alias("alt"), F.col("_n").alias("_m")), "alt", "left")
+    gain = of.groupBy(ref).agg(F.count("*").alias("_alt"), F.sum(F.col("_j") * F.log2(count("_n") / count("_m"))).alias("_gain"))
+    score = F.col(mapq) + score_weight * F.col(own) - penalty * F.coalesce("_alt", F.lit(0)) + boost * F.coalesce("_gain", F.lit(0.0))
+    return aln.join(gain, ref, "left").select(read, ref, score.alias("read_score"))
 
 
 def removal_budget(counts: DataFrame, group: str, ref: str, n: str, protect: float = 3.0) -> DataFrame:
@@ -74,6 +87,11 @@ def removal_budget(counts: DataFrame, group: str, ref: str, n: str, protect: flo
     return x.where("_size > 1").select(group, ref, n, cut.cast("bigint").alias("budget"))
 
 
+def drop_removed(aln: DataFrame, removed: DataFrame, read: str, ref: str) -> DataFrame:
+    """Alignments whose (reference, read) isn't on the removal list; null reads and references stay."""
+    return aln.join(removed.select(read, ref).distinct(), [ref, read], "left_anti").select(*aln.columns)
+
+
 def removed_reads(aln: DataFrame, budget: DataFrame, read: str, ref: str, seed: int = 1) -> DataFrame:
     """(ref, read): the reads to remove, `budget` of each reference in the order of a seeded hash."""
     draw = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(ref).cast("string"), F.col(read).cast("string")))

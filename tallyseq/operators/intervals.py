@@ -125,11 +125,18 @@ def jump_segments(df: DataFrame, key: str, order: list[str], value: str, jump: f
     return df.withColumn("_flag", F.coalesce(flag, F.lit(0))).withColumn("segment", F.sum("_flag").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_flag")
 
 
-def sequence_windows(df: DataFrame, length: str, width: int, step: int) -> DataFrame:
-    """(…, w_start, w_end): full windows every `step`, at least the one at zero (cut at the length)."""
-    last = F.greatest(F.lit(0), F.col(length) - width)
-    starts = F.explode(F.sequence(F.lit(0).cast("bigint"), last.cast("bigint"), F.lit(step).cast("bigint")))
-    return df.withColumn("w_start", starts).withColumn("w_end", F.least(F.col("w_start") + width, F.col(length)))
+def sequence_windows(df: DataFrame, length: str, width: int, step: int, least: int = 1) -> DataFrame:
+    """(…, w_start, w_end): full windows every `step`; a sequence shorter than `width` is one window of its
+    own length, and one shorter than `least` gives none."""
+    starts = F.when(F.col(length) >= width, F.sequence(F.lit(0).cast("bigint"), (F.col(length) - width).cast("bigint"), F.lit(step).cast("bigint")))
+    starts = F.when(F.col(length) < least, F.array().cast("array<bigint>")).otherwise(F.coalesce(starts, F.array(F.lit(0).cast("bigint"))))
+    return df.withColumn("w_start", F.explode(starts)).withColumn("w_end", F.least(F.col("w_start") + width, F.col(length)))
+
+
+def drop_unknown(windows: DataFrame, sequence: str, most: float = 0.05) -> DataFrame:
+    """Windows in whose part of the sequence at most the share `most` is N."""
+    part = F.substring(F.col(sequence), (F.col("w_start") + 1).cast("int"), (F.col("w_end") - F.col("w_start")).cast("int"))
+    return windows.where(F.length(F.regexp_replace(part, "[^Nn]", "")) <= most * F.length(part))
 
 
 def split_parts(df: DataFrame, length: str, most: int) -> DataFrame:

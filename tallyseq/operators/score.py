@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyseq.functions.formulas import clip, normal_cdf, sigmoid
+from tallyseq.functions.formulas import clip, normal_cdf, once, sigmoid
 
 
 def rank_disparity(df: DataFrame, group: str, value: str, tie: str, solo: float = 1.0) -> DataFrame:
@@ -29,18 +30,29 @@ def lead_margin(df: DataFrame, group: str, value: str) -> DataFrame:
     return a.select(group, "top", "second", ((F.col("top") - F.coalesce("second", F.lit(0))) / F.col("_sum")).alias("margin"))
 
 
-def breadth_score(breadth: Column, hmf: Column, middle: float = 0.01, steep: float = 12_000.0, power: float = 0.5) -> Column:
-    """Sigmoid of breadth times a power of the share of well-mapped reads."""
+def breadth_score(breadth: Column, hmf: Column, middle: float = 0.01, steep: float = 12_000.0, power: float = 0.3) -> Column:
+    """Sigmoid of breadth times a power of the share of well-mapped reads.
+
+    The power is 0.3 where a sample is scored and 2 where groups are summarised without other settings.
+    """
     return sigmoid(breadth, middle, steep) * F.pow(hmf, power)
 
 
-def gini_score(gini: Column, length: Column, dispersion: Column, alpha: float = 1.8, reward: float = 0.3, beta: float = 0.1) -> Column:
-    """Evenness of coverage, more for long references and for spread positions, at most 1."""
-    base = clip(alpha * F.sqrt(F.greatest(1 - gini, F.lit(0.0))))
-    size = 1 + reward * F.log10(F.greatest(F.lit(1.0), F.least(length, F.lit(1e9)) / 5e5))
+def gini_score(gini: Column, length: Column, dispersion: Column, alpha: float = 1.8, reward: float = 2.0, beta: float = 0.5, baseline: float = 5e5, longest: float = 1e9) -> Column:
+    """Evenness of coverage, more for long references and for spread positions, at most 1.
+
+    A Gini coefficient outside [0, 1] counts as no evenness at all.
+    """
+    base = F.when(gini.between(0, 1), clip(alpha * F.sqrt(1 - gini))).otherwise(F.lit(0.0))
+    size = 1 + reward * F.log10(F.greatest(F.lit(1.0), F.least(length, F.lit(longest)) / baseline))
     return F.least(F.lit(1.0), base * size * (1 + beta * dispersion))
 
 
+def gini_component(score: Column, contig_pen: Column, hmf: Column, depth_pen: Column, power: float = 1.0) -> Column:
+    """The evenness score as it enters the total: less for few contigs, poor mapping and piled-up reads."""
+    return score * contig_pen * F.pow(hmf, power) * depth_pen
+
+
 def contig_penalty(covered: Column, total: Column) -> Column:
     return F.when(total > 1, F.pow(covered / total, 0.3)).otherwise(F.lit(1.0))
 
@@ -63,6 +75,12 @@ def record_gate(confidence: Column, mapq01: Column, dominance: Column, rpm_weigh
     return floor * ((1 - w) + w * rpm_weight)
 
 
+def abundance_confidence(reads: Column, total: Column, middle: float = 5.0, steep: float = 2.0) -> Column:
+    """Sigmoid of log10 reads per million around log10 of the middle; 0 without reads."""
+    rpm = F.greatest(reads / total * 1e6, F.lit(1e-3))
+    return F.when((reads > 0) & (total > 0), sigmoid(F.log10(rpm), math.log10(max(middle, 1e-3)), steep)).otherwise(F.lit(0.0))
+
+
 def group_gate(depth_pen: Column, contig_pen: Column, confidence: Column, removal: Column, mapq: Column) -> Column:
     return F.greatest(depth_pen * contig_pen * confidence, 0.7 * (1 - removal) * mapq)
 
@@ -71,21 +89,56 @@ def mapq_relief(hmf: Column, minhash: Column, n: Column) -> Column:
     return hmf + (1 - hmf) * clip(minhash * (1 - 1 / n))
 
 
-def additive_score(parts: Mapping[str, float], plasmid: Column, bonus: float, scale: Column, gamma: float = 0.7) -> Column:
-    """Weighted sum of components with a plasmid bonus, lifted by a power that the scale softens."""
-    total = F.lit(0.0)
-    for name, weight in parts.items():
-        total = total + F.coalesce(F.col(name), F.lit(0.0)) * weight
-    return clip(F.pow(clip(total + plasmid * bonus), 1 - (1 - F.lit(gamma)) * scale))
+def normalized_weights(weights: Mapping[str, float]) -> dict[str, float]:
+    """Weights that sum to one; all zero where their sum is zero."""
+    total = sum(weights.values())
+    return {k: v / total if total else 0.0 for k, v in weights.items()}
+
 
+#: The parts of the score whose weighted sum decides how much of a plasmid bonus counts, and all others.
+CORE_PARTS = ("breadth", "minhash", "gini", "disparity", "population")
+MINOR_PARTS = ("mapq", "k2_disparity", "protein_identity")
 
-def penalized_score(parts: Mapping[str, float], abundance: Column, plasmid: Column, bonus: float) -> Column:
-    """0.5 plus weighted distances from it; abundance widens or narrows them; plasmids need a core below 0.15."""
-    core = F.lit(0.5)
-    for name, weight in parts.items():
-        core = core + (F.coalesce(F.col(name), F.lit(0.5)) - 0.5) * weight
-    scaled = 0.5 + (core - 0.5) * (0.5 + abundance)
-    return clip(F.when(core < 0.15, scaled + plasmid * bonus).otherwise(scaled))
+
+def additive_score(
+    parts: Mapping[str, Column], weights: Mapping[str, float], plasmid: Column, bonus: float = 0.0, abundance: Column | None = None,
+    abundance_weight: float = 0.0, gate: bool = False, power: float = 0.7, scale: Column | None = None,
+) -> Column:
+    """Weighted sum of up to eight parts and the abundance confidence, with a plasmid bonus outside the
+    weights, an optional abundance gate and a power that `scale` (1 if absent) softens."""
+    total, none = F.lit(0.0), F.lit(0.0)
+    for name in (*CORE_PARTS, *MINOR_PARTS):
+        if weights.get(name):
+            total = total + F.coalesce(parts[name], none) * weights[name]
+    a = none if abundance is None else F.coalesce(abundance, none)
+    total = total + a * abundance_weight + F.greatest(plasmid, none) * bonus
+    total = total * a if gate else total
+    if power != 1 and power > 0:
+        total = F.pow(clip(total), 1 - (1 - F.lit(power)) * (F.lit(1.0) if scale is None else scale))
+    return clip(total)
+
+
+def penalized_score(
+    parts: Mapping[str, Column], weights: Mapping[str, float], plasmid: Column, bonus: float = 0.0, abundance: Column | None = None,
+    abundance_weight: float = 0.0, gate: bool = False,
+) -> Column:
+    """0.5 plus weighted distances of up to eight parts from 0.5.
+
+    The abundance confidence a scales the distance by (1 - w) + w a. A plasmid bonus counts in full from a
+    plain weighted sum of the core parts of 0.15 on, and in proportion below it.
+    """
+    none = F.lit(0.0)
+    away, quality = none, none
+    for name in (*CORE_PARTS, *MINOR_PARTS):
+        if weights.get(name):
+            value = F.coalesce(parts[name], none)
+            away = away + (value - 0.5) * weights[name]
+            quality = quality + value * weights[name] if name in CORE_PARTS else quality
+    a = none if abundance is None else F.coalesce(abundance, none)
+    if abundance_weight > 0:
+        away = away * ((1 - abundance_weight) + abundance_weight * a)
+    total = 0.5 + away + F.greatest(plasmid, none) * bonus * F.least(F.lit(1.0), quality / 0.15)
+    return clip(0.5 + (total - 0.5) * a if gate else total)
 
 
 def plasmid_score(df: DataFrame, group: str, breadth: Column, gini: Column, covered: str, reads: str) -> Column:
@@ -95,34 +148,56 @@ def plasmid_score(df: DataFrame, group: str, breadth: Column, gini: Column, cove
 
 
 def population_percentile(value: Column, mean: Column, sd: Column) -> Column:
-    """Where a value stands in a normal population; three deviations out where the population has none."""
+    """Where a value stands in a normal population; three deviations out where the population has none.
+
+    Low percentiles are squared, those above one deviation are raised towards 1.
+    """
     z = F.when(sd > 0, (value - mean) / sd).otherwise(F.lit(3.0))
-    p = normal_cdf(z)
-    return F.when(p >= 0.5, F.pow(p, 0.5)).otherwise(F.pow(p, 2.0))
+    zp = F.struct(z.alias("z"), normal_cdf(z).alias("p"))
+    return once(zp, lambda v: (
+        F.when(v["z"] < -1, v["p"] * v["p"]).when(v["z"] <= 1, v["p"]).when(v["z"] <= 2, 1 - F.pow(1 - v["p"], 1.5)).otherwise(1 - F.pow(1 - v["p"], 2.0))))
+
+
+def conflict_bucket(df: DataFrame, cluster: str, parent: str, most: int = 50) -> Column:
+    """A column for grouping: the conflict cluster, or cluster and parent in clusters of more than `most`."""
+    n = F.count("*").over(Window.partitionBy(cluster))
+    return F.when(n > most, F.concat_ws("/", F.col(cluster).cast("string"), F.col(parent).cast("string"))).otherwise(F.col(cluster).cast("string"))
 
 
-def sharing_factor(df: DataFrame, bucket: str, reads: str, tie: str, coverage: Column, confidence: Column, gap: Column, removal: Column, most: int = 50) -> DataFrame:
-    """Adds factor and solo: what members of a bucket keep or gain by sharing its reads.
+def share_minhash(
+    df: DataFrame, bucket: str, rpm: str, tie: str, minhash: str, ceiling: Column, coverage: Column, confidence: Column, removal: Column, partners: Column,
+) -> DataFrame:
+    """Adds rpm_share, factor and minhash_shared: what members of a bucket keep or gain of their minhash.
 
-    The winner (most reads) gains by share and lead; losers keep a part by share and relative coverage,
-    less the more members and the more of their reads were removed, never below 0.2; near-equals of the
-    winner (80 % of its reads) keep at least 0.8. Penalties by size stop growing at `most` members.
+    A bucket's only member closes 0.9 of its gap to the ceiling, times its confidence. The winner (most
+    reads per million) closes the gap by its share and its lead. The others keep a part by share and by
+    coverage relative to the winner's, less the more members there are and the more of their reads were
+    removed among conflict partners (removal or partners null: no such penalty), but near-equals of the
+    winner with coverage of their own are kept nearer to 0.8. None keeps less than 0.2.
     """
     w = Window.partitionBy(bucket)
-    order = Window.partitionBy(bucket).orderBy(F.desc(reads), tie)
-    x = df.withColumns({"_n": F.count("*").over(w), "_at": F.row_number().over(order), "_sum": F.sum(reads).over(w), "_max": F.max(reads).over(w), "_cov": coverage})
-    x = x.withColumns({"_second": F.max(F.when(F.col("_at") == 2, F.col(reads))).over(w), "_topcov": F.max("_cov").over(w)})
-    share = F.col(reads) / F.col("_sum")
-    lead = (F.col("_max") - F.col("_second")) / F.col("_sum")
-    ratio = F.when(F.col("_topcov") > 0, F.col("_cov") / F.col("_topcov")).otherwise(F.lit(0.0))
-    n = F.least(F.col("_n"), F.lit(most))
-    winner = 1 + gap * F.least(F.lit(1.0), share + 0.75 * lead)
-    by_size = F.greatest(F.lit(0.35), 1 / (1 + 0.3 * (n - 2)))
-    by_removal = F.greatest(F.lit(0.3), 1 - 0.5 * removal * F.least(F.lit(1.0), (n - 1) / 5))
-    loser = (0.65 * (0.2 + 0.8 * share) + 0.35 * (0.35 + 0.65 * ratio)) * by_size * by_removal
-    loser = F.when(F.col(reads) >= 0.8 * F.col("_max"), F.greatest(loser, F.lit(0.8))).otherwise(F.greatest(loser, F.lit(0.2)))
-    factor = F.when(F.col("_n") == 1, 1 + 0.9 * confidence * gap).when(F.col("_at") == 1, winner).otherwise(loser)
-    return x.withColumns({"factor": factor, "solo": F.col("_n") == 1}).drop("_n", "_at", "_sum", "_max", "_cov", "_second", "_topcov")
+    order = Window.partitionBy(bucket).orderBy(F.desc(rpm), tie)
+    x = df.withColumns({"_n": F.count("*").over(w), "_at": F.row_number().over(order), "_sum": F.sum(rpm).over(w), "_max": F.max(rpm).over(w), "_cov": coverage})
+    x = x.withColumns({"_second": F.max(F.when(F.col("_at") == 2, F.col(rpm))).over(w), "_topcov": F.max(F.when(F.col("_at") == 1, F.col("_cov"))).over(w)})
+    one, none, n = F.lit(1.0), F.lit(0.0), F.col("_n")
+    share = F.try_divide(rpm, "_sum")
+    gap = F.greatest(none, ceiling - F.col(minhash))
+    lead = share - F.coalesce(F.try_divide("_second", "_sum"), none)
+    won = F.least(ceiling, F.col(minhash) + gap * F.least(one, share + 0.75 * lead))
+    solo = F.least(ceiling, F.col(minhash) + 0.9 * gap * confidence)
+
+    by_cover = F.when(F.col("_topcov") > 0, F.least(one, F.try_divide("_cov", "_topcov"))).otherwise(one)
+    kept = 0.65 * (0.2 + 0.8 * share) + 0.35 * (0.35 + 0.65 * by_cover)
+    kept = kept * F.when(n > 2, F.greatest(F.lit(0.35), 1 / (1 + 0.3 * (n - 2)))).otherwise(one)
+    kept = kept * F.greatest(F.lit(0.3), 1 - 0.5 * F.coalesce(removal * F.least(one, partners / 5), none))
+    parity = clip((F.try_divide(rpm, "_max") - 0.4) / 0.4) * clip((F.col("_cov") - 0.1) / 0.15)
+    parity = parity * F.when(n > 2, F.greatest(F.lit(0.1), 2 / n)).otherwise(one)
+    kept = F.greatest(F.lit(0.2), kept + parity * F.greatest(none, 0.8 - kept))
+
+    bare = F.col("_sum") <= 0  # nothing to share
+    factor = F.when((n == 1) | bare, one).when(F.col("_at") == 1, F.coalesce(F.try_divide(won, minhash), one)).otherwise(kept)
+    shared = F.when(n == 1, solo).when(bare, F.col(minhash)).when(F.col("_at") == 1, won).otherwise(F.col(minhash) * kept)
+    return x.withColumns({"rpm_share": F.when(n == 1, one).otherwise(share), "factor": factor, "minhash_shared": shared}).drop("_n", "_at", "_sum", "_max", "_cov", "_second", "_topcov")
 
 
 def control_flags(sample: DataFrame, negatives: DataFrame, positives: DataFrame, key: str, value: str, bound: float = 2.0) -> DataFrame:
@@ -169,7 +244,7 @@ def first_match(df: DataFrame, dim: DataFrame, keys: list[list[tuple[str, str]]]
         if key:
             on = [F.col(a) == F.col(f"_k{i}_{j}") for j, (a, _) in enumerate(key)]
             df = df.join(side, on, "left").drop(*[f"_k{i}_{j}" for j in range(len(key))])
-        else:
-            df = df.crossJoin(F.broadcast(side.limit(1)))
+        else:  # one default row, or none
+            df = df.join(F.broadcast(side.limit(1)), F.lit(True), "left")
         found.append(f"_v{i}")
     return df.withColumn(name, F.coalesce(*found)).drop(*found)

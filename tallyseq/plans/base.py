@@ -34,13 +34,6 @@ STAND_INS = {
     # samples with coordinates and metadata
     "samples": """SELECT DISTINCT concat(c_mktsegment, '-', CAST(c_nationkey AS STRING)) AS sample, c_mktsegment AS segment, c_nationkey AS site, n_name AS country, r_name AS continent,
         CAST(c_nationkey * 7 - 80 AS DOUBLE) AS lat, CAST(c_nationkey * 14 - 170 AS DOUBLE) AS lon FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
-    # per-reference records for scoring, all values in plain ranges
-    "rec": """SELECT ref_id, species, genus, length, is_plasmid, reads, CAST(reads AS DOUBLE) / SUM(reads) OVER () AS share, mapq / 60 AS mapq01,
-        CAST(reads % 97 AS DOUBLE) / 96 AS breadth, CAST(reads % 89 AS DOUBLE) / 88 AS breadth_new, CAST(reads % 83 AS DOUBLE) / 82 AS gini, CAST(reads % 79 AS DOUBLE) / 78 AS disp,
-        CAST(reads % 73 AS DOUBLE) / 72 AS hmf, CAST(reads % 71 AS DOUBLE) / 70 AS retention, CAST(reads % 67 AS DOUBLE) / 66 AS removal, CAST(reads % 61 AS DOUBLE) / 60 AS minhash
-        FROM (SELECT s_suppkey AS ref_id, s_nationkey AS species, n_regionkey AS genus, CAST(100000 + s_suppkey * 1000 AS BIGINT) AS length, s_suppkey % 3 = 0 AS is_plasmid,
-            COUNT(*) AS reads, round(AVG(l_discount) * 600, 6) AS mapq FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
-            GROUP BY s_suppkey, s_nationkey, n_regionkey) AS x""",
     # organism records with three levels for controls: priority plays the sample's role
     "ctl": """SELECT o_orderpriority AS source, CASE WHEN o_orderpriority = '1-URGENT' THEN 'negative' WHEN o_orderpriority = '2-HIGH' THEN 'positive' ELSE 'sample' END AS polarity,
         p_brand AS organism, COUNT(*) AS reads, round(AVG(l_discount) * 1000, 4) AS tass FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
@@ -48,6 +41,29 @@ STAND_INS = {
     # documents as sequences, grouped by source
     "seqs": "SELECT doc_id AS seq_id, source AS grp, text FROM documents",
 }
+# per-reference records for scoring, all from the alignments: reads, mapping quality, breadth before and after
+# ambiguous reads go, evenness and spread of depth, contigs (stretches of 5000 bases) with reads
+STAND_INS["rec"] = f"""
+WITH a AS ({STAND_INS['aln']}), f AS ({STAND_INS['refs']}),
+k AS (SELECT ref_id, read_id, s, e, mapq, mapq + score = max(mapq + score) OVER (PARTITION BY read_id) AS best FROM a),
+v AS (SELECT 0 AS after, ref_id, s, e FROM k UNION ALL SELECT 1 AS after, ref_id, s, e FROM k WHERE best),
+m AS (SELECT after, ref_id, s, e, CASE WHEN s > max(e) OVER (PARTITION BY after, ref_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 THEN 1 ELSE 0 END AS gap FROM v),
+g AS (SELECT after, ref_id, s, e, sum(gap) OVER (PARTITION BY after, ref_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS no FROM m),
+i AS (SELECT after, ref_id, min(s) AS s, max(e) AS e FROM g GROUP BY after, ref_id, no),
+b AS (SELECT ref_id, CAST(sum(CASE WHEN after = 0 THEN e - s ELSE 0 END) AS DOUBLE) AS bp, CAST(sum(CASE WHEN after = 1 THEN e - s ELSE 0 END) AS DOUBLE) AS bp_new FROM i GROUP BY ref_id),
+n AS (SELECT ref_id, count(DISTINCT read_id) AS reads, count(DISTINCT CASE WHEN best THEN read_id END) AS reads_kept, CAST(avg(mapq) AS DOUBLE) AS mapq,
+ CAST(sum(CASE WHEN mapq >= 20 THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS hmf, CAST(avg(e - s) AS DOUBLE) AS read_length, count(DISTINCT floor(s / 5000)) AS contigs_covered FROM k GROUP BY ref_id),
+ev AS (SELECT ref_id, s AS pos, 1 AS d FROM a UNION ALL SELECT ref_id, e, -1 FROM a), st AS (SELECT ref_id, pos, sum(d) AS d FROM ev GROUP BY ref_id, pos),
+ru AS (SELECT ref_id, CAST(pos AS DOUBLE) AS pos, CAST(sum(d) OVER (PARTITION BY ref_id ORDER BY pos) AS DOUBLE) AS depth, CAST(lead(pos) OVER (PARTITION BY ref_id ORDER BY pos) - pos AS DOUBLE) AS w FROM st),
+ds AS (SELECT ref_id, var_pop(pos + w / 2) AS spread FROM ru WHERE depth > 0 AND w > 0 GROUP BY ref_id),
+h AS (SELECT ref_id, depth, sum(w) AS w FROM ru WHERE depth > 0 AND w > 0 GROUP BY ref_id, depth),
+u AS (SELECT ref_id, depth, w FROM h UNION ALL SELECT h.ref_id, CAST(0 AS DOUBLE), CAST(length AS DOUBLE) - sum(w) FROM h JOIN f ON f.ref_id = h.ref_id GROUP BY h.ref_id, length),
+c AS (SELECT ref_id, w, log10(1 + depth) * w AS x, sum(log10(1 + depth) * w) OVER (PARTITION BY ref_id ORDER BY depth) AS cx, sum(log10(1 + depth) * w) OVER (PARTITION BY ref_id) AS tx, sum(w) OVER (PARTITION BY ref_id) AS tw FROM u),
+gi AS (SELECT ref_id, 1 - 2 * sum(w / tw * (2 * cx - x) / (2 * tx)) AS gini FROM c GROUP BY ref_id)
+SELECT f.ref_id, species, genus, length, is_plasmid, reads, CAST(reads AS DOUBLE) / SUM(reads) OVER () AS share, mapq / 60 AS mapq01, bp / length AS breadth, bp_new / length AS breadth_new,
+ gini, sqrt(spread / (CAST(length AS DOUBLE) * length / 12)) AS disp, hmf, CAST(reads_kept AS DOUBLE) / reads AS retention, 1 - CAST(reads_kept AS DOUBLE) / reads AS removal,
+ CAST(least(1, CAST(3 AS DOUBLE) / 10 * (bp_new / bp) + CAST(7 AS DOUBLE) / 10 * (CAST(reads_kept AS DOUBLE) / reads)) AS DOUBLE) AS minhash, read_length, contigs_covered, 25 AS contigs
+FROM f JOIN n ON n.ref_id = f.ref_id JOIN b ON b.ref_id = f.ref_id JOIN ds ON ds.ref_id = f.ref_id JOIN gi ON gi.ref_id = f.ref_id"""
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
 COVERS: dict[str, str] = {}

@@ -53,7 +53,7 @@ def shared_read_clusters(t):
     return cf.read_clusters(t.aln).select(F.col("node").alias("ref_id"), F.col("component").alias("cluster"))
 
 
-@query("best_alignment", "A15 A17 X18", uses="aln", sql="""
+@query("best_alignment", "A15 A17", uses="aln", sql="""
 WITH k AS (SELECT *, mapq + score = max(mapq + score) OVER (PARTITION BY read_id) AS best FROM aln)
 SELECT ref_id, count(*) AS n, sum(CASE WHEN best THEN 1 ELSE 0 END)::BIGINT AS n_best, sum(CASE WHEN best THEN 0 ELSE 1 END)::BIGINT AS n_removed, count(DISTINCT CASE WHEN NOT best THEN read_id END) AS reads_removed FROM k GROUP BY ref_id""")
 def best_alignment(t):
@@ -155,16 +155,15 @@ def winner_loser_pairs(t):
         F.round(F.avg("jaccard"), 6).alias("mean_jaccard"), F.round(F.max("jaccard"), 6).alias("max_jaccard"))
 
 
-@query("read_scores", "X18", uses="aln refs", sql="""
-WITH w AS (SELECT ref_id, count(*) AS n_self FROM aln GROUP BY ref_id), k AS (SELECT read_id, ref_id, max(mapq) AS mapq, max(score) AS score FROM aln GROUP BY read_id, ref_id),
-a AS (SELECT read_id, count(*) - 1 AS n_alt FROM k GROUP BY read_id)
-SELECT k.read_id, k.ref_id, round(mapq + score - 0.5 * n_alt + CASE WHEN n_alt > 0 THEN 10 * 0.3 * log2(n_self * 1.0 / n_alt) ELSE 0 END, 6) AS read_score FROM k JOIN a USING (read_id) JOIN w USING (ref_id)""")
+@query("read_scores", "X18", uses="aln", sql=f"""
+WITH {_PAIRS}, ways AS (SELECT ref1 AS ref_id, n1 AS own, n2 AS other, jaccard FROM j WHERE jaccard >= 0.01 UNION ALL SELECT ref2, n2, n1, jaccard FROM j WHERE jaccard >= 0.01),
+g AS (SELECT ref_id, count(*) AS n_alt, sum(jaccard * log2(own * 1.0 / other)) AS gain FROM ways GROUP BY ref_id), k AS (SELECT read_id, ref_id, max(mapq) AS mapq, max(score) AS score FROM aln GROUP BY read_id, ref_id)
+SELECT k.read_id, k.ref_id, round(mapq + score - 0.5 * coalesce(n_alt, 0) + 10 * coalesce(gain, 0), 6) AS read_score FROM k LEFT JOIN g USING (ref_id)""")
 def read_scores(t):
-    n_self = t.aln.groupBy("ref_id").agg(F.count("*").alias("n_self"))
+    pairs = cf.shared_read_pairs(t.aln, floor=0.01).select("ref1", "ref2", "jaccard")
+    both = pairs.toDF("ref", "alt", "jaccard").unionByName(pairs.toDF("alt", "ref", "jaccard"))
     k = t.aln.groupBy("read_id", "ref_id").agg(F.max("mapq").alias("mapq"), F.max("score").alias("score"))
-    alt = k.groupBy("read_id").agg((F.count("*") - 1).alias("n_alt"))
-    score = cf.read_score(F.col("mapq"), F.col("score"), F.col("n_alt"), F.lit(0.3), F.col("n_self"), 1.0, 0.5)
-    return k.join(alt, "read_id").join(n_self, "ref_id").select("read_id", "ref_id", F.round(score, 6).alias("read_score"))
+    return cf.read_scores(k, "read_id", "ref_id", "mapq", "score", both).withColumn("read_score", F.round("read_score", 6))
 
 
 @query("filtered_alignments", "K4 F2 F3 F17 S1", uses="aln refs", sql="""
@@ -201,7 +200,7 @@ def shingle_topk(t):
     return sk.similar_pairs(sets, "seq_id", "grp", 0.1, top=10, share=0.1).select("q", "m", "shared", F.round("jaccard", 6).alias("jaccard"))
 
 
-@query("ani_prefilter", "J10 E16 E17 U5", uses="seqs", sql=f"""WITH {_HASHES.format(scaled=64)}, o AS (SELECT DISTINCT grp, hash FROM s), n AS (SELECT grp, count(*) AS n FROM o GROUP BY grp),
+@query("ani_prefilter", "J10 E16 E17", uses="seqs", sql=f"""WITH {_HASHES.format(scaled=64)}, o AS (SELECT DISTINCT grp, hash FROM s), n AS (SELECT grp, count(*) AS n FROM o GROUP BY grp),
 p AS (SELECT a.grp AS g1, b.grp AS g2, count(*) AS shared FROM o a JOIN o b ON a.hash = b.hash AND a.grp < b.grp GROUP BY 1, 2)
 SELECT g1, g2, shared, round((pow(shared * 1.0 / x.n, 1.0 / 21) + pow(shared * 1.0 / y.n, 1.0 / 21)) / 2, 6) AS ani_mean, round(least(pow(shared * 1.0 / x.n, 1.0 / 21), pow(shared * 1.0 / y.n, 1.0 / 21)), 6) AS ani_min,
  shared * 1.0 / (x.n + y.n - shared) >= pow(0.9, 21) / (2 - pow(0.9, 21)) AS passes FROM p JOIN n x ON x.grp = g1 JOIN n y ON y.grp = g2""")

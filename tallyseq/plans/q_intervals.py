@@ -41,25 +41,24 @@ def coverage_runs(t):
     return iv.depth_runs(t.aln, "ref_id")
 
 
+_OVER = (1, 10, 50, 100, 300)
+
+
 @query("depth_summary", "A2 A30 A31", uses="aln refs", sql=f"""WITH {_RUNS},
-a AS (SELECT ref_id, sum(("end" - start) * depth) AS bases, sum(("end" - start) * depth * depth) AS sq,
-  sum(CASE WHEN depth > 1 THEN "end" - start ELSE 0 END) AS over_1, sum(CASE WHEN depth > 10 THEN "end" - start ELSE 0 END) AS over_10,
-  sum(CASE WHEN depth > 50 THEN "end" - start ELSE 0 END) AS over_50 FROM runs GROUP BY ref_id)
-SELECT ref_id, round(bases / length, 6) AS mean_depth, round(sqrt(greatest(sq / length - (bases / length) * (bases / length), 0)), 6) AS sd_depth,
-  round(over_1 * 100.0 / length, 6) AS pct_over_1, round(over_10 * 100.0 / length, 6) AS pct_over_10, round(over_50 * 100.0 / length, 6) AS pct_over_50,
-  round((exp(-abs(bases / length - 10) / 10) + greatest(0, 1 - sqrt(greatest(sq / length - (bases / length) * (bases / length), 0)) / 20)) / 2, 6) AS confidence
-FROM a JOIN refs USING (ref_id)""")
+a AS (SELECT ref_id, sum(("end" - start) * depth) AS bases, sum(("end" - start) * depth * depth) AS sq, {', '.join(f'sum(CASE WHEN depth > {n} THEN "end" - start ELSE 0 END) AS over_{n}' for n in _OVER)} FROM runs GROUP BY ref_id),
+b AS (SELECT *, bases / length AS mean, sqrt(greatest(sq / length - (bases / length) * (bases / length), 0)) AS sd FROM a JOIN refs USING (ref_id))
+SELECT ref_id, round(mean, 6) AS mean_depth, round(sd, 6) AS sd_depth, {', '.join(f'round(over_{n} * 100.0 / length, 6) AS pct_over_{n}' for n in _OVER)},
+  round((exp(-power(mean * 1000 - 0.03, 2) / (2 * power(0.003, 2))) + greatest(0, 1 - sd / 20)) / 2, 6) AS confidence FROM b""")
 def depth_summary(t):
     w = F.col("end") - F.col("start")
-    over = [F.sum(F.when(F.col("depth") > n, w).otherwise(0)).alias(f"over_{n}") for n in (1, 10, 50)]
+    over = [F.sum(F.when(F.col("depth") > n, w).otherwise(0)).alias(f"over_{n}") for n in _OVER]
     a = iv.depth_runs(t.aln, "ref_id").groupBy("ref_id").agg(F.sum(w * F.col("depth")).alias("bases"), F.sum(w * F.col("depth") * F.col("depth")).alias("sq"), *over)
     a = a.join(t.refs, "ref_id")
     mean = F.col("bases") / F.col("length")
     sd = F.sqrt(F.greatest(F.col("sq") / F.col("length") - mean * mean, F.lit(0.0)))
     return a.select(
         "ref_id", F.round(mean, 6).alias("mean_depth"), F.round(sd, 6).alias("sd_depth"),
-        *[F.round(F.col(f"over_{n}") * 100 / F.col("length"), 6).alias(f"pct_over_{n}") for n in (1, 10, 50)],
-        F.round(fx.depth_confidence(mean, sd), 6).alias("confidence"))
+        *[F.round(F.col(f"over_{n}") * 100.0 / F.col("length"), 6).alias(f"pct_over_{n}") for n in _OVER], F.round(fx.depth_confidence(mean, sd), 6).alias("confidence"))
 
 
 @query("depth_histogram", "A32", uses="aln refs", sql=f"""WITH {_RUNS},
@@ -161,17 +160,27 @@ def region_assignment(t):
     return iv.assign_region(reads, regions, "ref_id").groupBy("ref_id", "r_start").agg(F.count("*").alias("n_reads"))
 
 
-@query("sequence_windows", "E31 E28 E27 K6", uses="refs", sql="""
-WITH a AS (SELECT ref_id, length, unnest(range(0, greatest(0, length - 30000) + 1, 20000)) AS w_start FROM refs),
-b AS (SELECT ref_id, count(*) AS n_windows, CAST(max(least(w_start + 30000, length)) AS BIGINT) AS last_end FROM a GROUP BY ref_id),
+@query("sequence_windows", "E28 K6", uses="refs", sql="""
+WITH a AS (SELECT ref_id, length, unnest(CASE WHEN length >= 104000 THEN range(0, length - 104000 + 1, 20000) WHEN length >= 102000 THEN [0] ELSE [] END) AS w_start FROM refs),
+b AS (SELECT ref_id, count(*) AS n_windows, CAST(max(least(w_start + 104000, length)) AS BIGINT) AS last_end FROM a GROUP BY ref_id),
 p AS (SELECT ref_id, length, greatest(1, CAST(ceil(length / 30000.0) AS BIGINT)) AS n FROM refs)
 SELECT b.ref_id, n_windows, last_end, n AS n_parts, (SELECT max((i + 1) * length // n - i * length // n) FROM range(0, 20) AS r(i) WHERE i < n) AS longest_part FROM b JOIN p USING (ref_id)""")
 def sequence_windows(t):
-    wins = iv.sequence_windows(t.refs, "length", 30000, 20000).groupBy("ref_id").agg(F.count("*").alias("n_windows"), F.max("w_end").alias("last_end"))
+    wins = iv.sequence_windows(t.refs, "length", 104000, 20000, 102000).groupBy("ref_id").agg(F.count("*").alias("n_windows"), F.max("w_end").alias("last_end"))
     parts = iv.split_parts(t.refs, "length", 30000).groupBy("ref_id").agg(F.count("*").alias("n_parts"), F.max(F.col("p_end") - F.col("p_start")).alias("longest_part"))
     return wins.join(parts, "ref_id")
 
 
+@query("unknown_windows", "E31", sql="""
+WITH d AS (SELECT doc_id, translate(substr(text, 1, 400), 'aeiou', 'NNNNN') AS seq FROM documents WHERE length(text) >= 30),
+w AS (SELECT doc_id, seq, unnest(CASE WHEN length(seq) < 100 THEN [0] ELSE range(0, length(seq) - 100 + 1, 50) END) AS w_start FROM d), x AS (SELECT doc_id, w_start, upper(replace(replace(substr(seq, (w_start + 1)::INT, 100), 'ß', 's'), 'ŉ', 'n')) AS part FROM w)
+SELECT doc_id, count(*) AS n_windows, max(w_start) AS last_start FROM x WHERE length(part) - length(replace(part, 'N', '')) <= 0.35 * length(part) GROUP BY doc_id""")
+def unknown_windows(t):
+    d = t.documents.select("doc_id", F.translate(F.substring("text", 1, 400), "aeiou", "NNNNN").alias("seq")).withColumn("length", F.length("seq").cast("bigint"))
+    kept = iv.drop_unknown(iv.sequence_windows(d, "length", 100, 50, 30), "seq", 0.35)
+    return kept.groupBy("doc_id").agg(F.count("*").alias("n_windows"), F.max("w_start").alias("last_start"))
+
+
 @query("coverage_shares", "W3 W5 A10", uses="aln refs", sql=f"""WITH {_ISLANDS},
 c AS (SELECT ref_id, sum(e - s) * 1.0 / any_value(length) AS frac, any_value(length) AS length, any_value(species) AS species FROM isl JOIN refs USING (ref_id) GROUP BY ref_id),
 d AS (SELECT *, length * 1.0 / sum(length) OVER (PARTITION BY species) AS size_share FROM c)

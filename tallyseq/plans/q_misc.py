@@ -15,7 +15,7 @@ from tallyseq.streaming import windows as ew
 S = lambda n: F.col(n).cast("string")
 
 
-@query("version_fallback", "J1 E2 J23", sql="""
+@query("version_fallback", "J1 E2", sql="""
 WITH a AS (SELECT 'ACC' || p_partkey || '.' || (p_partkey % 3) AS acc FROM part), d AS (SELECT 'ACC' || p_partkey || '.1' AS acc, min(p_size)::BIGINT AS taxid FROM part WHERE p_size > 25 GROUP BY 1),
 b AS (SELECT regexp_replace(acc, '\\.\\d+$', '') AS bare, min(taxid) AS loose FROM d GROUP BY 1)
 SELECT a.acc, coalesce(d.taxid, loose) AS taxid FROM a LEFT JOIN d ON a.acc = d.acc LEFT JOIN b ON regexp_replace(a.acc, '\\.\\d+$', '') = bare""")
@@ -25,14 +25,14 @@ def version_fallback(t):
     return lk.with_version_fallback(t.part.select(name((F.col("p_partkey") % 3).cast("string")).alias("acc")), dim, "acc", "taxid")
 
 
-@query("backfill", "J2 J21", sql="SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN lower(replace(p_brand, '#', '_')) ELSE p_type END AS label FROM part")
+@query("backfill", "J2", sql="SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN lower(replace(p_brand, '#', '_')) ELSE p_type END AS label FROM part")
 def backfill(t):
     rows = t.part.select("p_partkey", F.when(F.col("p_partkey") % 4 != 0, F.col("p_type")).otherwise(F.lit(" ")).alias("label"))
     dim = t.part.select("p_partkey", F.lower(F.replace("p_brand", F.lit("#"), F.lit("_"))).alias("label"))
     return lk.backfill(rows, dim, "p_partkey", "label")
 
 
-@query("match_cascade", "J15 A39 R17", sql="""
+@query("match_cascade", "J3", sql="""
 WITH d1 AS (SELECT n_nationkey AS k, n_name || '!' AS v FROM nation WHERE n_name < 'M'), d2 AS (SELECT r_regionkey AS r, r_name AS v FROM region WHERE r_regionkey < 3)
 SELECT s_suppkey, coalesce(d1.v, d2.v) AS v, CASE WHEN d1.v IS NOT NULL THEN 0 WHEN d2.v IS NOT NULL THEN 1 END AS matched_by FROM supplier JOIN nation ON s_nationkey = n_nationkey LEFT JOIN d1 ON d1.k = s_nationkey LEFT JOIN d2 ON d2.r = n_regionkey""")
 def match_cascade(t):
@@ -42,7 +42,7 @@ def match_cascade(t):
     return lk.cascade(rows, [(d1, ["k"]), (d2, ["r"])], "v").select("s_suppkey", "v", "matched_by")
 
 
-@query("longest_prefix", "J22 J20", sql="""
+@query("longest_prefix", "J22", sql="""
 WITH d AS (SELECT DISTINCT split_part(p_type, ' ', 1) AS prefix FROM part UNION SELECT DISTINCT split_part(p_type, ' ', 1) || ' ' || split_part(p_type, ' ', 2) FROM part WHERE p_size > 45)
 SELECT p.p_partkey, (SELECT arg_max(prefix, length(prefix)) FROM d WHERE p.p_type = prefix OR starts_with(p.p_type, prefix || ' ') OR starts_with(p.p_type, prefix || ',')) AS prefix FROM part p""")
 def longest_prefix(t):
@@ -111,11 +111,11 @@ def confidence_profile(t):
 
 @query("hit_summary", "A25 A26 F14 F16", sql="""
 WITH h AS (SELECT l_suppkey AS taxid, l_partkey AS contig, l_discount * 1000 AS ident, p_type, row_number() OVER (PARTITION BY l_suppkey ORDER BY CAST(CAST(round(l_discount * 1000) AS INT) AS VARCHAR) DESC, l_orderkey, l_linenumber) AS no, count(*) OVER (PARTITION BY l_suppkey) AS n
- FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_discount >= 0.03 AND regexp_matches(p_type, 'STEEL|BRASS') AND NOT p_type LIKE '%PROMO%')
+ FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_discount >= 0.03 AND regexp_matches(p_type, 'STANDARD|ECONOMY|PROMO') AND NOT p_type LIKE '%PROMO%')
 SELECT taxid, count(DISTINCT contig) AS contigs, count(*) AS hits, round(max(CASE WHEN no = n // 2 + 1 THEN ident END), 4) AS middle_identity, string_agg(DISTINCT p_type, ';' ORDER BY p_type) AS types FROM h GROUP BY taxid""")
 def hit_summary(t):
     h = t.lineitem.join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
-    h = h.where((F.col("l_discount") >= 0.03) & F.col("p_type").rlike("STEEL|BRASS") & ~F.col("p_type").contains("PROMO"))
+    h = h.where((F.col("l_discount") >= 0.03) & F.col("p_type").rlike("STANDARD|ECONOMY|PROMO") & ~F.col("p_type").contains("PROMO"))
     w = Window.partitionBy("l_suppkey")
     text = F.round(F.col("l_discount") * 1000).cast("int").cast("string")  # identities sort as text
     h = h.withColumns({"no": F.row_number().over(w.orderBy(text.desc(), "l_orderkey", "l_linenumber")), "n": F.count("*").over(w)})
@@ -135,14 +135,14 @@ def feature_counts(t):
     return t.part.groupingSets([["p_brand", "p_type"], ["p_brand"]], "p_brand", "p_type").agg(F.count("*").alias("n"), F.grouping("p_type").cast("bigint").alias("level"))
 
 
-@query("annotation_levels", "A53 A54 F15", sql="""
+@query("annotation_levels", "A53 F15", sql="""
 WITH u AS (SELECT p_name AS gene, p_brand AS taxid, 0 AS lv FROM part WHERE p_size > 20 UNION ALL SELECT p_name, substr(p_brand, 1, 7), 1 FROM part WHERE p_size < 40 UNION ALL SELECT p_name, p_brand, 2 FROM part),
-r AS (SELECT *, row_number() OVER (PARTITION BY gene, taxid ORDER BY lv) AS no FROM u) SELECT gene, taxid, min(lv)::INT AS level, CASE WHEN regexp_matches(gene, '(1|3|5)$') THEN 'AMR' ELSE 'VF' END AS route FROM r WHERE no = 1 GROUP BY gene, taxid""")
+r AS (SELECT *, row_number() OVER (PARTITION BY gene, taxid ORDER BY lv) AS no FROM u) SELECT gene, taxid, min(lv)::INT AS level, CASE WHEN regexp_matches(gene, '(?i)(ring|t)$') THEN 'AMR' ELSE 'VF' END AS route FROM r WHERE no = 1 GROUP BY gene, taxid""")
 def annotation_levels(t):
     p = t.part
     u = p.where("p_size > 20").select("p_name", "p_brand", F.lit(0)).union(p.where("p_size < 40").select("p_name", F.substring("p_brand", 1, 7), F.lit(1))).union(p.select("p_name", "p_brand", F.lit(2))).toDF("gene", "taxid", "level")
     first = u.groupBy("gene", "taxid").agg(F.min("level").alias("level"))
-    return first.withColumn("route", F.when(F.col("gene").rlike("(1|3|5)$"), "AMR").otherwise("VF"))
+    return first.withColumn("route", F.when(F.col("gene").rlike("(?i)(ring|t)$"), "AMR").otherwise("VF"))
 
 
 @query("merge_contigs", "A55 U1 U2", sql="SELECT l_partkey, sum(l_quantity) AS reads, max(l_extendedprice) AS depth, max(l_tax) AS coverage FROM lineitem GROUP BY l_partkey")
@@ -160,15 +160,15 @@ def safety_level(t):
     return s.select("n_nationkey", F.coalesce("lv", F.max("lv").over(Window.partitionBy("n_regionkey"))).alias("level"))
 
 
-@query("scalar_numbers", "E8 E12 E16 E21 E22 E29 E30", sql="""SELECT l_orderkey, l_linenumber, round(1 - pow(10, -l_quantity / 10), 6) AS prob, round(log10(1 + l_extendedprice), 6) AS lg, CASE WHEN l_discount <= 1 THEN round(l_discount * 100, 4) ELSE l_discount END AS pct,
- round(ln(1 + l_quantity) / ln(51), 6) AS log_weight, round(least(greatest(l_tax * 20, 0), 1), 6) AS clipped FROM lineitem""")
+@query("scalar_numbers", "E8 E12 E16 E21 E29 E30", sql="""SELECT l_orderkey, l_linenumber, round(1 - pow(10, -l_quantity / 10), 6) AS prob, round(log10(1 + l_extendedprice), 6) AS lg, CASE WHEN l_discount <= 1 THEN round(l_discount * 100, 4) ELSE l_discount END AS pct,
+ round(1 - power((ln(greatest(0.001, l_tax)) - ln(0.001)) / (0 - ln(0.001)), 4), 6) AS log_weight, round(least(greatest(l_tax * 20, 0), 1), 6) AS clipped FROM lineitem""")
 def scalar_numbers(t):
     return t.lineitem.select(
         "l_orderkey", "l_linenumber", F.round(fx.mapq_probability(F.col("l_quantity")), 6).alias("prob"), F.round(fx.log_transform(F.col("l_extendedprice")), 6).alias("lg"), fx.scale_percent(F.col("l_discount")).alias("pct"),
-        F.round(F.log(1 + F.col("l_quantity")) / F.log(F.lit(51.0)), 6).alias("log_weight"), F.round(fx.clip(F.col("l_tax") * 20), 6).alias("clipped"))
+        F.round(fx.logarithmic_weight(F.col("l_tax")), 6).alias("log_weight"), F.round(fx.clip(F.col("l_tax") * 20), 6).alias("clipped"))
 
 
-@query("scalar_text", "E1 E2 E3 E20 E23 E32", sql="""WITH a AS (SELECT p_partkey, 'NC_' || p_partkey || '.2_' || p_size || '_7' AS qname, 'ref' || p_size || ':' || p_partkey || '-' || (p_partkey + 10) AS region, 'The  Côte d''Ivoire & ' || p_brand AS place FROM part)
+@query("scalar_text", "E1 E2 E3 E23 E32", sql="""WITH a AS (SELECT p_partkey, 'NC_' || p_partkey || '.2_' || p_size || '_7' AS qname, 'ref' || p_size || ':' || p_partkey || '-' || (p_partkey + 10) AS region, 'The  Côte d''Ivoire & ' || p_brand AS place FROM part)
 SELECT p_partkey, split_part(qname, '_', 1) AS first, regexp_replace(qname, '_\\d+_\\d+$', '') AS truth, regexp_replace(regexp_replace(qname, '_\\d+_\\d+$', ''), '\\.\\d+$', '') AS bare, split_part(region, ':', 1) AS contig, split_part(split_part(region, ':', 2), '-', 1)::BIGINT AS lo,
  split_part(region, '-', 2)::BIGINT AS hi, trim(regexp_replace(regexp_replace(replace(translate(lower(place), 'ôé', 'oe'), '&', 'and'), '[^a-z0-9 ]', '', 'g'), '^the +', '')) AS geo, base64(encode(qname)) AS b64 FROM a""")
 def scalar_text(t):
@@ -206,7 +206,7 @@ def nested_report(t):
     return per.groupBy("sample", "n_genera").agg(F.count("*").alias("n_species"), F.sum("k").alias("n_strains"), F.sum("r").alias("reads"))
 
 
-@query("flow_operators", "J25 U1 U3 U5 channel", sql="""
+@query("flow_operators", "J25 U1 U3 channel", sql="""
 WITH a AS (SELECT o_orderkey AS id, o_custkey AS meta, o_orderpriority AS kind FROM orders WHERE o_totalprice > 100000), b AS (SELECT o_orderkey AS id, o_orderstatus AS state FROM orders WHERE o_orderstatus <> 'P'),
 j AS (SELECT coalesce(a.id, b.id) AS id, meta, kind, state FROM a FULL JOIN b ON a.id = b.id)
 SELECT CASE WHEN kind IS NULL THEN 'right_only' WHEN state IS NULL THEN 'left_only' WHEN kind LIKE '1%' THEN 'urgent' ELSE 'both' END AS branch, count(*) AS n, count(DISTINCT meta) AS metas, min(id) AS first_id FROM j GROUP BY 1""")

@@ -32,87 +32,115 @@ def lead_margin(t):
     return sc.lead_margin(t.rec, "species", "reads").select("species", "top", "second", F.round("margin", 6).alias("margin"))
 
 
+_BREADTH = _SIG.format(s="12000.0", v="breadth", m="0.01")
+#: Weights of the eight parts; they sum to 1.25 and are normalised.
+_WEIGHTS = {"breadth": 0.27, "minhash": 0.31, "gini": 0.42, "disparity": 0.1, "population": 0.05, "mapq": 0.05, "k2_disparity": 0.03, "protein_identity": 0.02}
+# the distribution function by the series of erf with factorials, unlike the nested form of the library
+_CDF = "CASE WHEN z > 6 THEN 1 WHEN z < -6 THEN 0 ELSE 0.5 + z / 2 / sqrt(pi() / 2) * exp(-z * z / 2) * list_sum(list_transform(range(0, 80), lambda i: pow(z * z, i) * pow(2.0, i) * gamma(i + 1) / gamma(2 * i + 2))) END"
 _TASS = f"""
-c AS (SELECT *, {_SIG.format(s='12.0', v='breadth', m='0.3')} * pow(hmf, 0.5) AS x_breadth,
- least(1, least(greatest(1.8 * sqrt(greatest(1 - gini, 0)), 0), 1) * (1 + 0.3 * log10(greatest(1.0, least(length, 1e9) / 5e5))) * (1 + 0.1 * disp)) AS x_gini0,
- CASE WHEN breadth > 0 THEN least(1.0, 0.3 * (least(breadth, breadth_new) / breadth) + 0.7 * retention) ELSE 0.5 * mapq01 END AS x_minhash,
- CASE WHEN reads > 1 THEN pow(least(reads, 400) / 400.0, 0.3) ELSE 1 END AS c_pen,
- pow(least(1, breadth / (1 - exp(-least(reads * 75 / length, 5.0)))), 0.3) AS d_pen FROM rec)"""
+c AS (SELECT *, {_BREADTH} * pow(hmf, 0.3) AS x_breadth, CASE WHEN contigs > 1 THEN pow(contigs_covered * 1.0 / contigs, 0.3) ELSE 1 END AS c_pen,
+ pow(least(1.0, breadth / (1 - exp(-least(reads * read_length / length, 5.0)))), 0.3) AS d_pen,
+ least(1.0, CASE WHEN gini BETWEEN 0 AND 1 THEN least(1.0, 1.8 * sqrt(1 - gini)) ELSE 0 END * (1 + 2 * log10(greatest(1.0, least(length, 1e9) / 5e5))) * (1 + 0.5 * disp)) AS x_gini0,
+ CASE WHEN reads > 0 THEN 1 / (1 + exp(-2 * (log10(greatest(share * 1e6, 0.001)) - log10(5.0)))) ELSE 0 END AS x_abundance,
+ CASE WHEN count(*) OVER s > 1 THEN 1 - (row_number() OVER (PARTITION BY species ORDER BY reads DESC, ref_id) - 1) * 1.0 / (count(*) OVER s - 1) ELSE 1 END AS x_disparity,
+ reads * 1.0 / max(reads) OVER (PARTITION BY genus) AS x_k2, (share - avg(share) OVER (PARTITION BY genus)) / stddev_pop(share) OVER (PARTITION BY genus) AS z,
+ CASE WHEN is_plasmid THEN sqrt(breadth * gini) * least(1, 0.7 * breadth / max(breadth) OVER s + 0.3 * reads / max(reads) OVER s) ELSE 0 END AS plasmid FROM rec WINDOW s AS (PARTITION BY species)),
+q AS (SELECT *, {_CDF} AS p FROM c),
+x AS (SELECT *, x_gini0 * c_pen * hmf * d_pen AS x_gini, minhash * greatest(d_pen * c_pen * {_BREADTH}, 0.7 * (1 - removal) * mapq01) AS x_minhash,
+ CASE WHEN z IS NULL OR isnan(z) THEN 1 - pow(1 - 0.9986501019683699, 2) WHEN z < -1 THEN p * p WHEN z <= 1 THEN p WHEN z <= 2 THEN 1 - pow(1 - p, 1.5) ELSE 1 - pow(1 - p, 2) END AS x_population FROM q)"""
 
 
 def _components(t):
-    b, n = F.col("breadth"), F.lit(1.0)
-    return t.rec.withColumns({
-        "x_breadth": sc.breadth_score(b, F.col("hmf"), 0.3, 12.0),
-        "x_gini0": sc.gini_score(F.col("gini"), F.col("length"), F.col("disp")),
-        "x_minhash": sc.minhash_score(b, F.least("breadth", "breadth_new"), F.col("retention"), F.col("mapq01")),
-        "c_pen": F.when(F.col("reads") > 1, sc.contig_penalty(F.least(F.col("reads"), F.lit(400)), F.lit(400))).otherwise(n),
-        "d_pen": sc.depth_penalty(b, F.col("reads"), F.lit(75), F.col("length"))})
-
-
-@query("tass_components", "X1 X2 X3 X4 X5 E9 E14", uses="rec", sql=f"""WITH {_TASS} SELECT ref_id, round(x_breadth, 6) AS x_breadth, round(x_gini0, 6) AS x_gini0, round(x_minhash, 6) AS x_minhash, round(c_pen, 6) AS c_pen, round(d_pen, 6) AS d_pen FROM c""")
+    b = F.col("breadth")
+    one, genus = Window.partitionBy("species"), Window.partitionBy("genus")
+    x = sc.rank_disparity(t.rec.withColumn("_share", F.col("share")), "species", "reads", "ref_id").withColumn("share", F.col("_share"))
+    x = x.withColumns({
+        "x_breadth": sc.breadth_score(b, F.col("hmf")), "c_pen": sc.contig_penalty(F.col("contigs_covered"), F.col("contigs")),
+        "d_pen": sc.depth_penalty(b, F.col("reads"), F.col("read_length"), F.col("length")),
+        "x_gini0": sc.gini_score(F.col("gini"), F.col("length"), F.col("disp")), "x_abundance": sc.abundance_confidence(F.col("share"), F.lit(1.0)),
+        "x_disparity": F.col("disparity"), "x_k2": F.col("reads") / F.max("reads").over(genus),
+        "x_population": sc.population_percentile(F.col("share"), F.avg("share").over(genus), F.stddev_pop("share").over(genus)),
+        "plasmid": F.when(F.col("is_plasmid"), sc.plasmid_score(None, "species", b, F.col("gini"), "breadth", "reads")).otherwise(F.lit(0.0))})
+    gate = sc.group_gate(F.col("d_pen"), F.col("c_pen"), fx.sigmoid(b, 0.01, 12_000.0), F.col("removal"), F.col("mapq01"))
+    return x.withColumns({"x_gini": sc.gini_component(F.col("x_gini0"), F.col("c_pen"), F.col("hmf"), F.col("d_pen")), "x_minhash": F.col("minhash") * gate})
+
+
+def _parts():
+    return {"breadth": F.col("x_breadth"), "minhash": F.col("x_minhash"), "gini": F.col("x_gini"), "disparity": F.col("x_disparity"), "population": F.col("x_population"),
+            "mapq": F.col("mapq01"), "k2_disparity": F.col("x_k2"), "protein_identity": 0.9 * F.col("mapq01")}
+
+
+@query("tass_components", "X1 X2 X3 X4 X5 E9 E11 E14", uses="rec", sql=f"""WITH {_TASS} SELECT ref_id, round(x_breadth, 6) AS x_breadth, round(x_gini0, 6) AS x_gini0, round(x_gini, 6) AS x_gini, round(x_minhash, 6) AS x_minhash,
+ round(c_pen, 6) AS c_pen, round(d_pen, 6) AS d_pen, round(x_abundance, 6) AS x_abundance FROM x""")
 def tass_components(t):
-    return R6(_components(t), ["ref_id"], ["x_breadth", "x_gini0", "x_minhash", "c_pen", "d_pen"])
+    return R6(_components(t), ["ref_id"], ["x_breadth", "x_gini0", "x_gini", "x_minhash", "c_pen", "d_pen", "x_abundance"])
 
 
-@query("confidence_gate", "X6 X9 E8 E10 E11", uses="rec", sql=f"""
-WITH g AS (SELECT *, {_SIG.format(s='50000.0', v='share', m='0.0001')} AS w1, {_SIG.format(s='4.0', v='log10(1 + share * 1e6)', m='3.0')} AS w2, {_SIG.format(s='12.0', v='breadth', m='0.3')} AS conf FROM rec)
-SELECT ref_id, round(w1, 6) AS rpm_weight, round(w2, 6) AS log_rpm_weight, round(1 - pow(10, -mapq01 * 60 / 10), 6) AS mapq_prob,
- round(greatest(conf, 0.3 * mapq01 * (1 + share)) * ((1 - 0.35 * (1 - least(1, conf + 0.2 * mapq01))) + 0.35 * (1 - least(1, conf + 0.2 * mapq01)) * w2), 6) AS gate,
+@query("confidence_gate", "X6 X9 E8 E10", uses="rec", sql=f"""
+WITH g AS (SELECT *, {_SIG.format(s='50000.0', v='share', m='0.0001')} AS w1, {_SIG.format(s='12.0', v='breadth', m='0.3')} AS conf FROM rec)
+SELECT ref_id, round(w1, 6) AS rpm_weight, round(1 - pow(10, -mapq01 * 60 / 10), 6) AS mapq_prob,
+ round(greatest(conf, 0.3 * mapq01 * (1 + share)) * ((1 - 0.35 * (1 - least(1, conf + 0.2 * mapq01))) + 0.35 * (1 - least(1, conf + 0.2 * mapq01)) * w1), 6) AS gate,
  round(greatest(hmf * disp * conf, 0.7 * (1 - removal) * mapq01), 6) AS group_gate, round(hmf + (1 - hmf) * least(greatest(minhash * (1 - 1.0 / 4), 0), 1), 6) AS relief FROM g""")
 def confidence_gate(t):
-    w1, w2 = fx.sigmoid(F.col("share"), 0.0001, 50_000.0), fx.sigmoid(F.log10(1 + F.col("share") * 1e6), 3.0, 4.0)
-    conf = fx.sigmoid(F.col("breadth"), 0.3, 12.0)
+    w1, conf = fx.sigmoid(F.col("share"), 0.0001, 50_000.0), fx.sigmoid(F.col("breadth"), 0.3, 12.0)
     x = t.rec.withColumns({
-        "rpm_weight": w1, "log_rpm_weight": w2, "mapq_prob": fx.mapq_probability(F.col("mapq01") * 60), "gate": sc.record_gate(conf, F.col("mapq01"), F.col("share"), w2),
+        "rpm_weight": w1, "mapq_prob": fx.mapq_probability(F.col("mapq01") * 60), "gate": sc.record_gate(conf, F.col("mapq01"), F.col("share"), w1),
         "group_gate": sc.group_gate(F.col("hmf"), F.col("disp"), conf, F.col("removal"), F.col("mapq01")), "relief": sc.mapq_relief(F.col("hmf"), F.col("minhash"), F.lit(4))})
-    return R6(x, ["ref_id"], ["rpm_weight", "log_rpm_weight", "mapq_prob", "gate", "group_gate", "relief"])
-
-
-_W = {"x_breadth": 0.27, "x_minhash": 0.31, "x_gini0": 0.42}
+    return R6(x, ["ref_id"], ["rpm_weight", "mapq_prob", "gate", "group_gate", "relief"])
 
 
-@query("tass_score", "X10 X12 E25 E29", uses="rec", sql=f"""WITH {_TASS},
-p AS (SELECT *, CASE WHEN is_plasmid THEN sqrt(breadth * gini) * least(1, 0.7 * breadth / max(breadth) OVER (PARTITION BY species) + 0.3 * reads / max(reads) OVER (PARTITION BY species)) ELSE 0 END AS plasmid FROM c),
-s AS (SELECT *, least(greatest(pow(least(greatest(x_breadth * 0.27 + x_minhash * 0.31 + x_gini0 * 0.42 + plasmid * 0.1, 0), 1), 1 - (1 - 0.7) * share), 0), 1) AS tass FROM p)
-SELECT ref_id, round(plasmid, 6) AS plasmid, round(tass, 6) AS tass, round(tass * 100, 4) AS tass_pct FROM s""")
+@query("tass_score", "X10 X12 X14 E25 E29", uses="rec", sql=f"""WITH {_TASS},
+s AS (SELECT *, (x_breadth * 0.27 + x_minhash * 0.31 + x_gini * 0.42 + x_disparity * 0.1 + x_population * 0.05 + mapq01 * 0.05 + x_k2 * 0.03 + 0.9 * mapq01 * 0.02) / 1.25 + 0.05 * x_abundance + 0.1 * plasmid AS raw FROM x),
+w AS (SELECT *, pow(least(greatest(raw, 0), 1), 1 - 0.3 * x_k2) AS tass FROM s)
+SELECT ref_id, round(plasmid, 6) AS plasmid, round(tass, 6) AS tass, round(tass * 100, 4) AS tass_pct, round(raw * x_abundance, 6) AS gated FROM w""")
 def tass_score(t):
-    x = _components(t).withColumn("plasmid", F.when(F.col("is_plasmid"), sc.plasmid_score(None, "species", F.col("breadth"), F.col("gini"), "breadth", "reads")).otherwise(F.lit(0.0)))
-    x = x.withColumn("tass", sc.additive_score(_W, F.col("plasmid"), 0.1, F.col("share")))
-    return x.select("ref_id", F.round("plasmid", 6).alias("plasmid"), F.round("tass", 6).alias("tass"), F.round(fx.scale_percent(F.col("tass")), 4).alias("tass_pct"))
-
-
-@query("tass_penalized", "X11", uses="rec", sql=f"""WITH {_TASS}, k AS (SELECT *, 0.5 + (x_breadth - 0.5) * 0.27 + (x_minhash - 0.5) * 0.31 + (x_gini0 - 0.5) * 0.42 AS core FROM c)
-SELECT ref_id, round(least(greatest(0.5 + (core - 0.5) * (0.5 + share) + CASE WHEN core < 0.15 THEN gini * 0.1 ELSE 0 END, 0), 1), 6) AS tass FROM k""")
+    x, weights = _components(t), sc.normalized_weights(_WEIGHTS)
+    say = dict(plasmid=F.col("plasmid"), bonus=0.1, abundance=F.col("x_abundance"), abundance_weight=0.05)
+    tass = sc.additive_score(_parts(), weights, **say, power=0.7, scale=F.col("x_k2"))
+    gated = sc.additive_score(_parts(), weights, **say, gate=True, power=1.0)
+    x = x.withColumns({"tass": tass, "gated": gated})
+    return x.select("ref_id", F.round("plasmid", 6).alias("plasmid"), F.round("tass", 6).alias("tass"), F.round(fx.scale_percent(F.col("tass")), 4).alias("tass_pct"), F.round("gated", 6).alias("gated"))
+
+
+@query("tass_penalized", "X11", uses="rec", sql=f"""WITH {_TASS},
+k AS (SELECT *, ((x_breadth - 0.5) * 0.27 + (x_minhash - 0.5) * 0.31 + (x_gini - 0.5) * 0.42 + (x_disparity - 0.5) * 0.1 + (x_population - 0.5) * 0.05 + (mapq01 - 0.5) * 0.05 + (x_k2 - 0.5) * 0.03 + (0.9 * mapq01 - 0.5) * 0.02) / 1.25 AS away,
+ (x_breadth * 0.27 + x_minhash * 0.31 + x_gini * 0.42 + x_disparity * 0.1 + x_population * 0.05) / 1.25 AS quality FROM x)
+SELECT ref_id, round(least(greatest(0.5 + away * (0.7 + 0.3 * x_abundance) + 0.1 * plasmid * CASE WHEN quality < 0.15 THEN quality / 0.15 ELSE 1 END, 0), 1), 6) AS tass FROM k""")
 def tass_penalized(t):
-    return _components(t).select("ref_id", F.round(sc.penalized_score(_W, F.col("share"), F.col("gini"), 0.1), 6).alias("tass"))
-
-
-@query("winner_loser", "X8", uses="rec", sql="""
-WITH a AS (SELECT *, count(*) OVER s AS n, row_number() OVER (PARTITION BY species ORDER BY reads DESC, ref_id) AS no, sum(reads) OVER s AS tot, max(reads) OVER s AS top, max(breadth) OVER s AS tc FROM rec WINDOW s AS (PARTITION BY species)),
-b AS (SELECT *, max(CASE WHEN no = 2 THEN reads END) OVER (PARTITION BY species) AS nd, CASE WHEN tc > 0 THEN breadth / tc ELSE 0 END AS ratio FROM a),
-c AS (SELECT *, (0.65 * (0.2 + 0.8 * reads / tot) + 0.35 * (0.35 + 0.65 * ratio)) * greatest(0.35, 1 / (1 + 0.3 * (least(n, 50) - 2))) * greatest(0.3, 1 - 0.5 * removal * least(1, (least(n, 50) - 1) / 5.0)) AS loser FROM b)
-SELECT ref_id, n = 1 AS solo, round(CASE WHEN n = 1 THEN 1 + 0.9 * mapq01 * (1 - hmf) WHEN no = 1 THEN 1 + (1 - hmf) * least(1, reads * 1.0 / tot + 0.75 * (top - nd) / tot) WHEN reads >= 0.8 * top THEN greatest(loser, 0.8) ELSE greatest(loser, 0.2) END, 6) AS factor FROM c""")
+    score = sc.penalized_score(_parts(), sc.normalized_weights(_WEIGHTS), F.col("plasmid"), 0.1, F.col("x_abundance"), 0.3)
+    return _components(t).select("ref_id", F.round(score, 6).alias("tass"))
+
+
+@query("winner_loser", "X8", uses="rec", sql=f"""
+WITH a AS (SELECT *, least(1.0, {_SIG.format(s='12.0', v='breadth', m='0.3')} + 0.3 * mapq01) AS ceil_, count(*) OVER s AS n, row_number() OVER (PARTITION BY species ORDER BY share DESC, ref_id) AS no, share / sum(share) OVER s AS mine FROM rec WINDOW s AS (PARTITION BY species)),
+b AS (SELECT *, max(CASE WHEN no = 1 THEN breadth END) OVER s AS top_breadth, max(CASE WHEN no = 1 THEN mine END) OVER s AS first_, coalesce(max(CASE WHEN no = 2 THEN mine END) OVER s, 0) AS second_ FROM a WINDOW s AS (PARTITION BY species)),
+c AS (SELECT *, (0.65 * (0.2 + 0.8 * mine) + 0.35 * (0.35 + 0.65 * least(1, breadth / top_breadth))) * CASE WHEN n > 2 THEN greatest(0.35, 1 / (1 + 0.3 * (n - 2))) ELSE 1 END * greatest(0.3, 1 - 0.5 * removal * least(1, (n - 1) / 5.0)) AS k0,
+ least(1, greatest(0, (mine / first_ - 0.4) / 0.4)) * least(1, greatest(0, (breadth - 0.1) / 0.15)) * CASE WHEN n > 2 THEN greatest(0.1, 2.0 / n) ELSE 1 END AS par FROM b),
+d AS (SELECT *, greatest(0.2, k0 + par * greatest(0, 0.8 - k0)) AS kept, least(ceil_, minhash + greatest(0, ceil_ - minhash) * least(1, mine + 0.75 * (mine - second_))) AS won FROM c)
+SELECT ref_id, round(CASE WHEN n = 1 THEN 1 ELSE mine END, 6) AS rpm_share, round(CASE WHEN n = 1 THEN 1 WHEN no = 1 THEN won / minhash ELSE kept END, 6) AS factor,
+ round(CASE WHEN n = 1 THEN least(ceil_, minhash + 0.9 * greatest(0, ceil_ - minhash) * mapq01) WHEN no = 1 THEN won ELSE minhash * kept END, 6) AS minhash_shared FROM d""")
 def winner_loser(t):
-    x = sc.sharing_factor(t.rec, "species", "reads", "ref_id", F.col("breadth"), F.col("mapq01"), 1 - F.col("hmf"), F.col("removal"))
-    return x.select("ref_id", "solo", F.round("factor", 6).alias("factor"))
+    x = t.rec.withColumn("n_partners", F.count("*").over(Window.partitionBy("species")) - 1)
+    ceiling = F.least(F.lit(1.0), fx.sigmoid(F.col("breadth"), 0.3, 12.0) + 0.3 * F.col("mapq01"))
+    x = sc.share_minhash(x, "species", "share", "ref_id", "minhash", ceiling, F.col("breadth"), F.col("mapq01"), F.col("removal"), F.col("n_partners"))
+    return R6(x, ["ref_id"], ["rpm_share", "factor", "minhash_shared"])
 
 
-@query("population_percentile", "X13 E18 A37", uses="rec", sql=None)
+@query("population_percentile", "X13 E18", uses="rec", sql=f"""WITH {_TASS} SELECT ref_id, round(x_population, 6) AS percentile FROM x""")
 def population_percentile(t):
-    pop = t.rec.groupBy("genus").agg(F.avg("breadth").alias("m"), F.stddev_pop("breadth").alias("sd"))
-    return t.rec.join(pop, "genus").select("ref_id", F.round(sc.population_percentile(F.col("breadth"), F.col("m"), F.col("sd")), 6).alias("percentile"))
+    pop = t.rec.groupBy("genus").agg(F.avg("share").alias("m"), F.stddev_pop("share").alias("sd"))
+    return t.rec.join(F.broadcast(pop), "genus").select("ref_id", F.round(sc.population_percentile(F.col("share"), F.col("m"), F.col("sd")), 6).alias("percentile"))
 
 
-_CTL = "n AS (SELECT organism, max(tass) AS neg_max FROM ctl WHERE polarity = 'negative' GROUP BY organism), p AS (SELECT organism, min(tass) AS pos_min FROM ctl WHERE polarity = 'positive' GROUP BY organism)"
+_CTL = "n AS (SELECT organism, max(reads) AS neg_max FROM ctl WHERE polarity = 'negative' GROUP BY organism), p AS (SELECT organism, min(reads) AS pos_min FROM ctl WHERE polarity = 'positive' GROUP BY organism)"
 
 
-@query("control_comparison", "J16 X16", uses="ctl", sql=f"""WITH {_CTL}, j AS (SELECT c.source, c.organism, c.tass, neg_max, pos_min, CASE WHEN neg_max > 0 THEN c.tass / neg_max END AS fold_neg, CASE WHEN pos_min > 0 THEN c.tass / pos_min END AS fold_pos
+@query("control_comparison", "J16 X16", uses="ctl", sql=f"""WITH {_CTL}, j AS (SELECT c.source, c.organism, neg_max, pos_min, CASE WHEN neg_max > 0 THEN c.reads / neg_max END AS fold_neg, CASE WHEN pos_min > 0 THEN c.reads / pos_min END AS fold_pos
  FROM ctl c LEFT JOIN n USING (organism) LEFT JOIN p USING (organism) WHERE polarity = 'sample')
-SELECT source, organism, round(fold_neg, 6) AS fold_neg, round(fold_pos, 6) AS fold_pos, CASE WHEN neg_max IS NULL THEN 'no_control' WHEN fold_neg < 1.0 THEN 'within_negative' ELSE 'above_negative' END AS neg_flag FROM j""")
+SELECT source, organism, round(fold_neg, 6) AS fold_neg, round(fold_pos, 6) AS fold_pos, CASE WHEN neg_max IS NULL THEN 'no_control' WHEN fold_neg < 2.0 THEN 'within_negative' ELSE 'above_negative' END AS neg_flag FROM j""")
 def control_comparison(t):
     part = lambda p: t.ctl.where(F.col("polarity") == p)
-    x = sc.control_flags(part("sample"), part("negative").select("organism", "tass"), part("positive").select("organism", "tass"), "organism", "tass", bound=1.0)
+    x = sc.control_flags(part("sample"), part("negative").select("organism", "reads"), part("positive").select("organism", "reads"), "organism", "reads")
     return x.select("source", "organism", F.round("fold_neg", 6).alias("fold_neg"), F.round("fold_pos", 6).alias("fold_pos"), "neg_flag")
 
 
@@ -138,7 +166,7 @@ def novelty_score(t):
     return x.select("source", F.round("dark", 6).alias("dark"), F.round("novelty", 6).alias("novelty"), "flagged")
 
 
-@query("threshold_fallback", "X24 F7 E4 E5", uses="samples", sql="""
+@query("threshold_fallback", "X24", uses="samples", sql="""
 WITH d AS (SELECT * FROM (VALUES ('BUILDING', '1', 10.0), ('BUILDING', 'all', 20.0), ('all', '2', 30.0), ('all', 'all', 40.0)) v(segment, site, cutoff))
 SELECT sample, coalesce((SELECT cutoff FROM d WHERE d.segment = s.segment AND d.site = s.site::VARCHAR), (SELECT cutoff FROM d WHERE d.segment = s.segment AND d.site = 'all'),
  (SELECT cutoff FROM d WHERE d.segment = 'all' AND d.site = s.site::VARCHAR), (SELECT cutoff FROM d WHERE d.segment = 'all' AND d.site = 'all'))::DOUBLE AS cutoff FROM samples s""")
@@ -149,10 +177,10 @@ def threshold_fallback(t):
     return sc.first_match(s, dim, keys, "cutoff", "cutoff").select("sample", "cutoff")
 
 
-@query("priority_assembly", "X22 J3 W6", sql="""WITH a AS (SELECT p_brand, p_partkey, CASE WHEN p_type LIKE '%STEEL%' THEN 0 WHEN p_type LIKE '%BRASS%' THEN 1 WHEN p_size > 25 THEN 2 ELSE 3 END AS priority FROM part)
+@query("priority_assembly", "X22 J3 W6", sql="""WITH a AS (SELECT p_brand, p_partkey, CASE WHEN p_type LIKE '%ECONOMY%' THEN 0 WHEN p_type LIKE '%MEDIUM%' THEN 1 WHEN p_size > 25 THEN 2 ELSE 3 END AS priority FROM part)
 SELECT p_brand, arg_min(p_partkey, (priority, p_partkey)) AS p_partkey, min(priority)::INT AS priority FROM a GROUP BY p_brand""")
 def priority_assembly(t):
-    pr = F.when(F.col("p_type").contains("STEEL"), 0).when(F.col("p_type").contains("BRASS"), 1).when(F.col("p_size") > 25, 2).otherwise(3)
+    pr = F.when(F.col("p_type").contains("ECONOMY"), 0).when(F.col("p_type").contains("MEDIUM"), 1).when(F.col("p_size") > 25, 2).otherwise(3)
     return t.part.groupBy("p_brand").agg(F.min(F.struct(pr.alias("priority"), F.col("p_partkey"))).alias("b")).select("p_brand", "b.p_partkey", "b.priority")
 
 
@@ -207,7 +235,7 @@ def sketch_sweep(t):
     return fit.sketch_sweep(t.seqs, "seq_id", "grp", "text", sizes=(3, 5), scaled=(16, 64), threshold=0.5)
 
 
-@query("synthetic_abundance", "X21 U4", sql="""
+@query("synthetic_abundance", "X21", sql="""
 WITH u AS (SELECT s_suppkey, s_nationkey, -ln((('0x' || substr(md5('7:' || s_suppkey), 1, 8))::BIGINT + 1) / 4294967297.0) AS g FROM supplier)
 SELECT s_suppkey, round(g / sum(g) OVER (PARTITION BY s_nationkey), 6) AS weight FROM u""")
 def synthetic_abundance(t):

@@ -16,6 +16,7 @@ def con():
 @pytest.mark.parametrize("name", sorted(catalog.ORACLES))
 def test_same_rows(spark, con, name):
     assert compare.differences(spark, con, name, SF) == ""
+    assert con.execute(f"SELECT count(*) FROM ({catalog.ORACLES[name]})").fetchone()[0] > 0  # no twin is green on nothing
 
 
 @pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLES)))
@@ -23,6 +24,18 @@ def test_runs_without_twin(spark, name):
     assert catalog.QUERIES[name](spark, SF).count() > 0
 
 
+BRANCHES = {
+    "control_comparison": ("neg_flag", 2), "priority_assembly": ("priority", 3), "annotation_levels": ("route", 2), "pathogen_match": ("matched_by", 4), "least_scores": ("origin", 4), "annotation_backfill": ("origin", 1), "platforms": ("platform", 3),
+}
+
+
+@pytest.mark.parametrize("name", sorted(BRANCHES))
+def test_branches_occur(name):
+    column, least = BRANCHES[name]
+    con = compare.connect("/root/testdata/sf0.01")
+    assert con.execute(f"SELECT count(DISTINCT {column}) FROM ({catalog.ORACLES[name]})").fetchone()[0] >= least
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
