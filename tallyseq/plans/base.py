@@ -36,7 +36,7 @@ STAND_INS = {
         CAST(c_nationkey * 7 - 80 AS DOUBLE) AS lat, CAST(c_nationkey * 14 - 170 AS DOUBLE) AS lon FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     # organism records with three levels for controls: priority plays the sample's role
     "ctl": """SELECT o_orderpriority AS source, CASE WHEN o_orderpriority = '1-URGENT' THEN 'negative' WHEN o_orderpriority = '2-HIGH' THEN 'positive' ELSE 'sample' END AS polarity,
-        p_brand AS organism, COUNT(*) AS reads, round(AVG(l_discount) * 1000, 4) AS tass FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
+        p_brand AS organism, SUM(CASE WHEN o_orderpriority = '1-URGENT' AND p_brand LIKE '%3' AND l_quantity > 15 THEN 0 ELSE 1 END) AS reads, round(AVG(l_discount) * 1000, 4) AS tass FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
         GROUP BY o_orderpriority, p_brand""",
     # documents as sequences, grouped by source
     "seqs": "SELECT doc_id AS seq_id, source AS grp, text FROM documents",

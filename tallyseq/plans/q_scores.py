@@ -145,8 +145,8 @@ def control_comparison(t):
 
 
 @query("missing_controls", "J17 J18 U3", uses="ctl", sql="""
-SELECT 'missing' AS kind, organism, max(reads) AS reads FROM ctl WHERE polarity = 'positive' AND organism NOT IN (SELECT organism FROM ctl WHERE source = '3-MEDIUM' AND reads > 480) GROUP BY organism
-UNION ALL SELECT 'sample_only', organism, max(reads) FROM ctl WHERE source = '3-MEDIUM' AND organism NOT IN (SELECT organism FROM ctl WHERE polarity = 'negative' AND reads > 480) GROUP BY organism""")
+SELECT 'missing' AS kind, organism, max(reads)::BIGINT AS reads FROM ctl WHERE polarity = 'positive' AND organism NOT IN (SELECT organism FROM ctl WHERE source = '3-MEDIUM' AND reads > 480) GROUP BY organism
+UNION ALL SELECT 'sample_only', organism, max(reads)::BIGINT FROM ctl WHERE source = '3-MEDIUM' AND organism NOT IN (SELECT organism FROM ctl WHERE polarity = 'negative' AND reads > 480) GROUP BY organism""")
 def missing_controls(t):
     own = t.ctl.where("source = '3-MEDIUM'")
     missing = sc.missing_controls(own.where("reads > 480"), t.ctl.where("polarity = 'positive'"), "organism", "reads").select(F.lit("missing").alias("kind"), "organism", "reads")
@@ -177,11 +177,11 @@ def threshold_fallback(t):
     return sc.first_match(s, dim, keys, "cutoff", "cutoff").select("sample", "cutoff")
 
 
-@query("priority_assembly", "X22 J3 W6", sql="""WITH a AS (SELECT p_brand, p_partkey, CASE WHEN p_type LIKE '%ECONOMY%' THEN 0 WHEN p_type LIKE '%MEDIUM%' THEN 1 WHEN p_size > 25 THEN 2 ELSE 3 END AS priority FROM part)
-SELECT p_brand, arg_min(p_partkey, (priority, p_partkey)) AS p_partkey, min(priority)::INT AS priority FROM a GROUP BY p_brand""")
+@query("priority_assembly", "X22 J3 W6", sql="""WITH a AS (SELECT p_brand, p_size, p_partkey, CASE WHEN p_type LIKE '%ECONOMY%' THEN 0 WHEN p_type LIKE '%MEDIUM%' THEN 1 WHEN p_size > 25 THEN 2 ELSE 3 END AS priority FROM part)
+SELECT p_brand, p_size, arg_min(p_partkey, (priority, p_partkey)) AS p_partkey, min(priority)::INT AS priority FROM a GROUP BY p_brand, p_size""")
 def priority_assembly(t):
     pr = F.when(F.col("p_type").contains("ECONOMY"), 0).when(F.col("p_type").contains("MEDIUM"), 1).when(F.col("p_size") > 25, 2).otherwise(3)
-    return t.part.groupBy("p_brand").agg(F.min(F.struct(pr.alias("priority"), F.col("p_partkey"))).alias("b")).select("p_brand", "b.p_partkey", "b.priority")
+    return t.part.groupBy("p_brand", "p_size").agg(F.min(F.struct(pr.alias("priority"), F.col("p_partkey"))).alias("b")).select("p_brand", "p_size", "b.p_partkey", "b.priority")
 
 
 _LAB = "l AS (SELECT labels.doc_id, quality, least(100, n_chars // 40)::BIGINT AS score, source, lang FROM labels JOIN documents USING (doc_id))"
