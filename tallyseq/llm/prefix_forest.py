@@ -24,18 +24,22 @@ SAMPLE, SHARD = 4_096, 8_192
 BITS = 32
 
 
-def distinct_vectors(vectors: DataFrame, key: str, vec: str, query: Column, k: int) -> tuple[DataFrame, DataFrame]:
-    """(vid, ids, v) of distinct usable vectors with the k+1 smallest keys each, and (qid, vid) of queries.
+def usable(vectors: DataFrame, key: str, vec: str, query: Column) -> DataFrame:
+    """(id, v, q) of rows with a key and a finite vector that isn't zero; float components stay float."""
+    kind = vectors.schema[vec].dataType.simpleString()
+    v = F.col(vec) if kind in ("array<float>", "array<double>") else F.col(vec).cast("array<double>")
+    rows = vectors.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("id"), v.alias("v"), query.alias("q"))
+    finite = F.forall("v", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
+    return rows.where(F.col("v").isNotNull() & finite & F.exists("v", lambda x: x != 0))
+
+
+def distinct_vectors(rows: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """(vid, ids, v) of distinct vectors of (id, v, q) with the k+1 smallest keys each, and (qid, vid) of queries.
 
     More than k+1 equal vectors can't all be near: they tie, and the smallest keys win. The ranking
     limit works within map tasks first, so a vector that fills a third of the table travels k+1 times a
-    task. Vectors of another dimension than the most frequent (ties: the largest) take no part.
+    task.
     """
-    rows = vectors.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("id"), F.col(vec).cast("array<double>").alias("v"), query.alias("q"))
-    finite = F.forall("v", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
-    rows = rows.where(F.col("v").isNotNull() & finite & F.exists("v", lambda x: x != 0))
-    size = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    rows = rows.where(F.size("v") == (size["d"] if size else 0))
     first = F.row_number().over(Window.partitionBy("v").orderBy("id"))
     kept = rows.select("id", "v").withColumn("no", first).where(F.col("no") <= k + 1)
     nodes = kept.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")).select(F.element_at("ids", 1).alias("vid"), "ids", "v")
@@ -72,14 +76,14 @@ def hashed(rows: DataFrame, hasher: Hasher, query: bool, shard_bits: int, with_v
 
     def batches(it):
         for b in it:
-            x = np.array(b.column(1).flatten().to_numpy(zero_copy_only=False)).reshape(b.num_rows, -1)
+            x = np.array(b.column(1).flatten().to_numpy(zero_copy_only=False), float).reshape(b.num_rows, -1)
             if not len(x):
                 continue
             for t, h in enumerate(hasher.hashes(x, query)):
                 cols = [pa.array(np.full(len(h), t, np.int32)), pa.array(h >> (BITS - shard_bits)), pa.array(h), b.column(0)]
                 yield pa.RecordBatch.from_arrays(cols + [b.column(1)] * with_vector, names)
 
-    kind = "tree int, shard long, h long, vid long" + ", v array<double>" * with_vector
+    kind = "tree int, shard long, h long, vid long" + f", v {rows.schema['v'].dataType.simpleString()}" * with_vector
     return rows.select("vid", "v").mapInArrow(batches, kind)
 
 
@@ -121,7 +125,7 @@ def rank_ranges(index: DataFrame, asked: DataFrame, k: int) -> DataFrame:
         h = left.column("h").to_numpy()
         order = np.argsort(h, kind="stable")
         h, vid = h[order], left.column("vid").to_numpy()[order]
-        grid = lambda t: t.column("v").combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1)
+        grid = lambda t: t.column("v").combine_chunks().flatten().to_numpy().astype(float).reshape(t.num_rows, -1)
         x = grid(left)[order] if len(h) else np.zeros((0, 1))
         q, qh, qid, level = grid(right) if right.num_rows else None, right.column("h").to_numpy(), right.column("vid").to_numpy(), right.column("level").to_numpy()
         low = (qh >> (BITS - level)) << (BITS - level)
@@ -142,6 +146,12 @@ def rank_ranges(index: DataFrame, asked: DataFrame, k: int) -> DataFrame:
                 else:
                     c, j = map(np.ravel, np.indices(found.shape))
                 score = (x[lo + c] * q[at[j]]).sum(axis=1)
+                # ties of the last place are cut by the smaller vector, so a query sends k + 1 rows at most
+                order = np.lexsort((vid[lo + c], -score, j))
+                c, j, score = c[order], j[order], score[order]
+                start = np.flatnonzero(np.diff(j, prepend=-1))
+                top = np.arange(len(j)) - np.repeat(start, np.diff(np.append(start, len(j)))) <= k
+                c, j, score = c[top], j[top], score[top]
                 out.append((qid[at[j]], vid[lo + c], score))
         cols = [np.concatenate(y) for y in zip(*out)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
         return pa.table(dict(zip(("q", "c", "score"), map(pa.array, cols))))
@@ -150,19 +160,30 @@ def rank_ranges(index: DataFrame, asked: DataFrame, k: int) -> DataFrame:
 
 
 def nearest_neighbours(
-    vectors: DataFrame, query: Column, key: str = "vec_id", vec: str = "embedding", k: int = 20, trees: int = 32, reach: float = 0.7,
+    vectors: DataFrame, query: Column, key: str = "vec_id", vec: str = "embedding", k: int = 20, trees: int = 16, reach: float = 0.7,
 ) -> DataFrame:
     """(query_id, rank, key, score): the k nearest found for every row where `query` holds, itself excluded.
 
     Nearness is the largest inner product in double precision, ties go to the smaller key; with fewer
     than k other rows all of them. Rows with a null key, and vectors null, empty, zero or holding null
-    or non-finite components, take no part. Repeated rows count as equal vectors; a key that occurs
-    twice is left out of its own result both times. Empty input: empty result. With reach >= 1 * trees
-    the search is exhaustive; `reach` 0.7 found over 0.9 of the true neighbours on vectors without any
-    structure, where no index can do with few candidates (see README).
+    or non-finite components, take no part. Vectors of another dimension have no product with a query;
+    every dimension is searched by itself. Repeated rows count as equal vectors; a key that occurs twice
+    is left out of its own result both times. Empty input: empty result; other columns are not read. With
+    reach >= 1 * trees the search is exhaustive; `reach` 0.7 found over 0.9 of the true neighbours on
+    vectors without any structure, where no index can do with few candidates (see README).
     """
-    nodes, asked = distinct_vectors(vectors, key, vec, query, k)
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
+    rows = usable(vectors, key, vec, query)
+    sizes = sorted(r[0] for r in rows.select(F.size("v")).distinct().collect())
+    parts = [_search(rows.where(F.size("v") == d), key, k, trees, reach) for d in sizes or [0]]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _search(rows: DataFrame, key: str, k: int, trees: int, reach: float) -> DataFrame:
+    nodes, asked = distinct_vectors(rows, k)
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     n, longest = nodes.agg(F.count("*"), F.max(norm)).first()
     if not n:
         return asked.select(F.col("qid").alias("query_id"), F.lit(1).alias("rank"), F.col("vid").alias(key), F.lit(0.0).alias("score")).where("false")

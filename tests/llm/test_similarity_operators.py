@@ -116,7 +116,7 @@ def test_forest_is_exact_when_it_reaches_all(spark):
     rng = np.random.default_rng(4)
     rows = [(i, [float(x) for x in rng.standard_normal(8).astype(np.float32)]) for i in range(300)]
     rows += [(i, rows[0][1]) for i in range(300, 420)]  # one vector fills a third of the table
-    rows += [(1000, None), (1020, [0.0] * 8), (1040, [1.0] * 7 + [None]), (1060, [float("nan")] * 8), (1080, [float("inf")] * 8), (1100, [1.0]), (None, rows[3][1])]
+    rows += [(1000, None), (1020, [0.0] * 8), (1040, [1.0] * 7 + [None]), (1060, [float("nan")] * 8), (1080, [float("inf")] * 8), (None, rows[3][1])]
     df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<float>, rank int")
     got = {}
     for r in prefix_forest.nearest_neighbours(df, F.col("vec_id") % 20 == 0, reach=32.0).orderBy("query_id", "rank").collect():
@@ -180,6 +180,67 @@ def test_quality_shrinks_sparse_sites(spark):
     assert site_quality.score_quality(docs.limit(0), labels).count() == 0
 
 
+def nested_posteriors(rows):
+    """(h, p, p_doc) -> host and path posteriors, by the sums of squares of a nested design."""
+    h, p, y = (np.array(c) for c in zip(*rows))
+    path = np.array([f"{a}/{b}" for a, b in rows_sites(rows)])
+    mean = lambda mask: y[mask].mean()
+    prior, n = y.mean(), len(y)
+    hosts, paths = sorted(set(h)), sorted(set(path))
+    sw = sum(((y[path == q] - mean(path == q)) ** 2).sum() for q in paths)
+    within = sw / (n - len(paths))
+    of = {q: q.split("/")[0] for q in paths}
+    size = {q: (path == q).sum() for q in paths} | {a: (h == a).sum() for a in hosts}
+    sp = sum(size[q] * (mean(path == q) - mean(h == of[q])) ** 2 for q in paths)
+    sh = sum(size[a] * (mean(h == a) - prior) ** 2 for a in hosts)
+    inner = {a: sum(size[q] ** 2 for q in paths if of[q] == a) for a in hosts}
+    c1 = n - sum(inner[a] / size[a] for a in hosts)
+    s2p = max(0, (sp - (len(paths) - len(hosts)) * within) / c1)
+    c2 = sum(inner[a] / size[a] for a in hosts) - sum(size[q] ** 2 for q in paths) / n
+    s2h = max(0, (sh - (len(hosts) - 1) * within - s2p * c2) / (n - sum(size[a] ** 2 for a in hosts) / n))
+    out = []
+    for i in range(n):
+        a, q = h[i], path[i]
+        others = np.arange(n) != i
+        noise = within / max(1, size[a] - 1) + s2p * inner[a] / size[a] ** 2
+        w = s2h / (s2h + noise) if s2h else 0
+        host = prior + w * (mean((h == a) & others) - prior) if size[a] > 1 else prior
+        w = s2p / (s2p + within / max(1, size[q] - 1)) if s2p else 0
+        out.append((host, host + w * (mean((path == q) & others) - host) if size[q] > 1 else host))
+    return out
+
+
+def rows_sites(rows):
+    return [(r[0], r[1]) for r in rows]
+
+
+def test_quality_posteriors_match_brute_force(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for a in range(6):
+        for b in range(4):
+            centre = 0.5 + 0.3 * np.sin(a) + 0.1 * np.cos(3 * b + a)
+            rows += [(f"h{a}", f"p{b}", float(np.clip(centre + 0.1 * rng.standard_normal(), 0.01, 0.99))) for _ in range(1 + (a * 7 + b * 5) % 11)]
+    rows.append(("lone", "p0", 0.2))
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "k long, h string, p string, p_doc double")
+    got = {r.k: (r.host_posterior, r.path_posterior) for r in site_quality.site_posteriors(df).collect()}
+    for i, want in enumerate(nested_posteriors(rows)):
+        assert got[i] == pytest.approx(want, rel=1e-9)
+
+
+def test_forest_takes_ties_and_dimensions(spark):
+    rows = [(i, [1.0 if j == i % 4 else 0.0 for j in range(4)]) for i in range(400)] + [(1000 + i, [1.0, 0.0]) for i in range(0, 50)]
+    rows += [(2000 + i, [1.0, float(i), 0.0, 0.0]) for i in range(300)]  # all tie for a one-hot query
+    out = {}
+    for r in prefix_forest.nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 20 == 0, reach=16.0).orderBy("query_id", "rank").collect():
+        out.setdefault(r.query_id, []).append(r.vec_id)
+    by = dict(rows)
+    for q, got in out.items():
+        want = sorted((-sum(a * b for a, b in zip(by[q], v)), i) for i, v in rows if i != q and len(v) == len(by[q]))[:20]
+        assert got == [i for _, i in want]
+    assert len(out) == 20 + 3 + 15
+
+
 def test_warc_round_trip(spark, tmp_path):
     pages = [(1, "http://a", "<p>é😀</p>"), (2, "http://b\r\nX: y", "<p>é😀</p>"), (3, None, None), (9, "http://c", ""), (4, "http://d", "WARC/1.1\r\n\r\nfake\r\n\r\n"), (None, "http://e", "<p>é😀</p>"), (None, "u", "solo"), (2, "http://b", "<p>é😀</p>"), (8, "http://l", "z" * 3_000_000)]
     df = spark.createDataFrame([(*p, 0) for p in pages], "page_id long, url string, html string, offset int")
