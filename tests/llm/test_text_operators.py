@@ -217,7 +217,9 @@ def test_jump_hash_and_slots(spark):
     assert all(r.s == jump(r.id, 5000) for r in many)
 
 
-def test_leaks_match_brute_force(spark):
+@pytest.mark.parametrize("most", [16 << 20, 0])
+def test_leaks_match_brute_force(spark, monkeypatch, most):
+    monkeypatch.setattr(benchmark_leaks, "BLOCK_BYTES", most)  # by broadcast and by shuffle
     rng = random.Random(8)
     vocab = [f"w{i}" for i in range(60)]
     items = [(i, " ".join(rng.choices(vocab, k=rng.randint(1, 40)))) for i in range(60)] + [(60, None), (61, " "), (None, "lone item text here now"), (0, "w1 w2")]
