@@ -6,9 +6,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyseq.functions import formulas as fx
+from tallyseq.operators import conflict as cf
 from tallyseq.operators import fit
+from tallyseq.operators import intervals as iv
 from tallyseq.operators import score as sc
 from tallyseq.plans.base import query
+from tallyseq.plans.q_conflict import _PAIRS
+from tallyseq.session import materialize, scratch
 
 R6 = lambda df, keys, cols: df.select(*keys, *[F.round(c, 6).alias(c) for c in cols])
 _SIG = "CASE WHEN {s} * ({v} - {m}) >= 50 THEN 1.0 WHEN {s} * ({v} - {m}) <= -50 THEN 0.0 ELSE 1 / (1 + exp(-{s} * ({v} - {m}))) END"
@@ -240,3 +244,49 @@ WITH u AS (SELECT s_suppkey, s_nationkey, -ln((('0x' || substr(md5('7:' || s_sup
 SELECT s_suppkey, round(g / sum(g) OVER (PARTITION BY s_nationkey), 6) AS weight FROM u""")
 def synthetic_abundance(t):
     return fit.dirichlet(t.supplier, "s_suppkey", "s_nationkey", 7).select("s_suppkey", F.round("weight", 6).alias("weight"))
+
+
+_REPORT = f"""RECURSIVE {_PAIRS},
+e AS MATERIALIZED (SELECT ref1 AS u, ref2 AS v FROM j UNION SELECT ref2, ref1 FROM j), r AS (SELECT u AS node, u AS root FROM e UNION SELECT e.v, r.root FROM r JOIN e ON e.u = r.node),
+comp AS (SELECT node AS ref_id, min(root) AS grp FROM r GROUP BY node), c0 AS (SELECT ref_id, count(DISTINCT read_id) AS n FROM aln GROUP BY ref_id), m AS (SELECT grp, c0.ref_id, c0.n FROM c0 JOIN comp USING (ref_id)),
+x AS (SELECT *, min(n) OVER g AS lo, max(n) OVER g AS hi, row_number() OVER (PARTITION BY grp ORDER BY n DESC, ref_id) AS k, count(*) OVER g AS c FROM m WINDOW g AS (PARTITION BY grp)),
+y AS (SELECT *, max(CASE WHEN k = 2 THEN n END) OVER (PARTITION BY grp) AS nd FROM x), z AS (SELECT *, CASE WHEN k = 1 THEN lo * (1 - least(greatest((hi * 1.0 / nd - 1) / 2, 0), 1)) ELSE lo END AS base FROM y WHERE c > 1),
+bud AS (SELECT ref_id, least(n, floor(base + 1e-9) + floor((1 - n * 1.0 / hi) * greatest(0, n - base) + 1e-9))::BIGINT AS budget FROM z),
+q AS (SELECT DISTINCT ref_id, read_id FROM aln), o AS (SELECT q.ref_id, read_id, budget, row_number() OVER (PARTITION BY q.ref_id ORDER BY md5('1:' || q.ref_id || ':' || read_id), read_id) AS no FROM q JOIN bud USING (ref_id)),
+rm AS (SELECT ref_id, read_id FROM o WHERE no <= budget), kept AS (SELECT * FROM aln WHERE NOT EXISTS (SELECT 1 FROM rm WHERE rm.ref_id = aln.ref_id AND rm.read_id = aln.read_id)),
+v AS (SELECT 0 AS after, ref_id, s, e FROM aln UNION ALL SELECT 1, ref_id, s, e FROM kept),
+i1 AS (SELECT *, CASE WHEN s > max(e) OVER (PARTITION BY after, ref_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 THEN 1 ELSE 0 END AS f FROM v), i2 AS (SELECT *, sum(f) OVER (PARTITION BY after, ref_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS no FROM i1),
+i3 AS (SELECT after, ref_id, max(e) - min(s) AS bp FROM i2 GROUP BY after, ref_id, no), cov AS (SELECT ref_id, sum(CASE WHEN after = 0 THEN bp ELSE 0 END) AS bp0, sum(CASE WHEN after = 1 THEN bp ELSE 0 END) AS bp1 FROM i3 GROUP BY ref_id),
+c1 AS (SELECT ref_id, count(DISTINCT read_id) AS n1 FROM kept GROUP BY ref_id),
+one AS (SELECT rec.ref_id, rec.species, rec.genus, rec.length, rec.hmf, rec.gini, rec.disp, c0.n AS n0, coalesce(n1, 0) AS n1, bp0, bp1 FROM rec JOIN c0 USING (ref_id) JOIN cov USING (ref_id) LEFT JOIN c1 USING (ref_id)),
+lv AS (SELECT 'strain' AS level, ref_id::BIGINT AS grp, species::BIGINT AS parent, * FROM one UNION ALL SELECT 'species', species, genus, * FROM one UNION ALL SELECT 'genus', genus, -1, * FROM one),
+ag AS (SELECT level, grp, parent, sum(n0) AS n0, sum(n1) AS n1, sum(bp0) * 1.0 / sum(length) AS b0, sum(bp1) * 1.0 / sum(length) AS b1, sum(length) AS length, sum(hmf * n0) / sum(n0) AS hmf, sum(gini * n0) / sum(n0) AS gini, sum(disp * n0) / sum(n0) AS disp FROM lv GROUP BY level, grp, parent),
+sc AS (SELECT *, {_SIG.format(s='12000.0', v='b1', m='0.01')} * pow(hmf, 0.3) AS xb, least(1.0, 0.3 * least(1.0, b1 / b0) + 0.7 * n1 / n0) AS xm,
+ least(1.0, least(1.0, 1.8 * sqrt(1 - gini)) * (1 + 2 * log10(greatest(1.0, least(length, 1e9) / 5e5))) * (1 + 0.5 * disp)) * hmf AS xg, n0 * 1.0 / max(n0) OVER (PARTITION BY level, parent) AS dom FROM ag)
+SELECT level, grp, n0::BIGINT AS reads_before, n1::BIGINT AS reads_after, round(b0, 6) AS breadth_before, round(b1, 6) AS breadth_after, round(pow(least(1, 0.27 * xb + 0.31 * xm + 0.42 * xg), 1 - 0.3 * dom), 6) AS tass FROM sc"""
+
+
+@query("sample_report", "A4 A5 A7 A11 A12 K4 X1 X2 X7 X10", uses="aln rec", sql="WITH " + _REPORT)
+def sample_report(t):
+    """Alignments to scores: conflict groups, removal, coverage before and after, totals at three levels."""
+    with scratch(t.aln.sparkSession) as keep:
+        n = t.aln.groupBy("ref_id").agg(F.countDistinct("read_id").alias("n"))
+        groups = cf.read_clusters(t.aln).select(F.col("node").alias("ref_id"), F.col("component").alias("grp"))
+        budget = cf.removal_budget(n.join(groups, "ref_id"), "grp", "ref_id", "n")
+        kept = keep(materialize(cf.drop_removed(t.aln, cf.removed_reads(t.aln, budget, "read_id", "ref_id"), "read_id", "ref_id").select("ref_id", "read_id", "s", "e"), "report-kept"))
+    both = t.aln.select(F.lit("before").alias("variant"), "ref_id", "s", "e").unionByName(kept.select(F.lit("after").alias("variant"), "ref_id", "s", "e"))
+    cov = iv.covered_length(both, ["variant", "ref_id"]).groupBy("ref_id").pivot("variant", ["before", "after"]).agg(F.sum("covered"))
+    one = t.rec.join(n, "ref_id").join(cov, "ref_id").join(kept.groupBy("ref_id").agg(F.countDistinct("read_id").alias("n1")), "ref_id", "left")
+    lev = lambda name, c, up: F.struct(F.lit(name).alias("level"), F.col(c).cast("bigint").alias("grp"), up.cast("bigint").alias("parent"))
+    levels = F.inline(F.array(lev("strain", "ref_id", F.col("species")), lev("species", "species", F.col("genus")), lev("genus", "genus", F.lit(-1))))
+    mean = lambda c: (F.sum(F.col(c) * F.col("n")) / F.sum("n")).alias(c)
+    total = lambda c: F.sum(F.coalesce(c, F.lit(0)))
+    a = one.select("*", levels).groupBy("level", "grp", "parent").agg(
+        F.sum("n").alias("reads_before"), total("n1").alias("reads_after"), (F.sum("before") / F.sum("length")).alias("b0"), (total("after") / F.sum("length")).alias("b1"), F.sum("length").alias("length"), mean("hmf"), mean("gini"), mean("disp"))
+    kept_share = F.least(F.lit(1.0), 0.3 * F.least(F.lit(1.0), F.col("b1") / F.col("b0")) + 0.7 * F.col("reads_after") / F.col("reads_before"))
+    even = sc.gini_component(sc.gini_score(F.col("gini"), F.col("length"), F.col("disp")), F.lit(1.0), F.col("hmf"), F.lit(1.0))
+    parts = {"breadth": sc.breadth_score(F.col("b1"), F.col("hmf")), "minhash": kept_share, "gini": even}
+    top = F.col("reads_before") / F.max("reads_before").over(Window.partitionBy("level", "parent"))
+    a = a.withColumn("top", top)
+    tass = sc.additive_score(parts, {"breadth": 0.27, "minhash": 0.31, "gini": 0.42}, F.lit(0.0), scale=F.col("top"))
+    return a.select("level", "grp", "reads_before", "reads_after", F.round("b0", 6).alias("breadth_before"), F.round("b1", 6).alias("breadth_after"), F.round(tass, 6).alias("tass"))
