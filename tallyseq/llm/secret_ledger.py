@@ -24,6 +24,8 @@ RULES = (
 #: Without one of these a text has no span; it spares most texts the exact search.
 MARKER = r"AKIA[A-Z0-9]{14}|[0-9a-f]{16}|(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]"
 RULE_VERSION = "base-1"
+#: A blob that more than this share of all paths held is hot: 1 / HOT_SHARE rows of findings at most.
+HOT_SHARE, HOT_LEAST = 1 / 2_000, 100
 
 
 def _spans(text: Column, no: int, kind: str, pattern: str, group: int, least: int) -> Column:
@@ -73,10 +75,16 @@ def findings(spark: SparkSession, ledger: str, rule_version: str = RULE_VERSION)
     the largest count of any run holds, so rows repeated within a run stay and repeated runs add none.
     """
     rows = spark.read.parquet(f"{ledger}/versions").groupBy("path", "version", "blob_id").agg(F.max("n").alias("n"))
-    rows = rows.select("path", "version", "blob_id", F.explode(F.array_repeat(F.lit(0), F.col("n").cast("int")))).drop("col")
     known = spark.read.parquet(f"{ledger}/findings").where(F.col("rule_version") == rule_version)
     known = known.groupBy("blob_id").agg(F.max("spans").alias("spans"))
-    return rows.join(known, "blob_id", "left").select("path", "version", "blob_id", "spans")
+    # a blob that very many paths held joins by broadcast, so its paths needn't meet in one task
+    held = rows.groupBy("blob_id").agg(F.count("*").alias("held"))
+    least = max(HOT_LEAST, int((held.agg(F.sum("held")).first()[0] or 0) * HOT_SHARE))
+    hot = F.broadcast(held.where(F.col("held") > least).join(known, "blob_id").select("blob_id", F.struct("spans").alias("hot")))
+    tagged = rows.join(hot, "blob_id", "left")
+    rest = tagged.where("hot is null").drop("hot").join(known, "blob_id", "left")
+    out = rest.unionByName(tagged.where("hot is not null").select("path", "version", "blob_id", "n", "hot.spans"))
+    return out.select("path", "version", "blob_id", "spans", F.explode(F.array_repeat(F.lit(0), F.col("n").cast("int")))).drop("col")
 
 
 def scan_versions(
