@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tallyseq.session import delete, materialize
 
-
 #: A node with more edges than this share of all is a hub; its edges stay where they are.
 HUB_SHARE, HUB_LEAST = 1 / 2_000, 500
 
@@ -46,8 +45,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
 
     Works on any orderable node type. Self loops give a component of one node; rows with a null end are
     dropped, repeated edges count once, an empty input gives an empty result. Every round writes its
-    edges to the shared folder and deletes the round before; rounds grow with the logarithm of the graph's size. Only a count and a
-    checksum reach the driver.
+    edges to the shared folder and deletes the round before; rounds grow with the logarithm of the graph's
+    size. Only a count and a checksum reach the driver.
     """
     raw = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a is not null and b is not null")
     loops = raw.where("a = b").select(F.col("a").alias("node"), F.col("a").alias("component"))

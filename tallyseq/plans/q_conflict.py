@@ -166,7 +166,7 @@ def read_scores(t):
     return cf.read_scores(k, "read_id", "ref_id", "mapq", "score", both).withColumn("read_score", F.round("read_score", 6))
 
 
-@query("filtered_alignments", "K4 F2 F3 F17 S1", uses="aln refs", sql="""
+@query("filtered_alignments", "F2 F3 F17 S1", uses="aln refs", sql="""
 SELECT ref_id, count(*) AS n, sum(e - s)::BIGINT AS bp FROM aln JOIN refs USING (ref_id) WHERE NOT is_secondary AND NOT is_plasmid AND (e - s) * 1.0 / 150 >= 0.2 AND NOT regexp_matches(CAST(ref_id AS VARCHAR), '9$|^1.$') GROUP BY ref_id""")
 def filtered_alignments(t):
     drop = "|".join(f"(?:{p})" for p in ("9$", "^1.$"))
@@ -261,7 +261,7 @@ def ancestor_at_rank(t):
     return strict.join(loose, "node").join(near, "node", "left")
 
 
-@query("siblings", "J13 A34", uses="nodes", sql="""
+@query("siblings", "J13", uses="nodes", sql="""
 SELECT a.taxid, count(b.taxid) AS n_siblings, min(b.taxid) AS first_sibling FROM nodes a LEFT JOIN nodes b ON a.parent = b.parent AND a.rank = b.rank AND a.taxid <> b.taxid GROUP BY a.taxid""")
 def siblings(t):
     w = Window.partitionBy("parent", "rank")
