@@ -64,6 +64,12 @@ SELECT f.ref_id, species, genus, length, is_plasmid, reads, CAST(reads AS DOUBLE
  gini, sqrt(spread / (CAST(length AS DOUBLE) * length / 12)) AS disp, hmf, CAST(reads_kept AS DOUBLE) / reads AS retention, 1 - CAST(reads_kept AS DOUBLE) / reads AS removal,
  CAST(least(1, CAST(3 AS DOUBLE) / 10 * (bp_new / bp) + CAST(7 AS DOUBLE) / 10 * (CAST(reads_kept AS DOUBLE) / reads)) AS DOUBLE) AS minhash, read_length, contigs_covered, 25 AS contigs
 FROM f JOIN n ON n.ref_id = f.ref_id JOIN b ON b.ref_id = f.ref_id JOIN ds ON ds.ref_id = f.ref_id JOIN gi ON gi.ref_id = f.ref_id"""
+# detections with what a view filters by
+STAND_INS["view"] = f"""SELECT sample, segment, site, organism, genus, reads, tass, coverage, high_consequence,
+ CASE site % 5 WHEN 0 THEN 'Primary' WHEN 1 THEN 'Opportunistic' WHEN 2 THEN 'Potential' WHEN 3 THEN 'Commensal' END AS category,
+ CASE site % 4 WHEN 0 THEN 'Bacteria' WHEN 1 THEN 'Virus' WHEN 2 THEN 'Eukaryota' ELSE '' END AS domain,
+ CASE site % 5 WHEN 0 THEN 'Fungi' WHEN 1 THEN 'Viridiplantae' WHEN 2 THEN 'Bacteriati' WHEN 3 THEN 'Metazoa' ELSE 'Unnamed' END AS kingdom,
+ CASE site % 3 WHEN 0 THEN 'DNA' WHEN 1 THEN 'rna' END AS mol_type FROM ({STAND_INS['det']}) d"""
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
 COVERS: dict[str, str] = {}

@@ -26,6 +26,7 @@ def test_runs_without_twin(spark, name):
 
 BRANCHES = {
     "control_comparison": ("neg_flag", 2), "priority_assembly": ("priority", 3), "annotation_levels": ("route", 2), "pathogen_match": ("matched_by", 4), "least_scores": ("origin", 4), "annotation_backfill": ("origin", 1), "platforms": ("platform", 3),
+    "rescued_rows": ("tag", 3), "capability_notices": ("lacks", 2), "specimen_names": ("origin", 3), "view_rows": ("bucket", 3), "watched_rows": ("bucket", 6), "groupable_columns": ("preferred", 2),
 }
 
 
