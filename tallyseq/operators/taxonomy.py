@@ -52,13 +52,15 @@ def remove_subtrees(nodes: DataFrame, paths: DataFrame, removed: DataFrame, key:
     return kept.withColumn(clade, F.col(clade) - F.coalesce("_lost", F.lit(0))).drop("_lost")
 
 
-def parents_by_indent(rows: DataFrame, line: str, order: str, name: str, report: str | None = None, levels: int = 40) -> DataFrame:
+def parents_by_indent(rows: DataFrame, line: str, order: str, name: str, report: str | None = None) -> DataFrame:
     """Adds depth and parent: the line of the nearest earlier row one level up, from two-space indents.
 
-    One sorted pass per report: the last line of every depth so far, then the one above the row's own.
-    Rows deeper than `levels` have a null parent.
+    A row stands once as a child of its depth and once as a parent for the next, so a sorted pass is one per
+    report and depth, and any depth does. A row without an earlier one a level up has a null parent.
     """
     rows = rows.withColumn("depth", (F.length(F.regexp_extract(F.col(name), "^( *)", 1)) / 2).cast("int"))
-    so_far = (Window.partitionBy(report) if report else Window.partitionBy()).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    last = [F.last(F.when(F.col("depth") == d, F.col(line)), ignorenulls=True).over(so_far) for d in range(levels)]
-    return rows.withColumn("parent", F.get(F.array(*last), F.col("depth") - 1))
+    roles = F.array(F.struct(F.col("depth").alias("at"), F.lit(False).alias("above")), F.struct((F.col("depth") + 1).alias("at"), F.lit(True).alias("above")))
+    both = rows.withColumn("_role", F.explode(roles))
+    so_far = Window.partitionBy(*([report] if report else []), "_role.at").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    parent = F.last(F.when(F.col("_role.above"), F.col(line)), ignorenulls=True).over(so_far)
+    return both.withColumn("parent", parent).where("not _role.above").drop("_role")

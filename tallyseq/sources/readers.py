@@ -39,28 +39,59 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
         F.regexp_replace(F.regexp_replace("v", r"^[^\r\n]*", ""), r"\s+", "").alias("sequence"))
 
 
-def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """(name, sequence, quality, mean_quality). Records are four lines and can't be told apart from the
-    middle of a file, so lines are numbered first: each split's line count gives the next one's start.
-    Gzip is read as it is, by one task a file."""
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, no, v): lines with their number in the file, from 0. A line in the middle of a file doesn't know
+    its number, so each split's line count gives the next one's start. Gzip is read by one task a file."""
     lines = spark.read.text(path).select(
         F.input_file_name().alias("file"), F.input_file_block_start().alias("block"), F.monotonically_increasing_id().alias("id"), F.regexp_replace("value", "\r$", "").alias("v"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = lines.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("id").alias("low")).select("file", "block", "low", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    no = F.col("start") + F.col("id") - F.col("low")
-    rows = lines.join(starts, ["file", "block"]).select("file", F.floor(no / 4).alias("record"), (no % 4).alias("at"), "v")
+    return lines.join(starts, ["file", "block"]).select("file", (F.col("start") + F.col("id") - F.col("low")).alias("no"), "v")
+
+
+def read_fastq(spark: SparkSession, path: str) -> DataFrame:
+    """(name, sequence, quality, mean_quality). Records are four lines and can't be told apart from the
+    middle of a file, so lines are numbered first."""
+    rows = numbered_lines(spark, path).select("file", F.floor(F.col("no") / 4).alias("record"), (F.col("no") % 4).alias("at"), "v")
     line = lambda i: F.max(F.when(F.col("at") == i, F.col("v")))
     out = rows.groupBy("file", "record").agg(F.regexp_replace(F.split(line(0), " ")[0], "^@", "").alias("name"), line(1).alias("sequence"), line(3).alias("quality"))
     q = F.aggregate(F.split("quality", ""), F.lit(0), lambda a, c: a + F.when(c != "", F.ascii(c) - 33).otherwise(0))
     return out.where(F.col("quality").isNotNull()).select("name", "sequence", "quality", (q / F.length("quality")).alias("mean_quality"))
 
 
-def read_classifier_report(spark: SparkSession, path: str) -> DataFrame:
-    """Indented classifier report with row numbers, depth and the parent's taxid, per file."""
-    rows = spark.read.text(path).select(F.input_file_name().alias("file"), "value")
-    rows = rows.withColumn("row_id", F.monotonically_increasing_id())  # files are smaller than a split; order is by position
+def read_alignments(spark: SparkSession, path: str, secondary: bool = True, supplementary: bool = True) -> DataFrame:
+    """Alignment text (SAM lines) as half-open intervals; header lines and unmapped reads go, secondary and
+    supplementary ones on request.
+
+    The reference length is the sum of the CIGAR's M, D, N, = and X; NM is the tag of that name, or null.
+    """
     p = F.split("value", "\t")
-    rows = rows.select("file", "row_id", F.trim(p[0]).cast("double").alias("abundance"), p[1].cast("long").alias("clade"), p[2].cast("long").alias("own"), F.trim(p[3]).alias("rank"), F.trim(p[4]).cast("long").alias("taxid"), p[5].alias("indented"))
+    rows = spark.read.text(path).where(~F.startswith("value", F.lit("@")) & (F.size(p) >= 11))
+    flag = p[1].cast("int")
+    spans = F.regexp_extract_all(p[5], F.lit(r"(\d+)[MDN=X]"), F.lit(1))
+    length = F.aggregate(spans, F.lit(0).cast("long"), lambda a, n: a + n.cast("long"))
+    has = lambda bit: flag.bitwiseAND(bit) != 0
+    out = rows.select(
+        p[0].alias("read_id"), p[2].alias("ref_id"), (p[3].cast("long") - 1).alias("s"), (p[3].cast("long") - 1 + length).alias("e"), p[4].cast("int").alias("mapq"),
+        has(0x4).alias("_unmapped"), has(0x10).alias("is_reverse"), has(0x100).alias("is_secondary"), has(0x800).alias("is_supplementary"),
+        F.nullif(F.regexp_extract("value", r"\tNM:i:(\d+)", 1), F.lit("")).cast("int").alias("mismatches"))
+    keep = ~F.col("_unmapped") & (F.col("ref_id") != "*")
+    keep = keep if secondary else keep & ~F.col("is_secondary")
+    return out.where(keep if supplementary else keep & ~F.col("is_supplementary")).drop("_unmapped")
+
+
+def fetch(alignments: DataFrame, ref: str, start: int, end: int, longest: int | None = None) -> DataFrame:
+    """Alignments that overlap [start, end) of a reference. On a table that `write_sorted` made, row groups of
+    other ranges are skipped; with the longest alignment given, the start is bounded from below as well."""
+    hit = (F.col("ref_id") == ref) & (F.col("s") < end) & (F.col("e") > start)
+    return alignments.where(hit if longest is None else hit & (F.col("s") > start - longest))
+
+
+def read_classifier_report(spark: SparkSession, path: str) -> DataFrame:
+    """Indented classifier report with row numbers, depth and the parent's taxid, per file of any size."""
+    p = F.split("v", "\t")
+    rows = numbered_lines(spark, path).where(F.size(p) >= 6).select(
+        "file", F.col("no").alias("row_id"), F.trim(p[0]).cast("double").alias("abundance"), p[1].cast("long").alias("clade"), p[2].cast("long").alias("own"), F.trim(p[3]).alias("rank"), F.trim(p[4]).cast("long").alias("taxid"), p[5].alias("indented"))
     return parents_by_indent(rows, "taxid", "row_id", "indented", "file").withColumn("name", F.trim("indented")).drop("indented")
 
 
@@ -150,6 +181,13 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("seqid", (F.col("start") - 1).alias("start"), "end", "type", "strand", F.regexp_extract("attributes", r"(?:^|;)(?:ID|Name)=([^;]+)", 1).alias("name"))
 
 
+def read_feature_table(spark: SparkSession, path: str) -> DataFrame:
+    """Feature table with a `# feature` column as (accession, start, end, name) of its coding sequences; its
+    positions stay as they are."""
+    rows = spark.read.csv(path, sep="\t", header=True).where(F.col("`# feature`") == "CDS")
+    return rows.select(F.col("genomic_accession").alias("accession"), F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "name")
+
+
 def validate_samplesheet(rows: DataFrame) -> DataFrame:
     """Adds problem (null if a row is fine), single_end and a suffix for samples with several rows."""
     f1, f2 = F.trim(F.coalesce("fastq_1", F.lit(""))), F.trim(F.coalesce("fastq_2", F.lit("")))

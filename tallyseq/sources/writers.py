@@ -39,3 +39,9 @@ def write_fasta(df: DataFrame, path: str, name: str, sequence: str, width: int =
 def write_by_key(df: DataFrame, path: str, key: str, kind: str = "parquet") -> None:
     """A folder of files per key; rows of a key are gathered first, so no task writes to every folder."""
     df.repartition(key).write.partitionBy(key).format(kind).save(path)
+
+
+def write_sorted(df: DataFrame, path: str, ref: str = "ref_id", start: str = "s") -> None:
+    """Parquet in ranges of (reference, start), sorted inside, so that a region's row groups are few. A long
+    reference takes as many ranges as it needs."""
+    df.repartitionByRange(ref, start).sortWithinPartitions(ref, start).write.parquet(path)
