@@ -219,14 +219,21 @@ b AS (SELECT DISTINCT item_id, ('0x' || substr(md5(array_to_string(w[i:i+4], ' '
 p AS (SELECT item_id, seq_id, count(*) AS shared FROM b JOIN s USING (hash) GROUP BY item_id, seq_id), r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY shared * 1.0 / n DESC, seq_id) AS no FROM p JOIN n USING (item_id))
 SELECT item_id, seq_id, shared, round(shared * 1.0 / n, 6) AS containment FROM r WHERE no <= 10 AND shared * 1.0 / n >= 0.01""")
 def containment_topk(t):
-    items = sk.shingle_hashes(t.benchmark, ["item_id"], "text", 5)
-    docs = sk.shingle_hashes(t.seqs, ["seq_id"], "text", 5)
-    n = items.groupBy("item_id").agg(F.count("*").alias("n"))
-    p = sk.common_hashes(items, docs, "item_id", "seq_id").join(n, "item_id").withColumn("c", F.col("shared") / F.col("n")).where("c >= 0.01")
+    p = sk.contained_items(t.benchmark, t.seqs, "item_id", "seq_id", "text", 5, 0.01)
     w = Window.partitionBy("item_id").orderBy(F.desc("c"), "seq_id")
     return p.withColumn("no", F.row_number().over(w)).where("no <= 10").select("item_id", "seq_id", "shared", F.round("c", 6).alias("containment"))
 
 
+@query("canonical_kmers", "E19", sql="""
+WITH p AS (SELECT p_size AS grp, translate(md5(p_name), '0123456789abcdef', 'ACGTACGTACGTACGN') AS q FROM part), k AS (SELECT grp, unnest([q[i:i+6] for i in range(1, 27)]) AS x FROM p),
+c AS (SELECT DISTINCT grp, least(x, reverse(translate(x, 'ACGT', 'TGCA'))) AS x FROM k WHERE NOT regexp_matches(x, '[^ACGT]')), h AS (SELECT grp, ('0x' || substr(md5(x), 1, 15))::BIGINT AS hash FROM c)
+SELECT grp, count(*) AS n, min(hash) AS least_hash, count(*) FILTER (WHERE hash < 1152921504606846976 // 4) AS sampled FROM h GROUP BY grp""")
+def canonical_kmers(t):
+    bases = F.lower(F.translate(F.md5("p_name"), "0123456789abcdef", "ACGTACGTACGTACGN"))
+    h = sk.hashed(t.part.select(F.col("p_size").alias("grp"), bases.alias("q")), ["grp"], sk.canonical_kmers(F.col("q"), 7))
+    return h.groupBy("grp").agg(F.count("*").alias("n"), F.min("hash").alias("least_hash"), F.count_if(F.col("hash") < (1 << 60) // 4).alias("sampled"))
+
+
 @query("group_pairs", "J9", uses="seqs", sql=f"""WITH {_HASHES.format(scaled=256)}, o AS (SELECT DISTINCT grp, hash FROM s), g AS (SELECT DISTINCT grp FROM seqs), n AS (SELECT grp, count(*) AS n FROM o GROUP BY grp),
 p AS (SELECT a.grp AS g1, b.grp AS g2, count(*) AS shared FROM o a JOIN o b ON a.hash = b.hash AND a.grp < b.grp GROUP BY 1, 2)
 SELECT a.grp AS g1, b.grp AS g2, coalesce(round(shared * 1.0 / (x.n + y.n - shared), 6), 0.0) AS jaccard FROM g a JOIN g b ON a.grp < b.grp LEFT JOIN p ON g1 = a.grp AND g2 = b.grp LEFT JOIN n x ON x.grp = a.grp LEFT JOIN n y ON y.grp = b.grp""")

@@ -152,10 +152,10 @@ def interval_overlap(t):
 
 
 @query("region_assignment", "J5 S2", uses="aln refs", sql=f"""WITH {_ISLANDS},
-reg AS (SELECT ref_id, s AS r_start, e AS r_end FROM isl WHERE s < 50000), k AS (SELECT *, row_number() OVER () AS no FROM aln)
+reg AS (SELECT ref_id, s AS r_start, e AS r_end FROM isl), k AS (SELECT *, row_number() OVER () AS no FROM aln)
 SELECT ref_id, r_start, count(*) AS n_reads FROM (SELECT k.ref_id, no, min(r_start) AS r_start FROM k JOIN reg ON k.ref_id = reg.ref_id AND r_start < k.e AND r_end > k.s GROUP BY k.ref_id, no) GROUP BY ref_id, r_start""")
 def region_assignment(t):
-    regions = iv.merge_intervals(t.aln, ["ref_id"]).where("s < 50000").select("ref_id", F.col("s").alias("r_start"), F.col("e").alias("r_end"))
+    regions = iv.merge_intervals(t.aln, ["ref_id"]).select("ref_id", F.col("s").alias("r_start"), F.col("e").alias("r_end"))
     reads = t.aln.select("ref_id", "read_id", "part_id", "s", "e")
     return iv.assign_region(reads, regions, "ref_id").groupBy("ref_id", "r_start").agg(F.count("*").alias("n_reads"))
 
