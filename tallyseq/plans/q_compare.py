@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyseq.operators import compare as cm
+from tallyseq.operators import intervals as iv
+from tallyseq.operators import segment as sg
 from tallyseq.plans.base import query
 
 R = lambda c, n=6: F.round(c, n).alias(c)
@@ -177,3 +179,11 @@ SELECT domain, phylum, class, genus, organism, (5 - grouping(domain) - grouping(
 def hierarchy_sums(t):
     v = t.view.withColumns({"phylum": F.col("kingdom"), "class": F.col("category"), "v": F.col("reads") - 20})
     return cm.hierarchy_sums(v, ["domain", "phylum", "class", "genus"], "organism", "v")
+
+
+@query("spread_segments", "W9", uses="aln", sql=None)
+def spread_segments(t):
+    """Segments of a reference's depth by the three rules; each depends on all before it, so no SQL."""
+    runs = iv.depth_runs(t.aln, "ref_id")
+    out = [sg.merged_runs(runs, "ref_id", m, limit, gap=1000).withColumn("method", F.lit(m)) for m, limit in (("jump", sg.default_jump(runs, "ref_id", "depth")), ("variance", 2.0), ("gini", 0.2))]
+    return out[0].unionByName(out[1]).unionByName(out[2])
