@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyseq.llm import (
-    benchmark_leaks, chat_format, jump_sharding, katz_model, mixing, prefix_forest, secret_ledger, simhash_vptree, site_quality, warc_index,
+    benchmark_leaks, block_search, chat_format, jump_sharding, katz_model, mixing, prefix_forest, radix_negatives, secret_ledger, simhash_vptree,
+    site_quality, token_counts, warc_index,
 )
 
 
@@ -159,6 +160,52 @@ def op10_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_quality.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_search.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+OP11_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS no, doc_id, coalesce({_TERMS}, []) AS w FROM documents),
+b AS (SELECT row_number() OVER () AS item_no, item_id, coalesce({_TERMS}, []) AS w FROM benchmark),
+bt AS (SELECT DISTINCT item_no, item_id, t FROM (SELECT item_no, item_id, unnest(w) AS t FROM b)),
+g AS (SELECT count(*)::BIGINT AS big_n, sum(len(w))::BIGINT AS big_l FROM d WHERE len(w) > 0),
+tf AS (SELECT no, doc_id, n, t, count(*)::BIGINT AS tf FROM (SELECT no, doc_id, len(w)::BIGINT AS n, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM bt) GROUP BY ALL),
+df AS (SELECT t, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight FROM tf, g GROUP BY t, big_n),
+p AS (SELECT no, doc_id, t, weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * big_n) // big_l))) AS part FROM tf JOIN df USING (t), g),
+s AS (SELECT item_no, item_id, no, doc_id, sum(part)::BIGINT AS score FROM bt JOIN p USING (t) GROUP BY ALL HAVING sum(part) > 0)
+SELECT item_id, (row_number() OVER (PARTITION BY item_no ORDER BY score DESC, doc_id NULLS LAST))::INT AS rank, doc_id, score FROM s
+QUALIFY row_number() OVER (PARTITION BY item_no ORDER BY score DESC, doc_id NULLS LAST) <= 50"""
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return radix_negatives.mine_negatives(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+OP12_SQL = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same, coalesce(list_sum(list_transform(list_zip(a.q, r.q), lambda z: z[1] * z[2])), 0)::BIGINT AS score
+  FROM r AS a JOIN r ON a.vec_id <> r.vec_id AND len(a.q) = len(r.q) WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+), n AS (
+  SELECT p.anchor_id, p.id AS positive_id, row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS rank, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score
+)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5"""
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_benchmark_leaks": op2_benchmark_leaks,
@@ -170,5 +217,11 @@ QUERIES = {
     "op8_jump_sharding": op8_jump_sharding,
     "op9_warc": op9_warc,
     "op10_site_quality": op10_site_quality,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_token_counts": op13_token_counts,
+}
+ORACLES = {
+    "op1_chat_formatting": OP1_SQL, "op2_benchmark_leaks": OP2_SQL, "op4_mixing": OP4_SQL, "op5_secret_scan": OP5_SQL, "op9_warc": OP9_SQL,
+    "op11_ranked_search": OP11_SQL, "op12_hard_negatives": OP12_SQL,
 }
-ORACLES = {"op1_chat_formatting": OP1_SQL, "op2_benchmark_leaks": OP2_SQL, "op4_mixing": OP4_SQL, "op5_secret_scan": OP5_SQL, "op9_warc": OP9_SQL}
