@@ -122,12 +122,17 @@ def priority(category: Column) -> Column:
 
 
 def class_for_site(callclass: Column, pathogenic: Column, commensal: Column, site: Column, sterile: Column) -> Column:
-    """struct(category, direct): what an annotation says at a site."""
-    same = lambda sites: F.array_contains(sites, site) | ((site == "stool") & F.array_contains(sites, "gut"))
+    """struct(category, direct): what an annotation with free-text lists of sites says at a canonical site.
+
+    A sterile site makes the annotation's own class direct, Primary without one. Gut and stool stand for each
+    other among commensal sites alone. A class that no list confirms is indirect; missing lists hold nothing.
+    """
+    listed = lambda sites, s: F.coalesce(F.exists(sites, lambda x: (F.trim(x) != "") & (body_site(x) == s)), F.lit(False))
+    twin = F.when(site == "stool", "gut").when(site == "gut", "stool")
     return (
         F.when(sterile, F.struct(F.coalesce(callclass, F.lit("Primary")).alias("category"), F.lit(True).alias("direct")))
-        .when(same(pathogenic), F.struct(F.lit("Primary").alias("category"), F.lit(True).alias("direct")))
-        .when(same(commensal), F.struct(F.lit("Commensal").alias("category"), F.lit(True).alias("direct")))
+        .when(listed(pathogenic, site), F.struct(F.lit("Primary").alias("category"), F.lit(True).alias("direct")))
+        .when(listed(commensal, site) | listed(commensal, twin), F.struct(F.lit("Commensal").alias("category"), F.lit(True).alias("direct")))
         .otherwise(F.struct(F.coalesce(callclass, F.lit("Unknown")).alias("category"), F.lit(False).alias("direct"))))
 
 

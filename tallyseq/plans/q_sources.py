@@ -133,14 +133,21 @@ def class_resolution(t):
 
 
 @query("site_classes", "E5 E6", sql="""
-WITH s AS (SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'Whole BLOOD' WHEN 1 THEN 'gut swab' WHEN 2 THEN 'Nasopharynx' WHEN 3 THEN 'wound' ELSE NULL END AS place FROM customer),
-b AS (SELECT c_custkey, CASE WHEN place LIKE '%BLOOD%' THEN 'blood' WHEN place LIKE 'gut%' THEN 'stool' WHEN place LIKE 'Naso%' THEN 'nasal' WHEN place = 'wound' THEN 'skin' ELSE 'unknown' END AS site FROM s)
-SELECT site, CASE WHEN site = 'blood' THEN 'Opportunistic' WHEN site = 'stool' THEN 'Primary' WHEN site = 'skin' THEN 'Commensal' ELSE 'Opportunistic' END AS category, site IN ('blood', 'stool', 'skin') AS direct, count(*) AS n FROM b GROUP BY site""")
+WITH s AS (SELECT c_custkey % 8 AS k, c_nationkey % 4 AS j FROM customer),
+b AS (SELECT j, CASE k WHEN 0 THEN 'blood' WHEN 1 THEN 'gut swab' WHEN 2 THEN 'nasal' WHEN 3 THEN 'skin' WHEN 4 THEN 'stool' WHEN 5 THEN 'gut' WHEN 6 THEN 'sterile' ELSE 'unknown' END AS site FROM s),
+a AS (SELECT site, CASE j WHEN 0 THEN 'Opportunistic' WHEN 1 THEN 'Potential' END AS callclass, CASE j WHEN 0 THEN ['gut'] WHEN 1 THEN ['nasal', 'blood'] WHEN 2 THEN [] END AS pathogenic,
+ CASE j WHEN 0 THEN ['skin'] WHEN 1 THEN ['stool'] WHEN 2 THEN ['gut', 'skin'] END AS commensal FROM b),
+r AS (SELECT *, coalesce(list_contains(pathogenic, site), false) AS p, coalesce(list_contains(commensal, site) OR site = 'stool' AND list_contains(commensal, 'gut') OR site = 'gut' AND list_contains(commensal, 'stool'), false) AS c FROM a)
+SELECT site, CASE WHEN site = 'sterile' THEN coalesce(callclass, 'Primary') WHEN p THEN 'Primary' WHEN c THEN 'Commensal' ELSE coalesce(callclass, 'Unknown') END AS category,
+ site = 'sterile' OR p OR c AS direct, count(*) AS n FROM r GROUP BY ALL""")
 def site_classes(t):
-    k = F.col("c_custkey") % 5
-    place = F.when(k == 0, "Whole BLOOD").when(k == 1, "gut swab").when(k == 2, "Nasopharynx").when(k == 3, "wound")
-    s = t.customer.select(cl.body_site(place).alias("site"))
-    c = cl.class_for_site(F.lit("Opportunistic"), F.array(F.lit("gut")), F.array(F.lit("skin")), F.col("site"), F.col("site") == "blood")
+    k, j = F.col("c_custkey") % 8, F.col("c_nationkey") % 4
+    place = F.when(k == 0, "Whole BLOOD").when(k == 1, "gut swab").when(k == 2, "Nasopharynx").when(k == 3, "wound").when(k == 4, "Faeces").when(k == 5, "GI").when(k == 6, "ascites ")
+    sites = lambda *names: F.array(*[F.lit(x) for x in names])
+    s = t.customer.select(cl.body_site(place).alias("site"), F.when(j == 0, "Opportunistic").when(j == 1, "Potential").alias("callclass"),
+        F.when(j == 0, sites("intestine")).when(j == 1, sites("nostril", "serum", "")).when(j == 2, sites()).alias("pathogenic"),
+        F.when(j == 0, sites("epidermis")).when(j == 1, sites("feces")).when(j == 2, sites("bowel", "Skin")).alias("commensal"))
+    c = cl.class_for_site(F.col("callclass"), F.col("pathogenic"), F.col("commensal"), F.col("site"), F.col("site") == "sterile")
     return s.withColumn("c", c).groupBy("site", "c.category", "c.direct").agg(F.count("*").alias("n"))
 
 
