@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tallyseq.operators import setjoin as sj
 from tallyseq.operators import sketch as sk
 
 
@@ -69,7 +70,7 @@ def sketch_sweep(df: DataFrame, key: str, group: str, text: str, sizes: tuple[in
     out = None
     for size in sizes:
         for s in scaled:
-            pairs = sk.similar_pairs(sk.shingle_hashes(df, [key, group], text, size, s), key, group, threshold)
+            pairs = sj.similar_pairs(sk.shingle_hashes(df, [key, group], text, size, s), key, group, threshold)
             row = pairs.agg(F.count("*").alias("n_pairs"), F.countDistinct("q").alias("n_rows")).select(F.lit(size).alias("size"), F.lit(s).alias("scaled"), "n_pairs", "n_rows")
             out = row if out is None else out.unionByName(row)
     return out

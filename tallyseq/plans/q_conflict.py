@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 from tallyseq.functions import formulas as fx
 from tallyseq.operators import conflict as cf
 from tallyseq.operators import intervals as iv
+from tallyseq.operators import setjoin as sj
 from tallyseq.operators import sketch as sk
 from tallyseq.operators import taxonomy as tx
 from tallyseq.operators.graph import connected_components
@@ -187,7 +188,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY jaccard DESC, m) AS n
 SELECT q, m, shared, round(jaccard, 6) AS jaccard, round(c12, 6) AS containment_1_in_2, round(c21, 6) AS containment_2_in_1 FROM r WHERE no <= 10""")
 def shingle_jaccard(t):
     sets = sk.shingle_hashes(t.seqs, ["seq_id", "grp"], "text", 5, scaled=8)
-    return sk.similar_pairs(sets, "seq_id", "grp", 0.1, top=10).select("q", "m", "shared", *[F.round(c, 6).alias(c) for c in ("jaccard", "containment_1_in_2", "containment_2_in_1")])
+    return sj.similar_pairs(sets, "seq_id", "grp", 0.1, top=10).select("q", "m", "shared", *[F.round(c, 6).alias(c) for c in ("jaccard", "containment_1_in_2", "containment_2_in_1")])
 
 
 @query("shingle_topk", "T2", uses="seqs", sql=f"""WITH {_HASHES.format(scaled=8)},
@@ -197,7 +198,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY jaccard DESC, m) AS n
 SELECT q, m, shared, round(jaccard, 6) AS jaccard FROM r WHERE no <= greatest(10, ceil(0.1::DOUBLE * (SELECT count(*) FROM n)))""")
 def shingle_topk(t):
     sets = sk.shingle_hashes(t.seqs, ["seq_id", "grp"], "text", 5, scaled=8)
-    return sk.similar_pairs(sets, "seq_id", "grp", 0.1, top=10, share=0.1).select("q", "m", "shared", F.round("jaccard", 6).alias("jaccard"))
+    return sj.similar_pairs(sets, "seq_id", "grp", 0.1, top=10, share=0.1).select("q", "m", "shared", F.round("jaccard", 6).alias("jaccard"))
 
 
 @query("ani_prefilter", "J10 E16 E17", uses="seqs", sql=f"""WITH {_HASHES.format(scaled=64)}, o AS (SELECT DISTINCT grp, hash FROM s), n AS (SELECT grp, count(*) AS n FROM o GROUP BY grp),

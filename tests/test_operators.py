@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyseq.functions import formulas as fx
-from tallyseq.operators import conflict, intervals, lookup, score, sketch, taxonomy
+from tallyseq.operators import conflict, intervals, lookup, score, setjoin, sketch, taxonomy
 from tallyseq.operators.graph import connected_components
 from tallyseq.sources import readers, writers
 from tallyseq.streaming import windows
@@ -228,9 +228,9 @@ def test_nothing_else_imports_the_optional_part():
 
 def test_top_k_grows_with_the_sets(spark):
     sets = spark.createDataFrame([(i, i % 2, h) for i in range(240) for h in (1, 2, 3)], "id long, g int, hash long")
-    n = sketch.similar_pairs(sets, "id", "g", 0.1, top=10, share=0.1).groupBy("q").count().collect()
+    n = setjoin.similar_pairs(sets, "id", "g", 0.1, top=10, share=0.1).groupBy("q").count().collect()
     assert len(n) == 240 and {r["count"] for r in n} == {24}
-    assert sketch.similar_pairs(sets.where("id < 60"), "id", "g", 0.1, top=10, share=0.1).count() == 600
+    assert setjoin.similar_pairs(sets.where("id < 60"), "id", "g", 0.1, top=10, share=0.1).count() == 600
 
 
 def test_shingles_with_equal_32_bits_differ(spark):
