@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallyseq.plans.base import query
 from tallyseq.plans.q_sources import _cell, _row, _text
 from tallyseq.session import shared_path
-from tallyseq.sources import readers, writers
+from tallyseq.sources import bam, readers, writers
 
 
 def _alignment_text(t) -> str:
@@ -37,6 +37,33 @@ def region_fetch(t):
     return readers.fetch(table, "r3", 40000, 60000).select("read_id", "s", "e", "mapq")
 
 
+def _binary_alignments(t):
+    """The same alignments as binary files, read back."""
+    n, k = F.col("e") - F.col("s"), F.col("part_id")
+    gap = F.when(F.col("score") % 3 == 0, "7D").otherwise("2S")
+    flag = F.when(k % 10 == 0, 4).otherwise(0) + F.when(F.col("is_reverse"), 16).otherwise(0) + F.when(F.col("is_secondary"), 256).otherwise(0) + F.when(k % 10 == 1, 2048).otherwise(0)
+    none = F.lit(None).cast("string")
+    rows = t.aln.select(
+        F.concat(F.lit("q"), _cell("read_id")).alias("read_id"), F.concat(F.lit("r"), _cell("ref_id")).alias("ref_id"), "s", "mapq", flag.alias("flag"), F.concat(n.cast("string"), F.lit("M"), gap).alias("cigar"),
+        none.alias("sequence"), none.alias("quality"), F.lit(None).cast("int").alias("score"), (k % 7).cast("int").alias("mismatches"))
+    refs = sorted((f"r{r.s_suppkey}", 110_000) for r in t.supplier.select("s_suppkey").collect())  # every file's header names all references
+    path = shared_path(t.aln.sparkSession, "binary")
+    bam.write_bam(rows, path, refs)
+    return bam.read_bam(t.aln.sparkSession, path)
+
+
+@query("binary_alignments", "S1 F17", uses="aln", sql=f"WITH {_SAM} SELECT ref_id, count(*) AS n, sum(e - s)::BIGINT AS bp, count(*) FILTER (WHERE is_reverse) AS reverse_n, sum(nm)::BIGINT AS mismatches, count(*) FILTER (WHERE nm * 20 <= e - s) AS close_n FROM sam WHERE NOT is_secondary GROUP BY ref_id")
+def binary_alignments(t):
+    a = _binary_alignments(t).where("not is_unmapped and not is_secondary and not is_supplementary")
+    n = F.col("e") - F.col("s")
+    return a.groupBy("ref_id").agg(F.count("*").alias("n"), F.sum(n).alias("bp"), F.count_if("is_reverse").alias("reverse_n"), F.sum("mismatches").alias("mismatches"), F.count_if(F.col("mismatches") * 20 <= n).alias("close_n"))
+
+
+@query("binary_region", "S2", uses="aln", sql=f"WITH {_SAM} SELECT read_id, s, e, mapq FROM sam WHERE ref_id = 'r3' AND s < 60000 AND e > 40000")
+def binary_region(t):
+    return readers.fetch(_binary_alignments(t).where("not is_unmapped and not is_supplementary"), "r3", 40000, 60000).select("read_id", "s", "e", "mapq")
+
+
 @query("report_source", "S7 W7", sql="""
 WITH s AS (SELECT s_suppkey, n_nationkey, n_regionkey FROM supplier JOIN nation ON s_nationkey = n_nationkey)
 SELECT 100 + r_regionkey AS taxid, 1 AS parent, 1 AS depth, r_name AS name FROM region UNION ALL SELECT 1000 + n_nationkey, 100 + n_regionkey, 2, n_name FROM nation UNION ALL SELECT 10000 + s_suppkey, 1000 + n_nationkey, 3, 'strain ' || s_suppkey FROM s UNION ALL SELECT 1, NULL, 0, 'root'""")
