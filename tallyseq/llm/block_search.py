@@ -4,11 +4,11 @@ Documents are read once into shards, each an inverted index of one row: document
 every term of the items the documents that hold it. Shards are written to the shared folder, and document
 frequencies, counts and lengths are summed from them. Then every shard is searched where it is read. Dynamic
 programming cuts each posting list into blocks of variable size, so that the sum over all postings of the
-block's largest impact less the posting's own, plus a price for each block, is least. The largest impacts of the
-blocks that overlap give every document a bound on its score for an item. Documents are scored in the order
-of their bounds, from the blocks that hold them, until no bound reaches the item's kth score so far; all
-other blocks are skipped. No document with a bound that could reach the result is left out, so results are
-exact.
+block's largest impact less the posting's own, plus a price for each block, is least. An item's rare terms, the
+short lists, say which documents they add to; of its frequent terms, the largest impacts of the blocks that
+overlap a document bound what they can add. Documents are scored in the order of their bounds, from the
+blocks that hold them, until no bound reaches the item's kth score so far; all other blocks are skipped. No
+document with a bound that could reach the result is left out, so results are exact.
 
 The kth scores of a few shards, searched first, start the search of all others. A task sends an item's k
 best over all its shards. Items are a stated query set and are taken in blocks of ITEM_BYTES, whose terms
@@ -37,6 +37,8 @@ FIRST = 16
 CELLS = 128
 #: What a block costs, in postings of mean impact.
 PRICE = 16
+#: Lists that hold fewer than one in so many of a shard's documents are read whole, not by blocks.
+SPARSE = 8
 #: ASCII letters and digits in lower case and all bytes beyond ASCII belong to terms.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -108,6 +110,7 @@ class Shard:
         tf = tf.astype(np.int64)
         self.impact = 1_000_000_000 * tf // (1000 * tf + 20 * norms(lengths, n_docs, n_terms)[post])
         start = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        self.start, self.sizes = start, sizes.astype(np.int64)
         self.first, self.block = choose_blocks(self.impact, start)
         self.size = np.diff(self.first, append=len(post))
         self.top = np.maximum.reduceat(self.impact, self.first) if len(post) else self.impact
@@ -120,13 +123,18 @@ class Shard:
         if not lists:
             return none, none
         no, w = np.array(lists, np.int64).T
+        rare = self.sizes[no] * SPARSE < self.n  # a block of these spans many documents that it doesn't hold
+        at = spread(self.start[no[rare]], self.sizes[no[rare]])
+        base = np.zeros(self.n, np.int64)
+        np.add.at(base, self.post[at], self.impact[at] * np.repeat(w[rare], self.sizes[no[rare]]))
+        no, w = no[~rare], w[~rare]
         many = self.block[no + 1] - self.block[no]
         blocks, w = spread(self.block[no], many), np.repeat(w, many)
         low, high, top = self.low[blocks], self.high[blocks], self.top[blocks] * w
         edge = np.zeros(self.n + 1, np.int64)
         np.add.at(edge, low, top)
         np.add.at(edge, high + 1, -top)
-        bound = np.cumsum(edge[:-1])
+        bound = base + np.cumsum(edge[:-1])
         docs = np.flatnonzero(bound >= max(1, least))
         docs = docs[np.argsort(-bound[docs], kind="stable")]
         found, scores, done, step = none, none, 0, 4 * k
@@ -137,7 +145,7 @@ class Shard:
             held = np.concatenate([[0], np.cumsum(wanted)])
             use = held[high + 1] > held[low]  # the others hold none of these documents
             at = spread(self.first[blocks[use]], self.size[blocks[use]])
-            got = np.zeros(self.n, np.int64)
+            got = base.copy()
             np.add.at(got, self.post[at], self.impact[at] * np.repeat(w[use], self.size[blocks[use]]))
             part = part[got[part] >= max(1, least)]
             found, scores = np.concatenate([found, part]), np.concatenate([scores, got[part]])

@@ -82,6 +82,7 @@ class Windows:
     k: int
     same: bool
     keys: Keys
+    digit: int
 
     def __post_init__(self):
         n = len(self.anchor)
@@ -96,7 +97,7 @@ class Windows:
 
     @property
     def shift(self) -> np.ndarray:
-        return np.maximum(0, bit_lengths(self.top) - DIGIT)
+        return np.maximum(0, bit_lengths(self.top) - self.digit)
 
     def place(self, w: np.ndarray, keys: list[np.ndarray]) -> np.ndarray:
         """The offset of rows in the range that their windows tell apart; -1 outside of it."""
@@ -336,7 +337,7 @@ def mine_negatives(
         block = spark.sparkContext.broadcast(Block(own))
         at = np.arange(len(own))
         bound = np.array([_bound(r[2], longest) for r in own], np.int64)
-        found = select(rows, block, Windows(len(own), at, bound, 2 * bound, positives, True, keys))
+        found = select(rows, block, Windows(len(own), at, bound, 2 * bound, positives, True, keys, DIGIT))
         best_path = shared_path(spark, "positives")
         found.write.parquet(best_path)
         best = spark.read.schema(found.schema).parquet(best_path)
@@ -344,7 +345,7 @@ def mine_negatives(
         if pairs:
             a, hi = np.array(sorted(map(tuple, pairs)), np.int64).T
             least = np.array([-(-int(s) * near[0] // near[1]) for s in hi], np.int64)
-            hard = select(rows, block, Windows(len(own), a, hi, hi - least, negatives, False, keys))
+            hard = select(rows, block, Windows(len(own), a, hi, hi - least, negatives, False, keys, DIGIT))
             hard = hard.select("a", F.col("hi").alias("score"), F.col("no").alias("rank"), F.col("id").alias("negative_id"), F.col("score").alias("negative_score"))
             out = best.select("a", "score", "anchor_id", F.col("id").alias("positive_id")).join(hard, ["a", "score"])
             out.select("anchor_id", "positive_id", "rank", "negative_id", F.col("score").alias("positive_score"), "negative_score").write.mode("append").parquet(path)
