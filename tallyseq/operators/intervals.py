@@ -35,6 +35,33 @@ def covered_length(df: DataFrame, keys: list[str], s: str = "s", e: str = "e", g
     return merge_intervals(df, keys, s, e, gap).groupBy(*keys).agg(F.sum(F.col(e) - F.col(s)).alias("covered"))
 
 
+def masked_coverage(df: DataFrame, key: str, mask: str, bits: int, s: str = "s", e: str = "e", gap: int = 1, width: int = BIN) -> DataFrame:
+    """(key, bp0, bp1, ...): bases under merged intervals of each bit's rows, from one sweep over all ends.
+
+    A merged stretch begins where a bit's depth leaves zero and ends where it returns to it, with every
+    interval open for `gap` more bases (starts come before ends at a position). What is covered is then the
+    sum of the ends less the sum of the starts, so no stretch is numbered or gathered. Rows are summed per
+    position first; a bin's depth comes from one row per (key, bin). Empty intervals cover nothing.
+    """
+    bit = lambda i, sign: F.sum(F.when((F.col("sign") == sign) & (F.col("mask").bitwiseAND(F.lit(1 << i)) != 0), 1).otherwise(0))
+    ends = df.where(F.col(s) < F.col(e)).select(key, F.col(mask).alias("mask"), F.explode(F.array(
+        F.struct(F.col(s).alias("pos"), F.lit(1).alias("sign")), F.struct((F.col(e) + gap).alias("pos"), F.lit(-1).alias("sign")))).alias("x")).select(key, "mask", "x.*")
+    steps = ends.groupBy(key, "pos").agg(*[bit(i, 1).alias(f"on{i}") for i in range(bits)], *[bit(i, -1).alias(f"off{i}") for i in range(bits)]).withColumn("bin", F.floor(F.col("pos") / width))
+    before = Window.partitionBy(key).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    sums = steps.groupBy(key, "bin").agg(*[F.sum(F.col(f"on{i}") - F.col(f"off{i}")).alias(f"d{i}") for i in range(bits)])
+    sums = sums.select(key, "bin", *[F.coalesce(F.sum(f"d{i}").over(before), F.lit(0)).alias(f"d{i}") for i in range(bits)])
+    inside = Window.partitionBy(key, "bin").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    runs = steps.withColumns({f"r{i}": F.sum(F.col(f"on{i}") - F.col(f"off{i}")).over(inside) for i in range(bits)}).join(sums, [key, "bin"])
+
+    def covered(i: int) -> Column:
+        after = F.col(f"d{i}") + F.col(f"r{i}")
+        opened = (after - F.col(f"on{i}") + F.col(f"off{i}") == 0) & (F.col(f"on{i}") > 0)
+        closed = (after == 0) & (F.col(f"off{i}") > 0)
+        return F.sum(F.when(closed, F.col("pos") - gap).otherwise(0) - F.when(opened, F.col("pos")).otherwise(0))
+
+    return runs.groupBy(key).agg(*[covered(i).alias(f"bp{i}") for i in range(bits)])
+
+
 def depth_runs(df: DataFrame, key: str, s: str = "s", e: str = "e", width: int = BIN) -> DataFrame:
     """Runs (key, start, end, depth) of equal positive depth; touching runs of one depth stay apart at
     positions where intervals start and end alike only if the depth changes.

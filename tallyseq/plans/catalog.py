@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from tallyseq.plans import base, q_cohort, q_compare, q_conflict, q_intervals, q_misc, q_readers, q_rules, q_scores, q_sources  # noqa: F401  importing registers
+from tallyseq.plans import base, q_cohort, q_compare, q_conflict, q_intervals, q_misc, q_readers, q_rules, q_scores, q_sources, q_truth  # noqa: F401  importing registers
 
 QUERIES, ORACLES, COVERS = base.QUERIES, base.ORACLES, base.COVERS
