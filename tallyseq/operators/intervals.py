@@ -62,15 +62,15 @@ def masked_coverage(df: DataFrame, key: str, mask: str, bits: int, s: str = "s",
     return runs.groupBy(key).agg(*[covered(i).alias(f"bp{i}") for i in range(bits)])
 
 
-def depth_runs(df: DataFrame, key: str, s: str = "s", e: str = "e", width: int = BIN) -> DataFrame:
-    """Runs (key, start, end, depth) of equal positive depth; touching runs of one depth stay apart at
-    positions where intervals start and end alike only if the depth changes.
+def depth_runs(df: DataFrame, key: str, s: str = "s", e: str = "e", width: int = BIN, every: bool = False) -> DataFrame:
+    """Runs (key, start, end, depth) of equal positive depth; touching runs of one depth are one, but with
+    `every`, which ends a run wherever an interval starts or ends.
 
     Starts and ends are summed per position before the shuffle. A bin's first depth is the sum of all
     bins before it, taken from one row per (key, bin).
     """
     ends = df.select(key, F.explode(F.array(F.struct(F.col(s).alias("pos"), F.lit(1).alias("d")), F.struct(F.col(e).alias("pos"), F.lit(-1).alias("d")))).alias("x"))
-    steps = ends.groupBy(key, F.col("x.pos").alias("pos")).agg(F.sum("x.d").alias("d")).where("d <> 0").withColumn("bin", F.floor(F.col("pos") / width))
+    steps = ends.groupBy(key, F.col("x.pos").alias("pos")).agg(F.sum("x.d").alias("d")).where("d <> 0" if not every else "true").withColumn("bin", F.floor(F.col("pos") / width))
     bins = steps.groupBy(key, "bin").agg(F.sum("d").alias("d"), F.min("pos").alias("first"))
     by_bin = Window.partitionBy(key).orderBy("bin")
     bins = bins.select(

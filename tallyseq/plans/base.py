@@ -1,6 +1,8 @@
 """Query registry and the input tables that stand in for alignment, taxonomy and cohort data.
 
-A stand-in is one SQL text that Spark and DuckDB both read, so that twins differ only in the operators.
+A stand-in is one SQL text that Spark and DuckDB both read, so that twins differ only in the operators. Records
+for scoring are the exception: only the twins read their text, and Spark makes them by the library's own
+coverage operators.
 """
 
 from __future__ import annotations
@@ -10,6 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyseq.operators.records import reference_records
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 _POS = "((l_orderkey * 7919 + l_partkey * 104729 + l_linenumber * 31) % 100000)"
@@ -82,6 +86,9 @@ class Inputs:
         self._spark, self._dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
+        if name == "rec":  # the twins' text says it in SQL
+            self.rec = reference_records(self.aln, self.refs)
+            return self.rec
         if name in TABLES:
             return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
         if name not in STAND_INS:
