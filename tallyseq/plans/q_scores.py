@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -10,6 +11,7 @@ from tallyseq.operators import conflict as cf
 from tallyseq.operators import fit
 from tallyseq.operators import intervals as iv
 from tallyseq.operators import score as sc
+from tallyseq.operators import weights as wt
 from tallyseq.plans.base import query
 from tallyseq.plans.q_conflict import _PAIRS
 from tallyseq.session import materialize, scratch
@@ -234,6 +236,48 @@ def weight_grid(t):
     return fit.grid_loss(t.rec, ["breadth", "minhash", "gini"], F.col("reads") % 2 == 0, 5).select(*[F.round(f"w{i}", 4).alias(f"w{i}") for i in (1, 2, 3)], F.round("loss", 6).alias("loss"))
 
 
+#: Rules with every term, and candidates: five weights, bonus, power.
+_RULES = wt.Rules(
+    mode="hybrid", hybrid=0.6, positive=2.0, ridge=0.05, entropy=0.1, prior={"breadth": 0.4}, prior_weight=0.3, abundance=0.05, tp_target=0.9, tp_target_weight=0.5, tp_target_scope="hybrid",
+    scope="hybrid", youden=0.4, youden_least=0.05, high_cutoff=0.2, fp_cutoff=0.3, fp_cutoff_weight=0.25, tp_floor_weight=0.6, fp_ceiling_weight=0.7, separation=0.15)
+_CANDIDATES = [(0.2, 0.2, 0.2, 0.2, 0.2, 0.0, 1.0), (0.5, 0.1, 0.2, 0.1, 0.1, 0.1, 0.5), (0.0, 0.3, 0.3, 0.4, 0.0, 0.2, 0.3), (1.0, 0.0, 0.0, 0.0, 0.0, 0.05, 0.8)]
+
+
+def _fit_rows(t):
+    reads = F.col("reads")
+    return _components(t).select(
+        "ref_id", "species", "genus", F.col("x_breadth").alias("breadth"), F.col("x_minhash").alias("minhash"), F.col("x_gini").alias("gini"), F.col("x_disparity").alias("disparity"), F.col("x_population").alias("population"), "plasmid",
+        F.col("x_abundance").alias("abundance"), F.when(F.col("ref_id") % 3 > 0, reads).otherwise(0).alias("tp"), (reads % 5).alias("fp"))
+
+
+@query("weight_losses", "X19", uses="rec", sql=f"""WITH {_TASS}, f AS (SELECT x_breadth, x_minhash, x_gini, x_disparity, x_population, plasmid, x_abundance, CASE WHEN ref_id % 3 > 0 THEN reads ELSE 0 END::DOUBLE AS tp, (reads % 5)::DOUBLE AS fp FROM x),
+g AS (SELECT *, (tp > 0)::INT::DOUBLE AS y, (tp = 0)::INT::DOUBLE AS z FROM f WHERE tp + fp >= 1), n AS (SELECT sum(tp) AS tp, sum(fp) AS fp, sum(y) AS y, sum(z) AS z FROM g),
+cd AS (SELECT * FROM (VALUES {', '.join(f"({i}, {[float(x) for x in c[:5]]}, {c[5]}::DOUBLE, {c[6]}::DOUBLE)" for i, c in enumerate(_CANDIDATES))}) AS v(c, w, bonus, power)),
+p AS (SELECT c, g.tp, g.fp, g.y, g.z, greatest(1e-6, least(1 - 1e-6, pow(least(1.0, greatest(0.0, w[1] * x_breadth + w[2] * x_minhash + w[3] * x_gini + w[4] * x_disparity + w[5] * x_population + bonus * plasmid + 0.05 * x_abundance)), power))) AS p FROM g, cd),
+u AS (SELECT c, any_value(n.tp) AS nt, any_value(n.fp) AS nf, any_value(n.y) AS ny, any_value(n.z) AS nz, -sum(p.tp * ln(p)) AS rp, -sum(p.fp * ln(1 - p)) AS rn, -sum(p.y * ln(p)) AS tp_, -sum(p.z * ln(1 - p)) AS tn_, sum(p.y * p) AS my, sum(p.tp * p) AS mt,
+ sum(p.y * pow(greatest(0, 0.7 - p), 2)) AS short, sum(p.z * pow(greatest(0, p - 0.15), 2)) AS above, min(floor(p * 100)) AS low, max(floor(p * 100)) AS high FROM p, n GROUP BY c),
+k AS (SELECT p.c, t, 0.6 * sum((p >= t)::INT * p.y) / any_value(n.y) + 0.4 * sum((p >= t)::INT * p.tp) / any_value(n.tp) AS keep, 0.6 * sum((p >= t)::INT * p.z) / any_value(n.z) + 0.4 * sum((p >= t)::INT * p.fp) / any_value(n.fp) AS wrong FROM p, n, (SELECT unnest([0.1, 0.2, 0.3, 0.5, 0.7]) AS t) GROUP BY p.c, t),
+sep AS (SELECT c, sum(pow(greatest(0, 0.95 - keep), 2) + CASE WHEN t >= 0.15 THEN pow(greatest(0, wrong - 0.05), 2) ELSE 0 END) AS shape, max(CASE WHEN t = 0.3 THEN wrong END) AS cut FROM k GROUP BY c),
+j AS (SELECT p.c, s, 0.6 * sum((floor(p * 100) >= s)::INT * p.y) / any_value(n.y) + 0.4 * sum((floor(p * 100) >= s)::INT * p.tp) / any_value(n.tp) - 0.6 * sum((floor(p * 100) >= s)::INT * p.z) / any_value(n.z) - 0.4 * sum((floor(p * 100) >= s)::INT * p.fp) / any_value(n.fp) AS j FROM p, n, range(5, 100) r(s) GROUP BY p.c, s),
+b AS (SELECT c, max(j) AS best FROM j GROUP BY c), a AS (SELECT j.c, min(s) AS place, any_value(best) AS best FROM j JOIN b USING (c) WHERE j.j >= best - 1e-12 GROUP BY j.c)
+SELECT c AS candidate, round((2 * (0.6 * tp_ / ny + 0.4 * rp / nt) + (0.6 * tn_ / nz + 0.4 * rn / nf)) / 3 + 0.05 * list_sum(list_transform(w, lambda v: pow(v - 0.2, 2))) + 0.1 * (1 + list_sum(list_transform(w, lambda v: greatest(v, 1e-8) * ln(greatest(v, 1e-8)))) / ln(5))
+ + 0.3 * pow(w[1] - 0.4, 2) + 0.5 * pow(greatest(0, 0.9 - (0.6 * my / ny + 0.4 * mt / nt)), 2) + 0.25 * cut + 0.15 * shape + 0.6 * short / ny + 0.7 * above / nz + 0.4 * (1 - best) + 0.2 * (1 - (greatest(low, least(high, place)) - low) / greatest(1, high - low)), 6) AS loss
+FROM u JOIN cd USING (c) JOIN sep USING (c) JOIN a USING (c)""")
+def weight_losses(t):
+    rows = materialize(_fit_rows(t), "fit-rows")
+    found = wt.losses(rows, np.array(_CANDIDATES), _RULES, np.full(5, 0.2))
+    return t.lineitem.sparkSession.createDataFrame([(i, round(x, 6)) for i, x in enumerate(found.tolist())], "candidate int, loss double")
+
+
+@query("weight_fit", "X19", uses="rec", sql=None)
+def weight_fit(t):
+    """Weights at three levels: the search draws at random, so no SQL."""
+    levels = {"key": F.col("ref_id"), "subkey": F.col("species"), "toplevelkey": F.col("genus")}
+    found = wt.fit_levels(materialize(_fit_rows(t), "fit-rows"), levels, _RULES, generations=8, population=40, finish=4)
+    kind = "level string, " + ", ".join(f"{p} double" for p in wt.PARTS) + ", bonus double, power double, loss double, status string"
+    return t.lineitem.sparkSession.createDataFrame([(f["level"], *[f["weights"][p] for p in wt.PARTS], f["bonus"], f["power"], f["loss"], f["status"]) for f in found], kind)
+
+
 @query("sketch_sweep", "X20", uses="seqs", sql=None)
 def sketch_sweep(t):
     return fit.sketch_sweep(t.seqs, "seq_id", "grp", "text", sizes=(3, 5), scaled=(16, 64), threshold=0.5)
