@@ -9,6 +9,7 @@ from tallyseq.functions import formulas as fx
 from tallyseq.operators import conflict as cf
 from tallyseq.operators import intervals as iv
 from tallyseq.operators import setjoin as sj
+from tallyseq.operators import shared as sh
 from tallyseq.operators import sketch as sk
 from tallyseq.operators import taxonomy as tx
 from tallyseq.operators.graph import connected_components
@@ -214,6 +215,25 @@ def ani_prefilter(t):
     return p.select("g1", "g2", "shared", F.round((x + y) / 2, 6).alias("ani_mean"), F.round(F.least(x, y), 6).alias("ani_min"), (F.col("jaccard") >= fx.ani_to_jaccard(0.9, 21)).alias("passes"))
 
 
+@query("pruned_windows", "J6 J10 T2", uses="seqs", sql="""
+WITH v AS (SELECT seq_id, grp, CASE WHEN trim(lower(text)) = '' THEN [] ELSE string_split_regex(trim(lower(text)), '\\s+') END AS w FROM seqs WHERE grp IS NOT NULL),
+h AS (SELECT seq_id, grp, len(w) AS n, i, ('0x' || substr(md5(array_to_string(w[i + 1:i + 5], ' ')), 1, 15))::BIGINT AS hash FROM (SELECT seq_id, grp, w, unnest(range(0, len(w) - 4)) AS i FROM v WHERE len(w) >= 5)),
+cs AS (SELECT DISTINCT seq_id, grp, hash FROM h WHERE hash < 1152921504606846976 // 64), cn AS (SELECT seq_id, count(*) AS n FROM cs GROUP BY seq_id),
+cp AS (SELECT a.seq_id AS q, b.seq_id AS m, count(*) AS sh FROM cs a JOIN cs b ON a.hash = b.hash AND a.grp <> b.grp GROUP BY ALL),
+near AS (SELECT q, m FROM cp JOIN cn x ON x.seq_id = q JOIN cn y ON y.seq_id = m WHERE sh * 1.0 / (x.n + y.n - sh) >= pow(0.9, 21) / (2 - pow(0.9, 21))),
+ok AS (SELECT DISTINCT q AS seq_id FROM near),
+s AS (SELECT DISTINCT seq_id, grp, a AS w0, hash FROM (SELECT h.*, unnest(range(0, n - 59, 30)) AS a FROM h SEMI JOIN ok USING (seq_id) WHERE hash < 1152921504606846976 // 4 AND n >= 60) WHERE i >= a AND i < a + 60),
+z AS (SELECT seq_id, w0, count(*) AS n FROM s GROUP BY ALL),
+p AS (SELECT a.seq_id AS q, a.w0 AS qw, b.seq_id AS m, b.w0 AS mw, count(*) AS shared FROM s a JOIN s b ON a.hash = b.hash AND a.grp <> b.grp SEMI JOIN near ON near.q = a.seq_id AND near.m = b.seq_id GROUP BY ALL),
+j AS (SELECT p.*, shared * 1.0 / (x.n + y.n - shared) AS jaccard, shared * 1.0 / x.n AS c1, shared * 1.0 / y.n AS c2 FROM p JOIN z x ON x.seq_id = q AND x.w0 = qw JOIN z y ON y.seq_id = m AND y.w0 = mw),
+k AS (SELECT greatest(12, ceil(0.1::DOUBLE * count(DISTINCT seq_id))) AS top FROM z),
+r AS (SELECT *, row_number() OVER (PARTITION BY q, qw ORDER BY jaccard DESC, m, mw) AS no FROM j WHERE jaccard >= 0.5)
+SELECT q AS q_contig, qw AS q_start, qw + 60 AS q_end, m AS m_contig, mw AS m_start, mw + 60 AS m_end, shared, round(jaccard, 6) AS jaccard, round(c1, 6) AS containment_q_in_m, round(c2, 6) AS containment_m_in_q FROM r, k WHERE no <= top""")
+def pruned_windows(t):
+    pairs, _ = sh.pruned_windows(t.seqs, "seq_id", "grp", "text", 5, 4, 60, 30, 0.5, 12)
+    return pairs.withColumns({c: F.round(c, 6) for c in ("jaccard", "containment_q_in_m", "containment_m_in_q")})
+
+
 @query("containment_topk", "J8", uses="seqs", sql=f"""WITH {_HASHES.format(scaled=1)},
 bw AS (SELECT item_id, string_split_regex(trim(lower(text)), '\\s+') AS w FROM benchmark), bi AS (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM bw WHERE len(w) >= 5),
 b AS (SELECT DISTINCT item_id, ('0x' || substr(md5(array_to_string(w[i:i+4], ' ')), 1, 8))::BIGINT AS hash FROM bi), n AS (SELECT item_id, count(*) AS n FROM b GROUP BY item_id),

@@ -11,6 +11,7 @@ from tallyseq.operators import conflict as cf
 from tallyseq.operators import fit
 from tallyseq.operators import intervals as iv
 from tallyseq.operators import score as sc
+from tallyseq.operators import shared as sh
 from tallyseq.operators import weights as wt
 from tallyseq.plans.base import query
 from tallyseq.plans.q_conflict import _PAIRS
@@ -283,6 +284,48 @@ def sketch_sweep(t):
     return fit.sketch_sweep(t.seqs, "seq_id", "grp", "text", sizes=(3, 5), scaled=(16, 64), threshold=0.5)
 
 
+# reads of 40 words cut from the texts, with a second alignment to the text after their own
+_READS = """
+v AS (SELECT seq_id, grp, CASE WHEN trim(lower(text)) = '' THEN [] ELSE string_split_regex(trim(lower(text)), '\\s+') END AS w FROM seqs),
+r AS (SELECT seq_id || '_' || s || '_1' AS read_id, seq_id AS truth, seq_id + d AS ref_id, s, s + 40 AS e, CASE WHEN d = 0 THEN 20 + (seq_id + s) % 30 ELSE (7 * seq_id + s) % 45 END AS mapq FROM (SELECT seq_id, unnest(range(0, len(w) - 39, 40)) AS s FROM v), (SELECT unnest([0, 1]) AS d))"""
+
+
+def _text_reads(t):
+    n = F.size(F.filter(F.split(F.trim(F.lower(F.coalesce("text", F.lit("")))), r"\s+"), lambda w: w != ""))
+    s = t.seqs.select("seq_id", n.alias("n")).where("n >= 40").select("seq_id", F.explode(F.sequence(F.lit(0).cast("bigint"), (F.col("n") - 40).cast("bigint"), F.lit(40).cast("bigint"))).alias("s"))
+    both = s.withColumn("d", F.explode(F.array(F.lit(0), F.lit(1))))
+    return both.select(
+        F.concat_ws("_", F.col("seq_id").cast("string"), F.col("s").cast("string"), F.lit("1")).alias("read_id"), F.col("seq_id").alias("truth"), (F.col("seq_id") + F.col("d")).alias("ref_id"), "s", (F.col("s") + 40).alias("e"),
+        F.when(F.col("d") == 0, 20 + (F.col("seq_id") + F.col("s")) % 30).otherwise((7 * F.col("seq_id") + F.col("s")) % 45).alias("mapq"))
+
+
+_POSITIONED = "('0x' || substr(md5(array_to_string(w[i + 1:i + k], ' ')), 1, 15))::BIGINT"
+
+
+@query("sketch_settings", "X20", uses="seqs", sql=f"""WITH {_READS},
+t AS (SELECT row_number() OVER (ORDER BY k, sc, wi, st) AS no, * FROM (SELECT unnest([3, 5]) AS k), (SELECT unnest([4, 16]) AS sc), (SELECT unnest([40, 80]) AS wi), (SELECT unnest([20, 40]) AS st)),
+h AS (SELECT seq_id, len(w) AS n, k, i, {_POSITIONED} AS hash FROM (SELECT seq_id, w, k, unnest(range(0, len(w) - k + 1)) AS i FROM v, (SELECT unnest([3, 5]) AS k) WHERE len(w) >= k)),
+f AS (SELECT * FROM h WHERE hash < 1152921504606846976 // 4),
+m AS (SELECT DISTINCT no, seq_id, a AS w0, hash FROM (SELECT no, seq_id, hash, i, wi, unnest(range(0, n - wi + 1, st)) AS a FROM f JOIN t ON t.k = f.k AND hash < 1152921504606846976 // sc WHERE n >= wi) WHERE i >= a AND i < a + wi),
+z AS (SELECT no, seq_id, w0, count(*) AS n FROM m GROUP BY ALL),
+p AS (SELECT a.no, a.seq_id AS q, a.w0 AS qw, b.seq_id AS c, b.w0 AS cw, count(*) AS shared FROM m a JOIN m b ON a.no = b.no AND a.hash = b.hash AND a.seq_id <> b.seq_id GROUP BY ALL),
+j AS (SELECT p.*, shared * 1.0 / (x.n + y.n - shared) AS jac FROM p JOIN z x ON x.no = p.no AND x.seq_id = q AND x.w0 = qw JOIN z y ON y.no = p.no AND y.seq_id = c AND y.w0 = cw),
+kk AS (SELECT no, greatest(40, ceil(0.1::DOUBLE * count(DISTINCT seq_id))) AS top FROM z GROUP BY no),
+s AS (SELECT j.* FROM j JOIN kk USING (no) WHERE jac >= 0.5 QUALIFY row_number() OVER (PARTITION BY j.no, q, qw ORDER BY jac DESC, c, cw) <= any_value(top) OVER (PARTITION BY j.no)),
+g AS (SELECT s.no, read_id, ref_id, r.s AS rs, count(DISTINCT c) AS alt FROM s JOIN t USING (no) JOIN r ON ref_id = q AND r.s < qw + wi AND r.e > qw GROUP BY ALL),
+o AS (SELECT t.no, r.read_id, r.ref_id, r.truth, r.mapq - 23.0 * coalesce(alt, 0) AS sc FROM t CROSS JOIN r LEFT JOIN g ON g.no = t.no AND g.read_id = r.read_id AND g.ref_id = r.ref_id AND g.rs = r.s),
+b AS (SELECT *, max(sc) OVER (PARTITION BY no, read_id) AS top, max(sc) OVER (PARTITION BY no, read_id, ref_id) AS own FROM o),
+e AS (SELECT no, sum((truth = ref_id)::INT) AS total_tp, sum((truth <> ref_id)::INT) AS total_fp, sum((truth = ref_id AND own < top)::INT) AS tp_removed, sum((truth <> ref_id AND own < top)::INT) AS fp_removed FROM b GROUP BY no),
+u AS (SELECT no, count(*) AS n_shared FROM s GROUP BY no),
+y AS (SELECT e.*, t.*, coalesce(n_shared, 0) AS n_shared, total_fp - fp_removed AS fr, tp_removed * 1.0 / total_tp AS lost, total_fp - fp_removed + tp_removed AS score FROM e JOIN t ON t.no = e.no LEFT JOIN u ON u.no = e.no)
+SELECT k AS size, sc AS scaled, wi AS window, st AS step, total_tp::BIGINT AS total_tp, total_fp::BIGINT AS total_fp, tp_removed::BIGINT AS tp_removed, fp_removed::BIGINT AS fp_removed, n_shared::BIGINT AS n_shared, fr::BIGINT AS fp_remaining, round(lost, 6) AS tp_loss, score::DOUBLE AS score,
+ row_number() OVER (ORDER BY score, no) = 1 AS best, row_number() OVER (ORDER BY score, no) = 1 AND fr = 0 AND lost <= 0.01 AS success FROM y""")
+def sketch_settings(t):
+    grid = {"size": [3, 5], "scaled": [4, 16], "window": [40, 80], "step": [20, 40]}
+    out = sh.sketch_sweep(t.seqs.select("seq_id", "text"), "seq_id", "text", _text_reads(t), "read_id", "ref_id", F.col("mapq"), F.col("truth"), grid, threshold=0.5)
+    return out.withColumns({"tp_loss": F.round("tp_loss", 6), "score": F.col("score").cast("double")})
+
+
 @query("synthetic_abundance", "X21", sql="""
 WITH u AS (SELECT s_suppkey, s_nationkey, -ln((('0x' || substr(md5('7:' || s_suppkey), 1, 8))::BIGINT + 1) / 4294967297.0) AS g FROM supplier)
 SELECT s_suppkey, round(g / sum(g) OVER (PARTITION BY s_nationkey), 6) AS weight FROM u""")
