@@ -202,7 +202,7 @@ def drop_leaking(
 
     index = _index(items, item_key, item_text, size, threshold)
     if index is None:
-        h = F.xxhash64(text)
+        h = F.md5(text)  # with the search's own hash 192 bits name a text
         found = _shuffled_leaks(docs.withColumn("__leak_hash", h), items, "__leak_hash", text, item_key, item_text, size, threshold)
         bad = materialize(found.select(F.col("h").alias("__leak_hash")).distinct(), "leaking")
         return docs.withColumn("__leak_hash", h).join(bad, "__leak_hash", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
@@ -212,4 +212,5 @@ def drop_leaking(
         for b in it:
             yield b.filter(pa.array([not index.value.search(t.as_py()) for t in b.column(at)], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # names with dots are no names to mapInArrow
+    return plain.mapInArrow(keep, plain.schema).toDF(*docs.columns)

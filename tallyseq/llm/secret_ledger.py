@@ -108,10 +108,9 @@ def scan_versions(
     rows = rows.select("path", "version", F.sha2("t", 256).alias("blob_id"), F.when(F.col("t").rlike(MARKER), F.col("t")).alias("t"))
     rows = materialize(rows, "secret-rows")
     seen = _table(spark, f"{ledger}/findings")
-    blobs = rows.select("blob_id", "t")
-    if seen is not None:
-        blobs = blobs.join(seen.where(F.col("rule_version") == rule_version).select("blob_id"), "blob_id", "left_anti")
-    blobs = blobs.groupBy("blob_id").agg(F.first("t").alias("t"))
+    blobs = rows.groupBy("blob_id").agg(F.first("t").alias("t"))
+    if seen is not None:  # a row for each blob on either side, so copies of one text don't meet here
+        blobs = blobs.join(seen.where(F.col("rule_version") == rule_version).select("blob_id").distinct(), "blob_id", "left_anti")
     none = F.array().cast(NO_SPANS)
     scanned = blobs.select("blob_id", F.lit(rule_version).alias("rule_version"), F.when(F.col("t").isNotNull(), find_secrets(F.col("t"))).otherwise(none).alias("spans"))
     # findings first: a run that is lost between the two writes leaves no path without its scan

@@ -210,4 +210,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", **options
     scored = score_quality(docs, labels, key, **options)
     out = scored.where(F.col(key).isNotNull()).groupBy(key).agg(F.bool_and("rejected").alias("out")).where("out").select(key)
     out = materialize(out, "quality-out")
-    return docs.join(F.broadcast(out) if out.count() <= MAX_BROADCAST_KEYS else out, key, "left_anti").select(*docs.columns)
+    return docs.join(F.broadcast(out) if out.count() <= MAX_BROADCAST_KEYS else out, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

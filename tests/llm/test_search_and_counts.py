@@ -221,3 +221,16 @@ def test_pieces_start_anew_when_full(monkeypatch):
     small = token_counts.Counter(file, ".json")
     assert small.counts(texts) == want and len(small.known) <= 60
     assert all("".join(token_counts.pieces(t)) == t for t in texts)
+
+
+def test_filters_keep_columns_with_dots(spark):
+    from tallyseq.llm import benchmark_leaks, site_quality
+
+    rows = [(i, f"some words of text number {i} and more", "en", "s", i) for i in range(40)] + [(99, "a b c d e f", "en", "s", 1), (98, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, `x.y` int")
+    items = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
+    whole = {r.doc_id for r in docs.collect()}
+    kept = benchmark_leaks.drop_leaking(docs, items)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == whole - {99}
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    assert site_quality.keep_good(docs, labels).columns == docs.columns
