@@ -202,9 +202,9 @@ def drop_leaking(
 
     index = _index(items, item_key, item_text, size, threshold)
     if index is None:
-        h = F.md5(text)  # with the search's own hash 192 bits name a text
+        h = F.md5(text)  # 128 bits name a text
         found = _shuffled_leaks(docs.withColumn("__leak_hash", h), items, "__leak_hash", text, item_key, item_text, size, threshold)
-        bad = materialize(found.select(F.col("h").alias("__leak_hash")).distinct(), "leaking")
+        bad = materialize(found.select(F.col("k").alias("__leak_hash")).distinct(), "leaking")
         return docs.withColumn("__leak_hash", h).join(bad, "__leak_hash", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
     at = docs.columns.index(text)
 
