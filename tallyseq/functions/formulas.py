@@ -132,3 +132,15 @@ def once(value: Column, use: Callable[[Column], Column]) -> Column:
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
     return 2 * 6371.0 * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
+
+
+#: Words of a property and of a source that speak of resistance to drugs.
+RESISTANCE_WORDS, RESISTANCE_SOURCES = ("resist", "amr", "antibiotic", "antimicrobial"), ("card", "ncbiamr", "resfinder", "argannot", "amrfinder")
+
+
+def is_resistance(prop: Column, drug_class: Column, drugs: Column, source: Column) -> Column:
+    """Whether an annotation is of resistance: by its property's words, by naming drugs or their class, or by
+    its source. Nulls say nothing."""
+    low = lambda c: F.lower(F.trim(F.coalesce(c, F.lit(""))))
+    any_of = lambda c, words: F.lit(False) if not words else low(c).rlike("|".join(words))
+    return any_of(prop, RESISTANCE_WORDS) | (low(drug_class) != "") | (low(drugs) != "") | any_of(source, RESISTANCE_SOURCES)

@@ -172,11 +172,11 @@ def sequence_windows(t):
 
 
 @query("unknown_windows", "E31", sql="""
-WITH d AS (SELECT doc_id, translate(substr(text, 1, 400), 'aeiou', 'NNNNN') AS seq FROM documents WHERE length(text) >= 30),
+WITH d AS (SELECT doc_id, translate(text, 'aeiou', 'NNNNN') AS seq FROM documents WHERE length(text) >= 30),
 w AS (SELECT doc_id, seq, unnest(CASE WHEN length(seq) < 100 THEN [0] ELSE range(0, length(seq) - 100 + 1, 50) END) AS w_start FROM d), x AS (SELECT doc_id, w_start, upper(replace(replace(substr(seq, (w_start + 1)::INT, 100), 'ß', 's'), 'ŉ', 'n')) AS part FROM w)
 SELECT doc_id, count(*) AS n_windows, max(w_start) AS last_start FROM x WHERE length(part) - length(replace(part, 'N', '')) <= 0.35 * length(part) GROUP BY doc_id""")
 def unknown_windows(t):
-    d = t.documents.select("doc_id", F.translate(F.substring("text", 1, 400), "aeiou", "NNNNN").alias("seq")).withColumn("length", F.length("seq").cast("bigint"))
+    d = t.documents.select("doc_id", F.translate("text", "aeiou", "NNNNN").alias("seq")).withColumn("length", F.length("seq").cast("bigint"))
     kept = iv.drop_unknown(iv.sequence_windows(d, "length", 100, 50, 30), "seq", 0.35)
     return kept.groupBy("doc_id").agg(F.count("*").alias("n_windows"), F.max("w_start").alias("last_start"))
 

@@ -74,7 +74,7 @@ def read_classes(t):
 @query("accession_map_source", "S10", sql="SELECT 'A' || p_partkey || '.1' AS accession, 'A' || p_partkey AS acc_nov, p_size::BIGINT AS taxid, p_name || ', x' AS name FROM part")
 def accession_map_source(t):
     path = shared_path(t.part.sparkSession, "source")
-    rows = t.part.select(F.concat(F.lit("A"), _cell("p_partkey"), F.lit(".1")).alias("Acc"), F.concat("p_name", F.lit(", x")).alias("Organism Name"), F.col("p_size").alias("TaxID"))
+    rows = t.part.select(F.concat(F.lit("A"), _cell("p_partkey"), F.lit(".1")).alias("Acc"), F.concat("p_name", F.lit(", x")).alias("Organism_Name"), F.col("p_size").alias("TaxID"))
     rows.write.csv(path, header=True)
     return readers.read_accession_map(t.part.sparkSession, path)
 

@@ -12,12 +12,14 @@ from tallyseq.session import materialize
 
 #: Column names of tabular protein hits.
 BLAST6 = "qseqid string, sseqid string, pident double, length long, mismatch long, gapopen long, qstart long, qend long, sstart long, send long, evalue double, bitscore double"
-#: Header synonyms of accession maps, lower case.
+#: Header names of accession maps, lower case.
 SYNONYMS = {
-    "accession": ("acc", "accession", "accession_version", "contig", "seqid", "reference"),
-    "taxid": ("taxid", "tax_id", "taxon", "mapped_value", "mapped_taxid"),
-    "name": ("name", "organism", "organism_name", "description", "species"),
+    "accession": ("acc", "accession", "accession_version", "refseq", "accession.version", "ref"),
+    "taxid": ("taxid", "tax_id", "mapped_value", "staxids", "taxon_id", "ncbi_taxid", "species_taxid"),
+    "name": ("name", "description", "desc", "seqname", "sequence_name", "refseq_name", "organism", "org", "species", "scientific_name", "organism_name"),
 }
+#: Lines and characters at the start of a map that tell its dialect.
+HEAD_LINES, HEAD_CHARS = 64, 8_192
 
 
 def read_bedgraph(spark: SparkSession, path: str) -> DataFrame:
@@ -101,17 +103,66 @@ def read_dump(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
     return spark.read.text(path).select(*[F.trim(F.get(p, F.lit(i))).alias(n) for i, n in enumerate(names)])
 
 
+def _cells(line: Column, sep: Column, width: int) -> Column:
+    """The first `width` fields of a delimited line, quoted ones without their quotes; missing and empty ones
+    are null."""
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    one = lambda d: F.from_csv(line, schema, {"sep": d, "quote": '"', "escape": '"'})
+    fields = lambda x: F.array(*[F.trim(x[f"c{i}"]) for i in range(width)])
+    return F.when(sep == "\t", fields(one("\t"))).otherwise(fields(one(",")))
+
+
+def map_dialects(lines: DataFrame, columns: tuple[int, int, int] = (0, 4, 2), widest: int = 256) -> DataFrame:
+    """(file, sep, header, accession, taxid, name) of numbered lines (file, no, v): each file's delimiter,
+    whether its first line names columns, and the positions of the columns.
+
+    The delimiter is a tab if the head of the file has one and at least as many as commas, else a comma. A first
+    line with any known name is a header, and its known names (the last of a kind) set the positions;
+    `columns` are those otherwise. Of each file a bounded head is gathered.
+    """
+    head = lines.where(F.col("no") < HEAD_LINES).groupBy("file").agg(F.sort_array(F.collect_list(F.struct("no", F.substring("v", 1, HEAD_CHARS).alias("v")))).alias("x"))
+    text = F.substring(F.array_join(F.transform("x", lambda r: r["v"]), "\n"), 1, HEAD_CHARS)
+    head = head.select("file", text.alias("t"), F.element_at("x", 1)["v"].alias("first"))
+    count = lambda c: F.length("t") - F.length(F.replace("t", F.lit(c), F.lit("")))
+    head = head.withColumn("sep", F.when((count("\t") > 0) & (count("\t") >= count(",")), "\t").otherwise(","))
+    head = head.withColumn("names", F.transform(_cells(F.col("first"), F.col("sep"), widest), lambda c: F.lower(F.coalesce(c, F.lit("")))))
+    every = [n for names in SYNONYMS.values() for n in names]
+    at = lambda kind, default: F.coalesce(F.array_max(F.transform("names", lambda c, i: F.when(c.isin(*SYNONYMS[kind]), i))), F.lit(default)).alias(kind)
+    return head.select("file", "sep", F.exists("names", lambda c: c.isin(*every)).alias("header"), *[at(k, d) for k, d in zip(SYNONYMS, columns)])
+
+
+def read_accession_maps(spark: SparkSession, path: str, has_header: bool = True, columns: tuple[int, int, int] = (0, 4, 2)) -> DataFrame:
+    """(file, no, accession, taxid, name) of all maps at a path, each by its own dialect; texts, names may be
+    null.
+
+    A first line that names no known column is skipped if `has_header` says so, and is a row else. Rows
+    without an accession or a taxid go, short ones among them; a row without a name stays. A row is one line.
+    """
+    lines = numbered_lines(spark, path)
+    known = materialize(map_dialects(lines, columns), "dialects")
+    width = 1 + (known.agg(F.max(F.greatest(*SYNONYMS))).first()[0] or 0)
+    rows = lines.join(known, "file").where(~((F.col("no") == 0) & (F.col("header") | F.lit(has_header))))
+    rows = rows.withColumn("c", _cells(F.col("v"), F.col("sep"), width))
+    out = rows.select("file", "no", *[F.get("c", F.col(k)).alias(k) for k in SYNONYMS])
+    return out.where((F.col("accession") != "") & (F.col("taxid") != ""))
+
+
+def map_conflicts(rows: DataFrame) -> DataFrame:
+    """(accession, taxids, files) of accessions with several taxids among rows of read_accession_maps."""
+    c = rows.groupBy("accession").agg(F.sort_array(F.collect_set("taxid")).alias("taxids"), F.sort_array(F.collect_set("file")).alias("files"))
+    return c.where(F.size("taxids") > 1)
+
+
+def resolved_map(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((accession, taxid), (taxid, name)): an accession's last row by file and line wins, a taxid's first."""
+    order = F.struct("file", "no")
+    return rows.groupBy("accession").agg(F.max_by("taxid", order).alias("taxid")), rows.groupBy("taxid").agg(F.min_by(F.coalesce("name", F.lit("")), order).alias("name"))
+
+
 def read_accession_map(spark: SparkSession, path: str) -> DataFrame:
-    """(accession, acc_nov, taxid, name) from a table with any known header: the delimiter is a tab if the
-    header has as many tabs as commas, columns are named by their synonyms."""
-    header = spark.read.text(path).first()[0]
-    sep = "\t" if header.count("\t") >= header.count(",") else ","
-    rows = spark.read.csv(path, sep=sep, header=True, quote='"', escape='"')
-    found = {}
-    for want, names in SYNONYMS.items():
-        found[want] = next((F.col(f"`{c}`") for n in names for c in rows.columns if c.strip().lower().replace(" ", "_") == n), F.lit(None).cast("string"))
-    acc = F.trim(found["accession"])
-    return rows.select(acc.alias("accession"), F.regexp_replace(acc, r"\.\d+$", "").alias("acc_nov"), F.trim(found["taxid"]).try_cast("long").alias("taxid"), F.trim(found["name"]).alias("name"))
+    """(accession, acc_nov, taxid, name): read_accession_maps with taxids as numbers and bare accessions."""
+    rows = read_accession_maps(spark, path)
+    return rows.select("accession", F.regexp_replace("accession", r"\.\d+$", "").alias("acc_nov"), F.col("taxid").try_cast("long").alias("taxid"), "name")
 
 
 def read_pathogen_sheet(spark: SparkSession, path: str) -> DataFrame:
