@@ -62,6 +62,34 @@ def masked_coverage(df: DataFrame, key: str, mask: str, bits: int, s: str = "s",
     return runs.groupBy(key).agg(*[covered(i).alias(f"bp{i}") for i in range(bits)])
 
 
+def masked_runs(df: DataFrame, key: str, mask: str, bits: int, s: str = "s", e: str = "e", width: int = BIN) -> DataFrame:
+    """(key, start, end, d0, d1, ..., j0, j1, ...): all stretches between neighbouring starts and ends, with the
+    depth of each bit's rows and whether the stretch is one base without depth between two with.
+
+    One sweep as in depth_runs: ends are summed per position first, a bin's depth and what follows it come from
+    one row per (key, bin).
+    """
+    one = lambda i, sign: F.sum(F.when((F.col("sign") == sign) & (F.col("mask").bitwiseAND(F.lit(1 << i)) != 0), 1).otherwise(0))
+    ends = df.where(F.col(s) < F.col(e)).select(key, F.col(mask).alias("mask"), F.explode(F.array(
+        F.struct(F.col(s).alias("pos"), F.lit(1).alias("sign")), F.struct(F.col(e).alias("pos"), F.lit(-1).alias("sign")))).alias("x")).select(key, "mask", "x.*")
+    each = range(bits)
+    steps = ends.groupBy(key, "pos").agg(*[one(i, 1).alias(f"on{i}") for i in each], *[one(i, -1).alias(f"off{i}") for i in each]).withColumn("bin", F.floor(F.col("pos") / width))
+    by_bin = Window.partitionBy(key).orderBy("bin")
+    ons = F.struct("pos", *[f"on{i}" for i in each])
+    bins = steps.groupBy(key, "bin").agg(*[F.sum(F.col(f"on{i}") - F.col(f"off{i}")).alias(f"n{i}") for i in each], F.min(ons).alias("first"))
+    bins = bins.select(
+        key, "bin", *[F.coalesce(F.sum(f"n{i}").over(by_bin.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(f"b{i}") for i in each], F.lead("first").over(by_bin).alias("after"))
+    inside = Window.partitionBy(key, "bin").orderBy("pos")
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    runs = steps.withColumns({f"r{i}": F.sum(F.col(f"on{i}") - F.col(f"off{i}")).over(upto) for i in each} | {"next": F.lead(ons).over(inside)}).join(bins, [key, "bin"])
+    runs = runs.withColumn("next", F.coalesce("next", "after")).where("next is not null")
+    depth = lambda i: F.col(f"b{i}") + F.col(f"r{i}")
+    short = F.col("next.pos") - F.col("pos") == 1
+    return runs.select(
+        key, F.col("pos").alias("start"), F.col("next.pos").alias("end"), *[depth(i).alias(f"d{i}") for i in each],
+        *[(short & (depth(i) == 0) & (F.col(f"off{i}") > 0) & (F.col(f"next.on{i}") > 0)).alias(f"j{i}") for i in each])
+
+
 def depth_runs(df: DataFrame, key: str, s: str = "s", e: str = "e", width: int = BIN, every: bool = False) -> DataFrame:
     """Runs (key, start, end, depth) of equal positive depth; touching runs of one depth are one, but with
     `every`, which ends a run wherever an interval starts or ends.

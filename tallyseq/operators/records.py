@@ -24,18 +24,21 @@ def reference_records(aln: DataFrame, refs: DataFrame) -> DataFrame:
     """
     rows = cf.best_alignments(aln.select("ref_id", "read_id", "s", "e", "mapq", "score"), "read_id", F.col("mapq") + F.col("score"))
     rows = materialize(rows.withColumn("mask", F.when(F.col("best"), 3).otherwise(1)), "alignments-by-best")
-    covered = iv.masked_coverage(rows, "ref_id", "mask", 2)
-    runs = materialize(iv.depth_runs(rows, "ref_id", every=True), "depth-runs").withColumn("w", F.col("end") - F.col("start"))
-    spread = runs.groupBy("ref_id").agg(F.var_pop(F.col("start") + F.col("w") / 2).alias("spread"))
-    bare = runs.groupBy("ref_id").agg(F.sum("w").alias("w")).join(refs.select("ref_id", "length"), "ref_id").select("ref_id", F.lit(0).cast("bigint").alias("depth"), (F.col("length") - F.col("w")).alias("w"))
-    whole = runs.select("ref_id", F.col("depth").cast("bigint").alias("depth"), "w").unionByName(bare)
-    gini = iv.lorenz_gini(whole, "ref_id", F.log10(1 + F.col("depth")), F.col("w").cast("double"))
+    # by depth: bases, runs and the sums of their middles, and bases covered before and after
+    w, middle, deep = F.col("end") - F.col("start"), (F.col("start") + F.col("end")) / 2, F.col("d0") > 0
+    covered = lambda i: F.sum(F.when((F.col(f"d{i}") > 0) | F.col(f"j{i}"), w).otherwise(0))
+    hist = materialize(iv.masked_runs(rows, "ref_id", "mask", 2).groupBy("ref_id", F.col("d0").alias("depth")).agg(
+        F.sum(w).alias("w"), F.count_if(deep).alias("n"), F.sum(F.when(deep, middle)).alias("m"), F.sum(F.when(deep, middle * middle)).alias("mm"), covered(0).alias("bp0"), covered(1).alias("bp1")), "depth-histogram")
+    mean = F.sum("m") / F.sum("n")
+    whole = hist.groupBy("ref_id").agg(F.sum("bp0").alias("bp0"), F.sum("bp1").alias("bp1"), (F.sum("mm") / F.sum("n") - mean * mean).alias("spread"), F.sum(F.when(F.col("depth") > 0, F.col("w"))).alias("w"))
+    bare = whole.join(refs.select("ref_id", "length"), "ref_id").select("ref_id", F.lit(0).cast("bigint").alias("depth"), (F.col("length") - F.col("w")).alias("w"))
+    gini = iv.lorenz_gini(hist.where("depth > 0").select("ref_id", F.col("depth").cast("bigint").alias("depth"), "w").unionByName(bare), "ref_id", F.log10(1 + F.col("depth")), F.col("w").cast("double"))
     reads = rows.groupBy("ref_id", "read_id").agg(F.bool_or("best").alias("kept")).groupBy("ref_id").agg(F.count("read_id").alias("reads"), F.count_if("kept").alias("reads_kept"))
     parts = rows.groupBy("ref_id", F.floor(F.col("s") / STRETCH).alias("no")).agg(
         F.sum("mapq").alias("mapq"), F.count_if(F.col("mapq") >= HIGH).alias("high"), F.sum(F.col("e") - F.col("s")).alias("bp"), F.count("*").alias("n"))
     parts = parts.groupBy("ref_id").agg(
         (F.sum("mapq") / F.sum("n")).alias("mapq"), (F.sum("high") / F.sum("n")).alias("hmf"), (F.sum("bp") / F.sum("n")).alias("read_length"), F.count("*").alias("contigs_covered"))
-    x = refs.join(reads, "ref_id").join(parts, "ref_id").join(covered, "ref_id").join(spread, "ref_id").join(gini, "ref_id")
+    x = refs.join(reads, "ref_id").join(parts, "ref_id").join(whole.drop("w"), "ref_id").join(gini, "ref_id")
     x = x.crossJoin(F.broadcast(reads.agg(F.sum("reads").alias("_all"))))
     kept = F.col("reads_kept") / F.col("reads")
     out = x.select(

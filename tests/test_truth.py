@@ -49,6 +49,21 @@ def test_sweep_equals_separate_runs(spark):
     assert got["edge"] == (21, 2, 0, 0) and "none" not in got
 
 
+def test_runs_of_masks(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice("ab"), s := rng.randrange(9_000), s + rng.choice([0, 1, 2, 30, 700]), rng.randrange(1, 4)) for _ in range(300)]
+    rows += [("edge", 0, 10, 1), ("edge", 11, 20, 3), ("edge", 22, 23, 3), ("edge", 1024, 1030, 1), ("edge", 1031, 1040, 2)]
+    df = spark.createDataFrame(rows, "k string, s long, e long, m int")
+    runs = intervals.masked_runs(df, "k", "m", 2, width=1 << 10)
+    for i in range(2):
+        w = F.sum(F.when((F.col(f"d{i}") > 0) | F.col(f"j{i}"), F.col("end") - F.col("start")).otherwise(0))
+        own = df.where(f"m & {1 << i} <> 0 and s < e")
+        assert {r.k: r.w for r in runs.groupBy("k").agg(w.alias("w")).collect()} == {r.k: r.covered for r in intervals.covered_length(own, ["k"]).collect()}
+        got = {(r.k, r.start, r.end, r.depth) for r in runs.where(f"d{i} > 0").select("k", "start", "end", F.col(f"d{i}").alias("depth")).collect()}
+        area = lambda x: sorted((k, p, d) for k, a, b, d in x for p in range(a, b))
+        assert area(got) == area({tuple(r) for r in intervals.depth_runs(own, "k").collect()})
+
+
 def test_confusion_of_few_reads(spark):
     reads = spark.createDataFrame([("A_1_1",), ("A_2_2",), ("B_1_1",), ("C_9_9",), ("C_9_9",)], "q string")
     aln = spark.createDataFrame([("A_1_1", "A"), ("A_1_1", "B"), ("A_2_2", "B"), ("B_1_1", "B"), ("B_1_1", "B"), ("other", "A")], "q string, ref string")
