@@ -7,6 +7,7 @@ from pyspark.sql.window import Window
 
 from tallyseq.functions import formulas as fx
 from tallyseq.operators import facets as fc
+from tallyseq.operators import report as rp
 from tallyseq.operators import score as sc
 from tallyseq.plans.base import query
 from tallyseq.plans.q_scores import _SIG, R6
@@ -139,3 +140,33 @@ def described_references(t):
     excluded = [r"phage\s", "^[a-c].*brass$"]
     out = F.coalesce(F.col("text").rlike("|".join(f"(?i:{p})" for p in excluded)), F.lit(False))
     return t.part.select("p_partkey", text.alias("text")).where(~out).select("p_partkey", F.coalesce(F.lower("text").contains("plasmid"), F.lit(False)).alias("is_plasmid"))
+
+
+_ORG = """
+r AS (SELECT sample, segment, organism, genus AS sp, CASE WHEN substr(organism, 7, 1) <= '2' THEN 'G1' ELSE 'G2' END AS top, reads, tass, coverage / 100 AS cov, (100003 + 1000 * site)::BIGINT AS len, floor(coverage * 1200)::BIGINT AS bases, CASE WHEN reads > 10 THEN coverage / 3 END AS depth, high_consequence AS hc, category, domain, kingdom, mol_type FROM view),
+o AS (SELECT sample, 'Strain' AS level, organism AS key, sp, top, organism AS name, segment, reads, tass, cov, len, bases, depth, hc, category, domain, kingdom, mol_type FROM r),
+s AS (SELECT sample, 'Species' AS level, sp AS key, sp, any_value(top) AS top, 'species ' || sp AS name, any_value(segment) AS segment, sum(reads) AS reads, sum(tass * reads) / sum(reads) AS tass, sum(cov * reads) / sum(reads) AS cov, sum(len) AS len, sum(bases) AS bases,
+ coalesce(sum(depth * reads) FILTER (depth IS NOT NULL) / sum(reads) FILTER (depth IS NOT NULL), avg(depth)) AS depth, bool_or(hc) AS hc, arg_min(category, organism) FILTER (category IS NOT NULL) AS category, arg_min(domain, organism) AS domain, arg_min(kingdom, organism) AS kingdom, arg_min(mol_type, organism) FILTER (mol_type IS NOT NULL) AS mol_type FROM r GROUP BY sample, sp),
+g AS (SELECT sample, top AS key, sum(tass * reads) / sum(reads) AS tass FROM r GROUP BY sample, top), t AS (SELECT sample, sum(reads) AS n FROM r GROUP BY sample), u AS (SELECT * FROM o UNION ALL SELECT * FROM s)"""
+
+
+@query("organism_report", "F19 A9", uses="view", sql=f"""WITH {_ORG}
+SELECT u.sample, u.segment AS sample_type, u.level, u.key AS taxid, u.sp AS subkey, u.name, coalesce(u.category, 'Unknown') AS category, coalesce(u.mol_type, '') AS mol_type, u.kingdom, u.domain, round(coalesce(u.depth, 0), 2) AS mean_depth, round(u.tass, 6) AS tass, u.hc AS high_consequence,
+ u.reads::BIGINT AS reads, round(u.reads * 100.0 / t.n, 4) AS pct_reads, round(least(100, u.cov * 100), 1) AS coverage, u.bases::BIGINT AS covered_bases, u.len::BIGINT AS genome_length, round(least(100, u.bases * 100.0 / u.len), 2) AS breadth_pct, round(p.tass, 4) AS species_tass,
+ round(CASE WHEN g.key = 'G1' THEN g.tass ELSE p.tass END, 4) AS genus_tass, p.name AS species_name, CASE WHEN g.key = 'G1' THEN 'genus G1' ELSE p.name END AS genus_name, u.tass >= 50 AS passes_threshold, '' AS status, '' AS ann_class, '' AS phylum, '' AS model, NULL::DOUBLE AS model_pct, 0::DOUBLE AS gini, 0::BIGINT AS k2_reads, false AS ani_annotated
+FROM u JOIN t ON t.sample = u.sample JOIN s p ON p.sample = u.sample AND p.key = u.sp JOIN g ON g.sample = u.sample AND g.key = u.top""")
+def organism_report(t):
+    """Strain and species rows; records of one of the two genera are missing, so the species stands for it."""
+    r = t.view.select(
+        "sample", F.col("segment").alias("sample_type"), F.lit("Strain").alias("level"), F.col("organism").alias("key"), F.col("genus").alias("subkey"), F.when(F.substring("organism", 7, 1) <= "2", "G1").otherwise("G2").alias("toplevelkey"),
+        F.col("organism").alias("name"), "reads", "tass", (F.col("coverage") / 100).alias("coverage"), (100003 + 1000 * F.col("site")).cast("bigint").alias("length"), F.floor(F.col("coverage") * 1200).alias("covered_bases"),
+        F.when(F.col("reads") > 10, F.col("coverage") / 3).alias("mean_depth"), "high_consequence", "category", "domain", "kingdom", "mol_type")
+    fields = dict(sums=["reads", "length", "covered_bases"], means=["tass", "coverage", "mean_depth"], firsts=["category", "domain", "kingdom", "mol_type", "sample_type", "toplevelkey"], anys=["high_consequence"])
+    weighted = r.withColumn("_w", F.col("reads"))
+    species = rp.summarise(weighted, ["sample", "subkey"], "_w", "key", **fields)
+    species = species.withColumns({"level": F.lit("Species"), "key": F.col("subkey"), "name": F.concat(F.lit("species "), "subkey")})
+    genus = rp.summarise(weighted.where("toplevelkey = 'G1'"), ["sample", "toplevelkey"], "_w", "key", means=["tass"]).select("sample", F.col("toplevelkey").alias("key"), "tass", F.concat(F.lit("genus "), "toplevelkey").alias("name"))
+    rows = r.unionByName(species.select(*r.columns)).withColumn("passes_threshold", F.col("tass") >= 50)
+    out = rp.flat_rows(rows, "sample", r.groupBy("sample").agg(F.sum("reads").alias("total_reads")), {"species": species, "genus": genus})
+    columns = "sample sample_type level taxid subkey name category mol_type kingdom domain mean_depth high_consequence reads pct_reads coverage covered_bases genome_length breadth_pct species_tass genus_tass species_name genus_name passes_threshold status ann_class phylum model model_pct gini k2_reads ani_annotated"
+    return out.select(*columns.split(), F.round("tass", 6).alias("tass"))
