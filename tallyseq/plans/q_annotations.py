@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 from tallyseq.functions import formulas as fx
 from tallyseq.functions import places as pl
 from tallyseq.operators import annotations as an
+from tallyseq.operators import intervals as iv
 from tallyseq.operators import shared as sh
 from tallyseq.operators import sketch as sk
 from tallyseq.plans.base import ORACLES, query
@@ -160,3 +161,25 @@ def removal_files(t):
     listed = spark.read.csv(f"{top}/list", sep="\t", schema="ref_id string, read_id long").groupBy("ref_id").agg(F.count("*").alias("listed"))
     book = {name: spark.read.parquet(f"{top}/book/{name}") for name in ("removed", "kept")}
     return book["removed"].join(listed, "ref_id").join(book["kept"], "ref_id", "left").withColumn("kept", F.coalesce("kept", F.lit(0)))
+
+
+@query("running_gini", "E13", sql="""
+WITH v AS (SELECT l_suppkey AS k, l_quantity::DOUBLE AS v, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_quantity) AS i FROM lineitem), c AS (SELECT k, v, i, sum(v) OVER (PARTITION BY k ORDER BY i) AS cum FROM v)
+SELECT k AS l_suppkey, round(CASE WHEN sum(v) > 0 THEN 2 * sum(cum) / (count(*) * sum(v)) - (count(*) + 1) * 1.0 / count(*) ELSE 0 END, 6) AS gini FROM c GROUP BY k""")
+def running_gini(t):
+    """The coefficient by sums of running sums, which weigh the smallest values most: the usual one's negative."""
+    return iv.gini(t.lineitem, "l_suppkey", "l_quantity").select("l_suppkey", F.round(-F.col("gini"), 6).alias("gini"))
+
+
+@query("priority_union", "U6", uses="det", sql="""
+WITH u AS (SELECT sample, organism, tass, 0 AS p, 'high' AS origin FROM det WHERE tass >= 60 UNION ALL SELECT sample, organism, tass + 1, 1, 'covered' FROM det WHERE coverage >= 45 UNION ALL SELECT sample, organism, tass + 2, 2, 'any' FROM det WHERE reads > 2)
+SELECT sample, organism, round(tass, 4) AS tass, origin FROM u QUALIFY row_number() OVER (PARTITION BY sample, organism ORDER BY p) = 1""")
+def priority_union(t):
+    """Rows of several sources, of which the first that has a key gives its row."""
+    d = t.det
+    sources = [("high", d.where("tass >= 60"), 0), ("covered", d.where("coverage >= 45"), 1), ("any", d.where("reads > 2"), 2)]
+    rows = None
+    for no, (name, own, more) in enumerate(sources):
+        own = own.select("sample", "organism", F.struct(F.lit(no).alias("no"), (F.col("tass") + more).alias("tass"), F.lit(name).alias("origin")).alias("x"))
+        rows = own if rows is None else rows.unionByName(own)
+    return rows.groupBy("sample", "organism").agg(F.min("x").alias("x")).select("sample", "organism", F.round("x.tass", 4).alias("tass"), "x.origin")

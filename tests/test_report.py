@@ -41,3 +41,18 @@ def test_places(spark):
     rows = [("country", "The  U.S.A.", ["united states of america"]), ("state", " ca ", ["ca", "california"]), ("state", "São Paulo", ["sao paulo"]), ("city", "us", ["us"]), ("country", None, []), ("state", "dc", ["dc", "district of columbia"])]
     df = spark.createDataFrame(rows, "f string, t string, want array<string>")
     assert [r.k for r in df.select(places.place_keys(F.col("f"), F.col("t")).alias("k")).collect()] == [r[2] for r in rows]
+
+
+def test_main_axes(spark):
+    import numpy as np
+
+    from tallyseq.plans import catalog
+
+    sf_dir = "/root/testdata/sf0.01"
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("label", "embedding").collect()
+    x, labels = np.array([r.embedding for r in rows], float), np.array([r.label for r in rows])
+    _, axes = np.linalg.eigh(np.cov(x.T))
+    along = x @ axes[:, ::-1][:, :2]
+    want = {int(k): np.abs(along[labels == k].mean(axis=0)) for k in np.unique(labels)}
+    for r in catalog.QUERIES["pca2"](spark, sf_dir).collect():
+        assert np.abs(np.array([r.abs_pc1, r.abs_pc2]) - want[r.label]).max() < 2e-4 and r.n == (labels == r.label).sum()
