@@ -115,7 +115,7 @@ p AS (SELECT seq_id, grp, count(*) AS shared FROM r JOIN o USING (hash) GROUP BY
 c AS (SELECT *, row_number() OVER (PARTITION BY seq_id ORDER BY jaccard DESC, grp) AS no FROM j WHERE jaccard >= 0.01)"""
 
 
-@query("region_candidates", "J8", uses="seqs", sql=f"WITH {_REGIONS} SELECT seq_id, grp, round(jaccard, 6) AS jaccard, round(c1, 6) AS containment_region, round(c2, 6) AS containment_organism, row_number() OVER (PARTITION BY seq_id ORDER BY round(c1, 6) DESC, grp) AS place FROM c WHERE no <= 3")
+@query("region_candidates", "J8", uses="seqs", sql=f"WITH {_REGIONS} SELECT seq_id, grp, round(jaccard, 6) AS jaccard, round(c1, 6) AS containment_region, round(c2, 6) AS containment_organism, (row_number() OVER (PARTITION BY seq_id ORDER BY round(c1, 6) DESC, grp))::INT AS place FROM c WHERE no <= 3")
 def region_candidates(t):
     """Regions against organisms: candidates by Jaccard, then the order by containment. Organisms are few."""
     sets = sk.shingle_hashes(t.seqs, ["seq_id", "grp"], "text", 5, scaled=16)

@@ -318,7 +318,7 @@ b AS (SELECT *, max(sc) OVER (PARTITION BY no, read_id) AS top, max(sc) OVER (PA
 e AS (SELECT no, sum((truth = ref_id)::INT) AS total_tp, sum((truth <> ref_id)::INT) AS total_fp, sum((truth = ref_id AND own < top)::INT) AS tp_removed, sum((truth <> ref_id AND own < top)::INT) AS fp_removed FROM b GROUP BY no),
 u AS (SELECT no, count(*) AS n_shared FROM s GROUP BY no),
 y AS (SELECT e.*, t.*, coalesce(n_shared, 0) AS n_shared, total_fp - fp_removed AS fr, tp_removed * 1.0 / total_tp AS lost, total_fp - fp_removed + tp_removed AS score FROM e JOIN t ON t.no = e.no LEFT JOIN u ON u.no = e.no)
-SELECT k AS size, sc AS scaled, wi AS window, st AS step, total_tp::BIGINT AS total_tp, total_fp::BIGINT AS total_fp, tp_removed::BIGINT AS tp_removed, fp_removed::BIGINT AS fp_removed, n_shared::BIGINT AS n_shared, fr::BIGINT AS fp_remaining, round(lost, 6) AS tp_loss, score::DOUBLE AS score,
+SELECT k AS size, sc::BIGINT AS scaled, wi::BIGINT AS window, st::BIGINT AS step, total_tp::BIGINT AS total_tp, total_fp::BIGINT AS total_fp, tp_removed::BIGINT AS tp_removed, fp_removed::BIGINT AS fp_removed, n_shared::BIGINT AS n_shared, fr::BIGINT AS fp_remaining, round(lost, 6) AS tp_loss, score::DOUBLE AS score,
  row_number() OVER (ORDER BY score, no) = 1 AS best, row_number() OVER (ORDER BY score, no) = 1 AND fr = 0 AND lost <= 0.01 AS success FROM y""")
 def sketch_settings(t):
     grid = {"size": [3, 5], "scaled": [4, 16], "window": [40, 80], "step": [20, 40]}
