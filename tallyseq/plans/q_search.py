@@ -89,7 +89,7 @@ def winner_loser_clusters(t):
     return R6(x, ["ref_id", "bucket"], ["rpm_share", "factor", "minhash_shared"])
 
 
-_CUTS = """m AS (SELECT segment, site, domain, tass FROM view WHERE domain <> ''), g AS (SELECT coalesce(segment, 'all') AS segment, coalesce(site::VARCHAR, 'all') AS site, domain, round(avg(tass), 4) AS cutoff, count(*) AS n FROM m GROUP BY GROUPING SETS ((segment, site, domain), (segment, domain), (site, domain), (domain))),
+_CUTS = """m AS (SELECT segment, site, domain, tass FROM view WHERE domain <> ''), g AS (SELECT coalesce(segment, 'all') AS segment, coalesce(site::VARCHAR, 'all') AS site, domain, max(tass) AS cutoff, count(*) AS n FROM m GROUP BY GROUPING SETS ((segment, site, domain), (segment, domain), (site, domain), (domain))),
 k AS (SELECT * FROM g WHERE n >= CASE WHEN segment <> 'all' AND site <> 'all' THEN 30 WHEN site = 'all' AND segment <> 'all' THEN 250 ELSE 1 END)"""
 
 
@@ -100,7 +100,7 @@ FROM s LEFT JOIN k a ON a.segment = s.segment AND a.site = s.site AND a.domain =
 def domain_thresholds(t):
     """Cut-offs per domain, by kind of sample and site, then either alone, then neither; else a default."""
     m = t.view.where("domain <> ''")
-    g = m.groupingSets([["segment", "site", "domain"], ["segment", "domain"], ["site", "domain"], ["domain"]], "segment", "site", "domain").agg(F.round(F.avg("tass"), 4).alias("cutoff"), F.count("*").alias("n"))
+    g = m.groupingSets([["segment", "site", "domain"], ["segment", "domain"], ["site", "domain"], ["domain"]], "segment", "site", "domain").agg(F.max("tass").alias("cutoff"), F.count("*").alias("n"))
     g = g.select(F.coalesce("segment", F.lit("all")).alias("segment"), F.coalesce(F.col("site").cast("string"), F.lit("all")).alias("site"), "domain", "cutoff", "n")
     both, one = (F.col("segment") != "all") & (F.col("site") != "all"), (F.col("site") == "all") & (F.col("segment") != "all")
     dim = g.where(F.col("n") >= F.when(both, 30).when(one, 250).otherwise(1)).drop("n")
