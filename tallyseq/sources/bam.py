@@ -112,40 +112,50 @@ class Header:
     names: list[str]
     lengths: list[int]
     first: int  # virtual offset of the first record
+    packed: bytes = b""  # the header's own blocks, if the first record begins a block
 
     @classmethod
-    def read(cls, path: str) -> Header:
-        data, ends = b"", []
-        for at, payload in blocks(path, 0):
-            ends.append((len(data), at))
+    def read(cls, path: str, like: Header | None = None) -> Header:
+        """A file's header; it isn't parsed if the file begins with the very blocks of the header `like`."""
+        if like is not None and like.packed:
+            file, size = opened(path)
+            with file:
+                if size > len(like.packed) + len(END) and file.read(len(like.packed)) == like.packed:
+                    return like
+        data, ends, state = bytearray(), [], cls([], [], -1)
+        at, left = 0, -1  # where the next reference begins, and how many are to come
+        for block, payload in blocks(path, 0):
+            ends.append((len(data), block))
             data += payload
-            if (parsed := cls._parse(data)) is not None:
-                names, lengths, size = parsed
-                if size < len(data):
-                    start, at = max(x for x in ends if x[0] <= size)
-                    return cls(names, lengths, at << 16 | size - start)
-        parsed = cls._parse(data)
-        if parsed is None:
+            at, left = state._parse(data, at, left)
+            if left == 0 and at < len(data):
+                start, block = max(x for x in ends if x[0] <= at)
+                state.first = block << 16 | at - start
+                if at == start:
+                    file, _ = opened(path)
+                    with file:
+                        state.packed = file.read(block)
+                return state
+        if left:
             raise ValueError(f"{path}: no alignment header")
-        return cls(*parsed[:2], -1)
-
-    @staticmethod
-    def _parse(data: bytes) -> tuple[list[str], list[int], int] | None:
-        if len(data) < 12:
-            return None
-        if data[:4] != b"BAM\x01":
-            raise ValueError("not a binary alignment file")
-        at = 8 + struct.unpack_from("<i", data, 4)[0]
-        if len(data) < at + 4:
-            return None
-        n, at, names, lengths = struct.unpack_from("<i", data, at)[0], at + 4, [], []
-        for _ in range(n):
-            if len(data) < at + 4 or len(data) < at + 8 + (size := struct.unpack_from("<i", data, at)[0]):
-                return None
-            names.append(data[at + 4: at + 3 + size].decode())
-            lengths.append(struct.unpack_from("<i", data, at + 4 + size)[0])
-            at += 8 + size
-        return names, lengths, at
+        return state
+
+    def _parse(self, data: bytearray, at: int, left: int) -> tuple[int, int]:
+        """Take the references that data holds whole from `at` on; -1 are left before their number is known."""
+        if left < 0:
+            if len(data) < 12:
+                return at, left
+            if data[:4] != b"BAM\x01":
+                raise ValueError("not a binary alignment file")
+            at = 8 + struct.unpack_from("<i", data, 4)[0]
+            if len(data) < at + 4:
+                return 0, -1
+            left, at = struct.unpack_from("<i", data, at)[0], at + 4
+        while left and len(data) >= at + 4 and len(data) >= at + 8 + (size := struct.unpack_from("<i", data, at)[0]):
+            self.names.append(data[at + 4: at + 3 + size].decode())
+            self.lengths.append(struct.unpack_from("<i", data, at + 4 + size)[0])
+            at, left = at + 8 + size, left - 1
+        return at, left
 
 
 def packed_header(references: list[tuple[str, int]]) -> bytes:
@@ -327,35 +337,39 @@ def decode(data: bytes, starts: np.ndarray, names: list[str], full: bool):
 
 class Index:
     """Bins and linear windows of a file (BAI): bins[ref][bin] is a list of (begin, end), linear[ref] a list of
-    offsets; all offsets are virtual, of blocks in the upper bits and of content in the lower sixteen."""
+    offsets; all offsets are virtual, of blocks in the upper bits and of content in the lower sixteen. Only
+    references with records are held, as a file of a folder has few of all `n`."""
 
     def __init__(self, n: int):
-        self.bins: list[dict[int, list[list[int]]]] = [{} for _ in range(n)]
-        self.linear: list[list[int]] = [[] for _ in range(n)]
+        self.n = n
+        self.bins: dict[int, dict[int, list[list[int]]]] = {}
+        self.linear: dict[int, list[int]] = {}
         self.no_place = 0
 
     def add(self, ref: int, start: int, end: int, begin: int, after: int) -> None:
         if ref < 0:
             self.no_place += 1
             return
-        chunks = self.bins[ref].setdefault(bin_of(start, end), [])
+        chunks = self.bins.setdefault(ref, {}).setdefault(bin_of(start, end), [])
         if chunks and chunks[-1][1] >> 16 == begin >> 16:
             chunks[-1][1] = after
         else:
             chunks.append([begin, after])
-        windows = self.linear[ref]
+        windows = self.linear.setdefault(ref, [])
         for w in range(start >> WINDOW, (end - 1 >> WINDOW) + 1):
             windows.extend([0] * (w + 1 - len(windows)))
             windows[w] = windows[w] or begin
 
     def pack(self) -> bytes:
-        out = b"BAI\x01" + struct.pack("<i", len(self.bins))
-        for bins, windows in zip(self.bins, self.linear):
-            out += struct.pack("<i", len(bins))
+        out, upto = [b"BAI\x01" + struct.pack("<i", self.n)], 0
+        for ref in sorted(self.bins.keys() | self.linear.keys()):
+            bins, windows = self.bins.get(ref, {}), self.linear.get(ref, [])
+            out += [bytes(8 * (ref - upto)), struct.pack("<i", len(bins))]  # two zeros for each without records
             for b, chunks in bins.items():
-                out += struct.pack("<Ii", b, len(chunks)) + b"".join(struct.pack("<QQ", *c) for c in chunks)
-            out += struct.pack("<i", len(windows)) + struct.pack(f"<{len(windows)}Q", *windows)
-        return out + struct.pack("<Q", self.no_place)
+                out += [struct.pack("<Ii", b, len(chunks)), *(struct.pack("<QQ", *c) for c in chunks)]
+            out.append(struct.pack("<i", len(windows)) + struct.pack(f"<{len(windows)}Q", *windows))
+            upto = ref + 1
+        return b"".join([*out, bytes(8 * (self.n - upto)), struct.pack("<Q", self.no_place)])
 
     @classmethod
     def read(cls, path: str) -> Index | None:
@@ -366,27 +380,32 @@ class Index:
             return None
         with file:
             data = file.read()
-        out, at = cls(struct.unpack_from("<i", data, 4)[0]), 8
-        for ref in range(len(out.bins)):
+        out, at, ref, none = cls(struct.unpack_from("<i", data, 4)[0]), 8, 0, bytes(8)
+        while ref < out.n:
+            if data[at: at + 8] == none:
+                at, ref = at + 8, ref + 1
+                continue
             n, at = struct.unpack_from("<i", data, at)[0], at + 4
             for _ in range(n):
                 (b, k), at = struct.unpack_from("<Ii", data, at), at + 8
                 if b < 37_450:  # the last one holds counts, not places
-                    out.bins[ref][b] = [list(struct.unpack_from("<QQ", data, at + 16 * i)) for i in range(k)]
+                    out.bins.setdefault(ref, {})[b] = [list(struct.unpack_from("<QQ", data, at + 16 * i)) for i in range(k)]
                 at += 16 * k
             n, at = struct.unpack_from("<i", data, at)[0], at + 4
-            out.linear[ref], at = list(struct.unpack_from(f"<{n}Q", data, at)), at + 8 * n
+            if n:
+                out.linear[ref] = list(struct.unpack_from(f"<{n}Q", data, at))
+            at, ref = at + 8 * n, ref + 1
         return out
 
     def chunks(self, ref: int, start: int, end: int) -> list[tuple[int, int]]:
         """Disjoint ranges that hold all records of a reference that overlap [start, end)."""
-        windows = self.linear[ref]
+        windows = self.linear.get(ref, [])
         least = next((x for x in windows[start >> WINDOW:] if x), None) if start >> WINDOW < len(windows) else None
         if start >> WINDOW < len(windows) and windows[start >> WINDOW]:
             least = windows[start >> WINDOW]
         out: list[list[int]] = []
         wanted = bins_over(start, min(end, 1 << 29))
-        for begin, after in sorted(tuple(c) for b, own in self.bins[ref].items() if b in wanted for c in own if least is None or c[1] > least):
+        for begin, after in sorted(tuple(c) for b, own in self.bins.get(ref, {}).items() if b in wanted for c in own if least is None or c[1] > least):
             begin = max(begin, least or 0)
             if out and begin >> 16 <= out[-1][1] >> 16:
                 out[-1][1] = max(out[-1][1], after)
@@ -396,11 +415,11 @@ class Index:
 
     def places(self) -> list[int]:
         """Offsets at which records begin, in order."""
-        return sorted({c[0] for bins in self.bins for own in bins.values() for c in own} | {x for w in self.linear for x in w if x})
+        return sorted({c[0] for bins in self.bins.values() for own in bins.values() for c in own} | {x for w in self.linear.values() for x in w if x})
 
     def last(self) -> int:
         """Where records without a place begin."""
-        return max((c[1] for bins in self.bins for own in bins.values() for c in own), default=0)
+        return max((c[1] for bins in self.bins.values() for own in bins.values() for c in own), default=0)
 
 
 # ---- the source
@@ -468,10 +487,11 @@ class BamReader(DataSourceReader):
             yield f
 
     def partitions(self) -> list[Part]:
-        out = []
+        out, header = [], None
         for path in files_of(self.path):
-            header, index = Header.read(path), Index.read(path)
-            _, size = opened(path)
+            header, index = Header.read(path, header), Index.read(path)  # files of one write have one header
+            file, size = opened(path)
+            file.close()
             if header.first < 0:
                 continue
             whole = size << 16
@@ -481,7 +501,7 @@ class BamReader(DataSourceReader):
             places = index.places()
             narrow = self.refs is not None or self.start > 0 or self.end < 1 << 29
             if narrow and self.start < self.end:
-                refs = [i for i, n in enumerate(header.names) if self.refs is None or n in self.refs]
+                refs = [i for i in sorted(index.bins) if self.refs is None or header.names[i] in self.refs]
                 # a read without bases on the reference counts as one base long, hence one base more
                 chunks = sorted(c for i in refs for c in index.chunks(i, max(0, self.start - 1), self.end))
             else:
@@ -607,8 +627,8 @@ def write_bam(rows, path: str, references: list[tuple[str, int]]) -> None:
     from pyspark.sql import functions as F
 
     rows.sparkSession.dataSource.register(BamSource)
-    order = F.create_map(*[F.lit(x) for i, (n, _) in enumerate(references) for x in (n, i)]) if references else None
-    place = F.coalesce(F.try_element_at(order, F.col("ref_id")), F.lit(len(references))) if references else F.lit(0)
-    at = F.when(place < len(references), F.col("s")).otherwise(-1)
-    ranged = rows.withColumn("_ref", place).withColumn("_at", at).repartitionByRange("_ref", "_at", F.xxhash64("read_id")).sortWithinPartitions("_ref", "_at").drop("_ref", "_at")
+    numbers = rows.sparkSession.createDataFrame([(n, i) for i, (n, _) in enumerate(references)], "ref_id string, _ref int")
+    rows = rows.join(F.broadcast(numbers), "ref_id", "left").withColumn("_ref", F.coalesce("_ref", F.lit(len(references))))
+    at = F.when(F.col("_ref") < len(references), F.col("s")).otherwise(-1)
+    ranged = rows.withColumn("_at", at).repartitionByRange("_ref", "_at", F.xxhash64("read_id")).sortWithinPartitions("_ref", "_at").drop("_ref", "_at")
     ranged.write.format("bam").option("references", ",".join(f"{n}:{k}" for n, k in references)).mode("append").save(path)

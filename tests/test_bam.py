@@ -133,3 +133,26 @@ def test_unsorted_rows_are_refused(tmp_path):
     rows = [{"read_id": "a", "ref_id": "r1", "s": s, "mapq": 1, "flag": 0} for s in (5, 4)]
     with pytest.raises(ValueError, match="sorted"):
         writer.write(iter([pa.RecordBatch.from_pylist(rows)]))
+
+
+def test_many_references(spark, tmp_path):
+    """Numbering, header and index of a folder whose files hold few of very many references."""
+    import time
+
+    refs = [(f"r{i}", 1_000) for i in range(20_000)]
+    rows = [(f"q{i}", f"r{i * 37 % 20_100}", i % 900, 9, 0, "10M" if i * 37 % 20_100 < 20_000 else None, None, None, None, i) for i in range(3_000)]
+    began, path = time.time(), str(tmp_path / "many")
+    bam.write_bam(spark.createDataFrame(rows, KIND), path, refs)
+    known = [r if int(r[1][1:]) < 20_000 else (r[0], None, None, *r[3:]) for r in rows]
+    assert got(bam.read_bam(spark, path)) == expected(known)
+    first, *others = bam.files_of(path)
+    header = bam.Header.read(first)
+    assert header.names == [n for n, _ in refs] and all(bam.Header.read(f, header) is header for f in others)
+    index = bam.Index(300_000)
+    for ref in (5, 299_998):
+        index.add(ref, 10, 20, 100 << 16, 100 << 16 | 50)
+    assert len(index.pack()) == 8 + 8 * 300_000 + 2 * 32 + 8
+    (tmp_path / "x.bai").write_bytes(index.pack())
+    back = bam.Index.read(str(tmp_path / "x"))
+    assert (back.n, back.bins, back.linear) == (index.n, index.bins, index.linear)
+    assert time.time() - began < 60
