@@ -1,5 +1,6 @@
 """Every query of the library against its DuckDB twin on small tables."""
 
+import duckdb
 import pytest
 
 import compare
@@ -43,3 +44,14 @@ def test_entry(spark):
 
     assert e.entry(spark).count() == 10
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_long_references_in_more_than_twenty_parts(spark, tmp_path):
+    """The twin's longest part is that of the first twenty; here only a later one is longer."""
+    con = duckdb.connect()
+    for t, text in (("supplier", "SELECT unnest([501::BIGINT, 7]) AS s_suppkey, 1 AS s_nationkey"), ("nation", "SELECT 1 AS n_nationkey, 2 AS n_regionkey")):
+        con.execute(f"COPY ({text}) TO '{tmp_path}/{t}.parquet'")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet'")
+    got = catalog.QUERIES["sequence_windows"](spark, str(tmp_path)).select("ref_id", "n_windows", "last_end", "n_parts", "longest_part").collect()
+    assert sorted(tuple(r) for r in got) == sorted(con.execute(catalog.ORACLES["sequence_windows"]).fetchall())
+    assert max(r.n_parts for r in got) == 21
