@@ -119,3 +119,9 @@ def test_default_row_may_be_missing(spark):
     df = spark.createDataFrame([("a",), ("b",)], "k string")
     dim = spark.createDataFrame([("a", 1.0)], "x string, v double")
     assert {r.k: r.out for r in sc.first_match(df, dim, [[("k", "x")], []], "v", "out").collect()} == {"a": 1.0, "b": None}
+
+
+def test_rounding_of_the_scaled_number(spark):
+    """0.588235 and 1.005 lie a little below the half that their shortest decimal forms show."""
+    for x, digits, want in ((0.588235, 5, 0.58823), (1.005, 2, 1.0), (0.125, 2, 0.13), (-0.125, 2, -0.13), (0.62449, 5, 0.62449)):
+        assert value(spark, fx.round_scaled(F.lit(x), digits)) == want
