@@ -37,8 +37,10 @@ def write_fasta(df: DataFrame, path: str, name: str, sequence: str, width: int =
 
 
 def write_by_key(df: DataFrame, path: str, key: str, kind: str = "parquet") -> None:
-    """A folder of files per key; rows of a key are gathered first, so no task writes to every folder."""
-    df.repartition(key).write.partitionBy(key).format(kind).save(path)
+    """A folder of files per key, in ranges of (key, hash of the row): a task writes to the folders of few
+    neighbouring keys, and a key of many rows takes as many tasks as it needs."""
+    row = F.xxhash64(*[c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind])
+    df.repartitionByRange(F.col(key), row).write.partitionBy(key).format(kind).save(path)
 
 
 def write_sorted(df: DataFrame, path: str, ref: str = "ref_id", start: str = "s") -> None:

@@ -51,3 +51,19 @@ def test_parents_at_any_depth_and_over_splits(spark, tmp_path):
 def test_feature_table(spark, tmp_path):
     path = _file(tmp_path / "f.tsv", "# feature\tgenomic_accession\tstart\tend\tname\ngene\ta\t1\t5\tx\nCDS\ta\t2\t9\ty\n")
     assert [tuple(r) for r in readers.read_feature_table(spark, path).collect()] == [("a", 2, 9, "y")]
+
+
+def test_a_hot_key_is_written_by_several_tasks(spark, tmp_path):
+    from tallyseq.sources import writers
+
+    rows = spark.range(20_000).selectExpr("id", "if(id % 100 = 0, cast(id % 700 as string), 'hot') AS k", "map('a', id) AS m")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        writers.write_by_key(rows, str(tmp_path / "k"), "k")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    back = spark.read.parquet(str(tmp_path / "k"))
+    assert back.where("k = 'hot'").count() == 19_800 and back.count() == 20_000 and back.select("id").distinct().count() == 20_000
+    files = [r["count"] for r in back.where("k = 'hot'").groupBy("_metadata.file_path").count().collect()]
+    assert len(files) >= 3 and max(files) < 9_000
+    assert back.where("k <> 'hot'").select("_metadata.file_path").distinct().count() <= 7 + 4  # small keys aren't scattered
