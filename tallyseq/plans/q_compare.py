@@ -101,7 +101,10 @@ r AS (SELECT record, key, trim(value) AS v FROM x WHERE lower(trim(value)) NOT I
 s AS (SELECT key, count(DISTINCT v) AS d, count(DISTINCT record) AS f, count(*) AS cells, sum(CASE WHEN try_cast(v AS DOUBLE) IS NOT NULL THEN 1 ELSE 0 END) AS num, avg(length(v)) AS chars, avg(len(string_split(v, ' '))) AS words, key IN ('platform', 'sampling_site') AS preferred FROM r GROUP BY key)
 SELECT key, d AS n_values, f AS filled, preferred FROM s WHERE d >= 2 AND NOT (d > 50 AND d > f / 2) AND NOT (num * 10 >= cells * 9 AND d > 12) AND (preferred OR (NOT (f >= 4 AND d * 10 >= f * 9) AND words <= 2.5 AND chars <= 32))""")
 def groupable_columns(t):
-    c = t.customer.join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    # a small file is one task, which would hold the different values of all its cells: rows are dealt out first,
+    # to a fixed number of tasks, since few bytes would be joined to one again
+    n = int(t.customer.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    c = t.customer.select("c_custkey", "c_nationkey").repartition(n, "c_custkey").join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))
     cells = F.explode(F.array(*[F.struct(F.lit(k).alias("key"), F.expr(v).alias("value")) for k, v in _CELLS.items()]))  # one pass for all columns
     rows = c.select(F.col("c_custkey").alias("record"), cells.alias("c")).select("record", "c.key", "c.value")
     return cm.groupable_columns(rows, "record", "key", "value", ["platform", "sampling_site"])

@@ -55,3 +55,8 @@ def test_long_references_in_more_than_twenty_parts(spark, tmp_path):
     got = catalog.QUERIES["sequence_windows"](spark, str(tmp_path)).select("ref_id", "n_windows", "last_end", "n_parts", "longest_part").collect()
     assert sorted(tuple(r) for r in got) == sorted(con.execute(catalog.ORACLES["sequence_windows"]).fetchall())
     assert max(r.n_parts for r in got) == 21
+
+
+def test_cells_of_a_small_file_are_made_in_several_tasks(spark):
+    rows = catalog.QUERIES["groupable_columns"](spark, SF)
+    assert "REPARTITION_BY_NUM" in rows._jdf.queryExecution().executedPlan().toString()
