@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyseq.functions import formulas as fx
 from tallyseq.operators import intervals as iv
 from tallyseq.operators import truth as tr
 from tallyseq.plans.base import STAND_INS, query
@@ -50,7 +51,7 @@ def _shares() -> list:
     share, known = F.col("tp0") / F.col("n"), F.col("tp0") + F.col("fp0")
     precision = F.when(known > 0, F.col("tp0") / known).otherwise(0.0)
     f1 = F.when(F.col("tp0") > 0, 2 * precision * share / (precision + share)).otherwise(0.0)
-    return [F.round(share, 6).alias("proportion"), F.round(precision, 6).alias("precision"), F.round(f1, 6).alias("f1")]
+    return [fx.round_scaled(share, 6).alias("proportion"), fx.round_scaled(precision, 6).alias("precision"), fx.round_scaled(f1, 6).alias("f1")]
 
 
 @query("removal_levels", "A4 A5 A16", uses="named", sql=f"""WITH {_KEPT}
@@ -58,7 +59,7 @@ SELECT ref, n, n1::BIGINT AS n1, n2::BIGINT AS n2, n3::BIGINT AS n3, bp0::BIGINT
  round(100.0 * bp3 / length, 6) AS breadth3, tp0::BIGINT AS tp0, fp0::BIGINT AS fp0, tp1::BIGINT AS tp1, fp1::BIGINT AS fp1, fn1::BIGINT AS fn1, {_SHARES} FROM z""")
 def removal_levels(t):
     counts = [f"{x}{i}" for x, at in (("n", (1, 2, 3)), ("bp", (0, 1, 2, 3)), ("tp", (0, 1)), ("fp", (0, 1)), ("fn", (1,))) for i in at]
-    return _levels(t).select("ref", "n", *counts, *[F.round(100.0 * F.col(f"bp{i}") / F.col("length"), 6).alias(f"breadth{i}") for i in range(4)], *_shares())
+    return _levels(t).select("ref", "n", *counts, *[fx.round_scaled(100.0 * F.col(f"bp{i}") / F.col("length"), 6).alias(f"breadth{i}") for i in range(4)], *_shares())
 
 
 @query("taxon_rollup", "A6 A7 A8", uses="named", sql=f"""WITH {_KEPT},
@@ -77,7 +78,7 @@ def taxon_rollup(t):
         *[(F.sum(100.0 * F.col(f"bp{i}") / F.col("length") * F.col("length")) / F.sum("length")).alias(f"b{i}") for i in (0, 1)],
         F.least(F.lit(1.0), F.sum("bp2") / F.sum("length")).alias("union"), (F.sum("n2") / F.sum("n")).alias("kept"))
     mapq = t.named.groupBy(F.col("species").cast("string").alias("taxon")).agg(F.avg("mapq").alias("mapq"))  # weighted by reads
-    six = lambda c, name: F.round(c, 6).alias(name)
+    six = lambda c, name: fx.round_scaled(c, 6).alias(name)
     removed = (F.col("n") - F.col("n1")).alias("removed")
     rows = x.join(mapq, "taxon").select(
         "taxon", "accessions", *counts, removed, six(100.0 * (F.col("n") - F.col("n1")) / F.col("n"), "removed_pct"), six(F.col("b0"), "breadth_before"), six(F.col("b1"), "breadth_after"),
