@@ -32,15 +32,16 @@ c AS (SELECT ref, ref_id, species, genus, length, count(*) AS n, sum((t1 = top):
 z AS (SELECT c.* REPLACE (coalesce(tp0, 0) AS tp0, coalesce(fp0, 0) AS fp0, coalesce(tp1, 0) AS tp1, coalesce(fp1, 0) AS fp1, coalesce(fn1, 0) AS fn1), bp0, bp1, bp2, bp3 FROM c JOIN b USING (ref_id))"""
 
 
-def _levels(t):
-    """Per reference: alignments, what stays at three levels, bases covered by each, and truth before and after."""
+def _levels(t, how="inner"):
+    """Per reference: alignments, what stays at three levels, bases covered by each, and truth before and after.
+    References without a covered base go, unless `how` is left."""
     masked = materialize(tr.keep_masks(t.named, "read_id", "ref_id", ["ref_id", "species", "genus"], F.col("mapq") + F.col("score")), "masked")
     kept = lambda i: F.col("mask").bitwiseAND(F.lit(1 << i)) != 0
     right = F.col("_gt") == F.col("ref")
     n = masked.withColumn("_gt", tr.truth_of(F.col("read_id"), "parts")).groupBy("ref", "ref_id", "species", "genus", "length").agg(
-        F.count("*").alias("n"), *[F.count_if(kept(i)).alias(f"n{i}") for i in (1, 2, 3)], F.count_if(right).alias("tp0"), F.count_if(~right).alias("fp0"),
+        F.count("*").alias("n"), F.sum("mapq").alias("mapq"), *[F.count_if(kept(i)).alias(f"n{i}") for i in (1, 2, 3)], F.count_if(right).alias("tp0"), F.count_if(~right).alias("fp0"),
         F.count_if(right & kept(1)).alias("tp1"), F.count_if(~right & kept(1)).alias("fp1"), F.count_if(right & ~kept(1)).alias("fn1"))
-    return n.join(iv.masked_coverage(masked, "ref_id", "mask", 4), "ref_id")
+    return n.join(iv.masked_coverage(masked, "ref_id", "mask", 4), "ref_id", how)
 
 
 _SHARES = "round(tp0 * 1.0 / n, 6) AS proportion, round(CASE WHEN tp0 + fp0 > 0 THEN tp0 * 1.0 / (tp0 + fp0) ELSE 0 END, 6) AS precision, round(CASE WHEN tp0 > 0 THEN 2 * (tp0 * 1.0 / (tp0 + fp0)) * (tp0 * 1.0 / n) / (tp0 * 1.0 / (tp0 + fp0) + tp0 * 1.0 / n) ELSE 0 END, 6) AS f1"
@@ -70,14 +71,15 @@ SELECT species::VARCHAR AS taxon, accessions, length::BIGINT AS length, n::BIGIN
  round(b0, 6) AS breadth_before, round(b1, 6) AS breadth_after, round(b1 / b0, 6) AS breadth_ratio, round(union_breadth, 6) AS union_breadth, round(retention, 6) AS retention, round(mapq, 6) AS mapq, {_SHARES} FROM x JOIN w USING (species)
 UNION ALL SELECT 'Total', '', sum(length)::BIGINT, sum(n)::BIGINT, sum(n1)::BIGINT, sum(n - n1)::BIGINT, sum(tp0)::BIGINT, sum(fp0)::BIGINT, sum(tp1)::BIGINT, sum(fp1)::BIGINT, sum(fn1)::BIGINT, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM z""")
 def taxon_rollup(t):
-    z = materialize(_levels(t), "levels")
+    every = materialize(_levels(t, "left"), "levels")
+    z = every.where("bp0 is not null")
     counts = ["length", "n", "n1", "tp0", "fp0", "tp1", "fp1", "fn1"]
     total = z.agg(*[F.sum(c).alias(c) for c in counts]).select(F.lit("Total").alias("taxon"), F.lit("").alias("accessions"), *counts)
     x = z.groupBy(F.col("species").cast("string").alias("taxon")).agg(
         F.array_join(F.sort_array(F.collect_list("ref")), "; ").alias("accessions"), *[F.sum(c).alias(c) for c in counts],
         *[(F.sum(100.0 * F.col(f"bp{i}") / F.col("length") * F.col("length")) / F.sum("length")).alias(f"b{i}") for i in (0, 1)],
         F.least(F.lit(1.0), F.sum("bp2") / F.sum("length")).alias("union"), (F.sum("n2") / F.sum("n")).alias("kept"))
-    mapq = t.named.groupBy(F.col("species").cast("string").alias("taxon")).agg(F.avg("mapq").alias("mapq"))  # weighted by reads
+    mapq = every.groupBy(F.col("species").cast("string").alias("taxon")).agg((F.sum("mapq") / F.sum("n")).alias("mapq"))  # weighted by reads
     six = lambda c, name: fx.round_scaled(c, 6).alias(name)
     removed = (F.col("n") - F.col("n1")).alias("removed")
     rows = x.join(mapq, "taxon").select(

@@ -252,3 +252,29 @@ def test_clusters_take_every_shared_read(spark):
     df = spark.createDataFrame(rows, "read_id long, ref_id long")
     got = {r.node: r.component for r in conflict.read_clusters(df).collect()}
     assert got == {ref: min(g) for ref, g in group.items() if len(g) > 1}
+
+
+def test_components_of_reads_without_their_pairs(spark):
+    """A read on 3,000 references links them by as many rows; its pairs would be 4.5 million."""
+    from tallyseq.operators import conflict
+
+    wide = spark.range(3_000).selectExpr("1L as read_id", "id as ref_id")
+    rest = spark.createDataFrame([(2, 5_000), (2, 5_000), (3, 6_000), (3, 6_001), (4, 6_001), (4, 7_000), (None, 8_000), (None, 8_001), (5, None), (5, 2)], "read_id long, ref_id long")
+    aln = wide.unionByName(rest)
+    links = conflict.read_clusters(aln)
+    want = {x: 0 for x in range(3_000)} | {6_000: 6_000, 6_001: 6_000, 7_000: 6_000, 8_000: 8_000, 8_001: 8_000}
+    assert {r.node: r.component for r in links.collect()} == want
+    pairs = conflict.read_clusters(rest, min_shared=2)
+    assert pairs.count() == 0
+
+
+def test_sums_of_ends_are_shuffled_once(spark):
+    from tallyseq.operators import intervals
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.createDataFrame([("a", 1, 9, 3)], "k string, s long, e long, m int")
+        for out in (intervals.masked_coverage(df, "k", "m", 2), intervals.masked_runs(df, "k", "m", 2), intervals.depth_runs(df, "k")):
+            assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
