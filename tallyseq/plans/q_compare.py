@@ -8,6 +8,7 @@ from tallyseq.operators import compare as cm
 from tallyseq.operators import intervals as iv
 from tallyseq.operators import segment as sg
 from tallyseq.plans.base import query
+from tallyseq.session import materialize
 
 R = lambda c, n=6: F.round(c, n).alias(c)
 _quoted = lambda words: ", ".join(f"'{w}'" for w in words)
@@ -187,6 +188,6 @@ def hierarchy_sums(t):
 @query("spread_segments", "W9", uses="aln", sql=None)
 def spread_segments(t):
     """Segments of a reference's depth by the three rules; each depends on all before it, so no SQL."""
-    runs = iv.depth_runs(t.aln, "ref_id")
+    runs = materialize(iv.depth_runs(t.aln, "ref_id"), "depth-runs")  # read four times
     out = [sg.merged_runs(runs, "ref_id", m, limit, gap=1000).withColumn("method", F.lit(m)) for m, limit in (("jump", sg.default_jump(runs, "ref_id", "depth")), ("variance", 2.0), ("gini", 0.2))]
     return out[0].unionByName(out[1]).unionByName(out[2])
