@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from tallyseq.operators import setjoin as sj
 from tallyseq.operators import sketch as sk
+from tallyseq.session import materialize
 
 
 def confusion(df: DataFrame, keys: list[str], truth: Column, called: Column) -> DataFrame:
@@ -66,12 +67,16 @@ def grid_loss(df: DataFrame, parts: list[str], truth: Column, steps: int, ridge:
 
 
 def sketch_sweep(df: DataFrame, key: str, group: str, text: str, sizes: tuple[int, ...], scaled: tuple[int, ...], threshold: float) -> DataFrame:
-    """(size, scaled, n_pairs, n_rows) for every sketch setting: pairs found and rows they would remove."""
+    """(size, scaled, n_pairs, n_rows) for every sketch setting: pairs found and rows they would remove.
+
+    Texts are hashed once, in the finest sample: a coarser one is a filter on the hash. Pairs are only counted.
+    """
+    cells = materialize(sk.shingle_cells(df, [key, group], text, list(sizes), min(scaled)), "sweep-hashes")
     out = None
     for size in sizes:
         for s in scaled:
-            pairs = sj.similar_pairs(sk.shingle_hashes(df, [key, group], text, size, s), key, group, threshold)
-            row = pairs.agg(F.count("*").alias("n_pairs"), F.countDistinct("q").alias("n_rows")).select(F.lit(size).alias("size"), F.lit(s).alias("scaled"), "n_pairs", "n_rows")
+            sets = cells.where((F.col("size") == size) & (F.col("hash") < (1 << 60) // s)).select(key, group, "hash")
+            row = sj.pair_counts(sets, key, group, threshold).select(F.lit(size).alias("size"), F.lit(s).alias("scaled"), "n_pairs", "n_rows")
             out = row if out is None else out.unionByName(row)
     return out
 
