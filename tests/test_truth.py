@@ -6,7 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tallyseq.operators import intervals, truth
+from tallyseq.operators import intervals, records, truth
 from tallyseq.plans import catalog
 
 
@@ -102,3 +102,26 @@ def test_breadths_round_as_the_twin_does(spark, tmp_path):
     got, want = rows.select(*[d[0] for d in twin.description]).collect(), twin.fetchall()
     assert got[0].bp0 == 16_974
     assert [tuple(r) for r in got] == want
+
+
+def test_runs_cross_bins_and_gaps_of_one_base_are_seen_there(spark):
+    rows = [("a", 10, 16, 3), ("a", 17, 40, 1), ("a", 33, 48, 2), ("a", 49, 60, 3), ("a", 80, 96, 1), ("a", 97, 99, 3), ("a", 5, 5, 3), (None, 1, 9, 3), ("b", 0, 16, 2), ("b", 17, 20, 2)]
+    df = spark.createDataFrame(rows, "k string, s long, e long, m int")
+    got = {(r.k, r.start): (r.end, r.d0, r.d1, r.j0, r.j1) for r in intervals.masked_runs(df, "k", "m", 2, width=16).collect()}
+    want = {}
+    for k in ("a", "b"):
+        own = [r for r in rows if r[0] == k and r[1] < r[2]]
+        at = sorted({p for r in own for p in r[1:3]})
+        for p, q in zip(at, at[1:]):
+            d = [sum(r[1] <= p < r[2] and r[3] >> i & 1 for r in own) for i in (0, 1)]
+            j = [q - p == 1 and not d[i] and any(r[2] == p and r[3] >> i & 1 for r in own) and any(r[1] == q and r[3] >> i & 1 for r in own) for i in (0, 1)]
+            want[k, p] = (q, *d, *j)
+    assert got == want and any(x[3] for x in want.values()) and any(x[4] for x in want.values())
+
+
+def test_records_count_reads_in_one_pass_over_alignments(spark):
+    aln = [(1, 1, 0, 50, 10, 5), (1, 1, 60, 99, 20, 9), (2, 1, 10, 70, 20, 9), (1, 2, 5, 30, 1, 1), (2, 2, 6, 30, 2, 2), (2, 3, 0, 90, 0, 0), (1, None, 3, 20, 4, 4), (2, None, 3, 20, 4, 4)]
+    df = spark.createDataFrame(aln, "ref_id long, read_id long, s long, e long, mapq int, score long")
+    refs = spark.createDataFrame([(1, 100, 1, 1, False), (2, 100, 1, 1, False)], "ref_id long, length long, species int, genus int, is_plasmid boolean")
+    got = {r.ref_id: (r.reads, r.share, r.retention) for r in records.reference_records(df, refs).collect()}
+    assert got == {1: (2, 0.4, 0.5), 2: (3, 0.6, 1.0)}  # a read without a name is none
