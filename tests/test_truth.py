@@ -6,7 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tallyseq.operators import intervals, records, truth
+from tallyseq.operators import conflict, intervals, records, truth
 from tallyseq.plans import catalog
 
 
@@ -125,3 +125,19 @@ def test_records_count_reads_in_one_pass_over_alignments(spark):
     refs = spark.createDataFrame([(1, 100, 1, 1, False), (2, 100, 1, 1, False)], "ref_id long, length long, species int, genus int, is_plasmid boolean")
     got = {r.ref_id: (r.reads, r.share, r.retention) for r in records.reference_records(df, refs).collect()}
     assert got == {1: (2, 0.4, 0.5), 2: (3, 0.6, 1.0)}  # a read without a name is none
+
+
+def test_tasks_grow_with_the_rows_and_results_stay(spark):
+    rng = random.Random(4)
+    df = spark.createDataFrame([(rng.choice("ab"), rng.randrange(50), s := rng.randrange(90_000), s + rng.choice([0, 3, 700])) for _ in range(600)], "k string, r int, s long, e long")
+    rows = 10 << 20  # ten tasks, whatever the session's number of partitions
+    merged = intervals.merge_intervals(df, ["k"], rows=rows)
+    assert merged.exceptAll(intervals.merge_intervals(df, ["k"])).count() == 0
+    budget = spark.createDataFrame([("a", 5), ("b", 9)], "k string, budget long")
+    gone = conflict.removed_reads(df, budget, "r", "k", rows=rows)
+    assert {tuple(r) for r in gone.collect()} == {tuple(r) for r in conflict.removed_reads(df, budget, "r", "k").collect()} and gone.count() == 14
+    left = conflict.drop_removed(df, gone, "r", "k", rows=rows)
+    assert left.exceptAll(conflict.drop_removed(df, gone, "r", "k")).count() == 0 and 0 < left.count() < 600
+    for out in (merged, left):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count(", 10), REPARTITION_BY_NUM") >= 2
