@@ -36,11 +36,11 @@ def value_cooccurrence(df: DataFrame, item: str, sample: str, value: str, top: i
     return both.groupBy("a", "b").agg(F.count("*").alias("shared"), F.avg((F.col("va") + F.col("vb")) / 2).alias("mean_value"))
 
 
-def coverage_bins(df: DataFrame, keys: list[str], length: str, width: int, s: str = "s", e: str = "e") -> DataFrame:
+def coverage_bins(df: DataFrame, keys: list[str], length: str, width: int, s: str = "s", e: str = "e", rows: int | None = None) -> DataFrame:
     """(keys, bin, pct): percent of each bin of `width` bases, the last one short, under the union of all
-    intervals of the key; one decimal. Bins without coverage give no row."""
+    intervals of the key; one decimal. Bins without coverage give no row. `rows` as in merge_intervals."""
     sizes = df.groupBy(*keys).agg(F.max(length).alias("_len"))
-    islands = iv.merge_intervals(df, keys, s, e, gap=0).join(sizes, keys).withColumn(e, F.least(e, "_len"))
+    islands = iv.merge_intervals(df, keys, s, e, gap=0, rows=rows).join(sizes, keys).withColumn(e, F.least(e, "_len"))
     touched = iv.explode_bins(islands, s, e, width)
     low, high = F.col("bin") * width, F.least((F.col("bin") + 1) * width, F.col("_len"))
     part = touched.select(*keys, "bin", (F.least(e, high) - F.greatest(s, low)).alias("_bp"), (high - low).alias("_w"))

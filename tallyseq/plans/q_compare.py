@@ -55,7 +55,7 @@ SELECT ref_id, i AS point, round(avg(value), 6) AS mean_value, round(median(valu
 def profile_points(t):
     m = _members(t).withColumn("n", F.ceil(F.col("length") / 5000))
     sizes = m.groupBy("ref_id", "sample").agg(F.max("n").alias("n"))
-    values = cm.downsampled(cm.coverage_bins(m, ["ref_id", "sample"], "length", 5000).join(sizes, ["ref_id", "sample"]), ["ref_id", "sample"], "n", 8)
+    values = cm.downsampled(cm.coverage_bins(m, ["ref_id", "sample"], "length", 5000, rows=t.lineitem.count()).join(sizes, ["ref_id", "sample"]), ["ref_id", "sample"], "n", 8)
     every = sizes.select("ref_id", "sample", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(7).cast("bigint"))).alias("point"))
     x = every.join(values, ["ref_id", "sample", "point"], "left").na.fill(0.0, ["value"])
     return x.groupBy("ref_id", "point").agg(F.round(F.avg("value"), 6).alias("mean_value"), F.round(F.median("value"), 6).alias("median_value"))
