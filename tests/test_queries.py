@@ -57,6 +57,16 @@ def test_long_references_in_more_than_twenty_parts(spark, tmp_path):
     assert max(r.n_parts for r in got) == 21
 
 
+def test_the_longest_of_all_parts(spark, tmp_path):
+    """601,000 bases are 21 parts, of which only the last has 28,620 and the others 28,619."""
+    con = duckdb.connect()
+    for t, text in (("supplier", "SELECT 501::BIGINT AS s_suppkey, 1 AS s_nationkey"), ("nation", "SELECT 1 AS n_nationkey, 2 AS n_regionkey")):
+        con.execute(f"COPY ({text}) TO '{tmp_path}/{t}.parquet'")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet'")
+    rows = catalog.QUERIES["sequence_windows"](spark, str(tmp_path)).select("ref_id", "n_parts", "longest_part").collect()
+    assert [tuple(r) for r in rows] == con.execute(f"SELECT ref_id, n_parts, longest_part FROM ({catalog.ORACLES['sequence_windows']})").fetchall() == [(501, 21, 28_620)]
+
+
 def test_cells_of_a_small_file_are_made_in_several_tasks(spark):
     rows = catalog.QUERIES["groupable_columns"](spark, SF)
     assert "REPARTITION_BY_NUM" in rows._jdf.queryExecution().executedPlan().toString()
